@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 _FORMATS = ("parquet", "orc", "csv", "json")
+_CSV_NULL = r"\N"   # an empty text stays an empty text
 
 
 def given(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,7 +19,7 @@ def keyed(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parq
         raise ValueError(f"unknown format {fmt!r}, expected one of {_FORMATS}")
     reader = spark.read.schema(schema).format(fmt)
     if fmt == "csv":
-        reader = reader.options(header="true", multiLine="true", escape='"')
+        reader = reader.options(header="true", multiLine="true", escape='"', nullValue=_CSV_NULL)
     return reader.load(path)
 
 
@@ -26,5 +27,5 @@ def append(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     """Append; a CSV target gets its header from the column names, as a new table would."""
     writer = df.write.mode("append").format(fmt)
     if fmt == "csv":
-        writer = writer.options(header="true", escape='"')
+        writer = writer.options(header="true", escape='"', nullValue=_CSV_NULL)
     writer.save(path)
