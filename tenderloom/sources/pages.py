@@ -43,22 +43,25 @@ class _Marked(HTMLParser):
             self._close_row_part(tag)
         a = {k: v or "" for k, v in attrs}
         node = {"tag": tag, "id": a.get("id", ""), "css": f" {' '.join(a.get('class', '').split())} ",
-                "href": a.get("href"), "raw": [], "inner": [], "up": list(self.open)}
-        node["kept"] = tag in ("a", "td", "tr", "table") or bool(node["id"]) or bool(node["css"].strip())
-        if node["kept"]:
-            self.found.append(node)
-        if tag in _VOID:
-            if tag == "br":
-                self._text("", "\n")
-            return
+                "href": a.get("href"), "raw": [], "inner": [], "start": None, "end": None}
         if tag in _BLOCK:
             self._text("", "\n")
-        self.open.append(node)
+        if tag in ("a", "td", "tr", "table") or node["id"] or node["css"].strip():
+            node["within"] = " " + " ".join(u["id"] for u in self.open if u["id"]) + " "
+            node["tables"] = [u for u in self.open if u["tag"] in ("table", "thead", "tfoot")] if tag == "tr" else ()
+            node["start"] = len(self.found)
+            self.found.append(node)
+        if tag not in _VOID:
+            self.open.append(node)
+        elif tag == "br":
+            self._text("", "\n")
+        if tag in _VOID:
+            node["end"] = len(self.found)
 
     def handle_endtag(self, tag: str) -> None:
         for i in range(len(self.open) - 1, -1, -1):
             if self.open[i]["tag"] == tag:
-                del self.open[i:]
+                self._close_from(i)
                 break
         if tag in _BLOCK:
             self._text("", "\n")
@@ -67,6 +70,15 @@ class _Marked(HTMLParser):
         if not (self.open and self.open[-1]["tag"] in _MUTE):
             self._text(data, data)
 
+    def close(self) -> None:
+        super().close()
+        self._close_from(0)
+
+    def _close_from(self, i: int) -> None:
+        for node in self.open[i:]:
+            node["end"] = len(self.found)
+        del self.open[i:]
+
     def _close_row_part(self, tag: str) -> None:
         """A new cell ends an open cell, a new row an open row, within the same table."""
         ends = ("td", "th") if tag != "tr" else ("tr",)
@@ -74,12 +86,12 @@ class _Marked(HTMLParser):
             if self.open[i]["tag"] == "table":
                 return
             if self.open[i]["tag"] in ends:
-                del self.open[i:]
+                self._close_from(i)
                 return
 
     def _text(self, raw: str, inner: str) -> None:
         for node in self.open:
-            if node["kept"]:
+            if node["start"] is not None and (node["id"] or node["tag"] not in ("tr", "table")):
                 node["raw"].append(raw)
                 node["inner"].append(inner)
 
@@ -92,30 +104,25 @@ def _marked(html: str) -> list[dict]:
 
 
 def _record(n: dict) -> dict:
-    return {"tag": n["tag"], "id": n["id"], "css": n["css"], "href": n["href"],
-            "within": " " + " ".join(u["id"] for u in n["up"] if u["id"]) + " ",
+    return {"tag": n["tag"], "id": n["id"], "css": n["css"], "href": n["href"], "within": n["within"],
             "content": "".join(n["raw"]), "inner": "".join(n["inner"])}
 
 
 def _page_rows(html: str) -> list[list[dict]]:
-    """Cells of each result row: rows of the result table if there is one, else all rows with cells."""
+    """Cells of each result row: rows of the result table if there is one, else all rows with cells.
+
+    Marked elements are listed in document order, so what an element holds is one slice of the list.
+    """
     found = _marked(html)
-    inside = lambda n, outer: any(u is outer for u in n["up"])
     rows = [n for n in found if n["tag"] == "tr"]
-    listed = [r for r in rows if any(u["tag"] == "table" and " table-results " in u["css"] for u in r["up"])
-              and not any(u["tag"] in ("thead", "tfoot") for u in r["up"])]
+    listed = [r for r in rows if any(" table-results " in u["css"] for u in r["tables"] if u["tag"] == "table")
+              and all(u["tag"] == "table" for u in r["tables"])]
     out = []
     for row in listed or rows:
-        start = next(i for i, n in enumerate(found) if n is row)
-        members = []
-        for n in found[start + 1:]:
-            if not inside(n, row):
-                break
-            members.append(n)
-        cells = [n for n in members if n["tag"] == "td"]
+        cells = [n for n in found[row["start"] + 1:row["end"]] if n["tag"] == "td"]
         if cells or listed:
             out.append([{"content": "".join(c["raw"]), "inner": "".join(c["inner"]),
-                         "nodes": [_record(n) for n in members if inside(n, c)]} for c in cells])
+                         "nodes": [_record(n) for n in found[c["start"] + 1:c["end"]]]} for c in cells])
     return out
 
 
