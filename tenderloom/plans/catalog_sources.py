@@ -23,7 +23,7 @@ from tenderloom.sources.tables import given
     CASE id % 2 WHEN 0 THEN 'Rabat' ELSE 'Fès' END AS lieu, CASE WHEN id % 11 = 0 THEN '' ELSE CAST(id AS VARCHAR) END AS url_id
     FROM tenders WHERE length(reference) > 2""")
 def x01(spark, d):
-    return pages.listing_rows(B.listing_pages(spark, d), B.BASE).drop("row_no")
+    return pages.listing_rows(B.listing_pages(spark, d), B.BASE).drop("row_no", "page_hash")
 
 
 @query("x02_detail_records", f"""SELECT id AS page_id,
@@ -38,7 +38,7 @@ def x01(spark, d):
     CASE WHEN id % 5 = 0 THEN {P.parse_amount("(id % 90 + 10) || ' 500,25' || chr(10) || (id % 9 + 1) || ' '")} END AS montant_reel,
     '' AS date_attribution, CASE WHEN id % 5 = 0 THEN CAST(id % 9 + 1 AS INTEGER) END AS nb_soumissionnaires FROM tenders""")
 def x02(spark, d):
-    return pages.detail_records(B.detail_pages(spark, d), B.BASE)
+    return pages.detail_records(B.detail_pages(spark, d), B.BASE).drop("hash_content")
 
 
 @query("x03_minutes_rows", """SELECT id // 500 AS page_id, reference, 'Plis ' || id AS objet,

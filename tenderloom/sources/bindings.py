@@ -11,7 +11,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tenderloom.sources.tables import given
+from tenderloom.sources.tables import given, spread
 
 BASE = "https://portal.example/index.php"
 AS_OF = dt.date(1998, 6, 15)
@@ -196,7 +196,7 @@ _NATIVE = ("CASE doc_id % 5 WHEN 0 THEN '' WHEN 1 THEN concat(text, '\\nEstimati
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents of a tender with the text of every extraction tier in its own column."""
-    return given(spark, sf_dir, "documents").select(
+    return spread(given(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")).select(
         F.expr("doc_id DIV 3").alias("tender_id"), F.expr("concat('doc', doc_id, '.pdf')").alias("doc_path"),
         F.expr("int(doc_id % 3)").alias("ord"), F.expr(_NATIVE).alias("native"),
         F.expr("CASE doc_id % 4 WHEN 0 THEN text WHEN 1 THEN concat('Lot | ', doc_id % 900 + 100, ' ', "
@@ -251,13 +251,21 @@ def archives(spark: SparkSession, sf_dir: str) -> DataFrame:
                 rows.append({"tender_id": k, "archive": f"/dce/{k}.zip", "content": data})
             yield pa.RecordBatch.from_pylist(rows, schema)
 
-    return given(spark, sf_dir, "documents").select("doc_id", "text").mapInArrow(
+    return spread(given(spark, sf_dir, "documents").select("doc_id", "text")).mapInArrow(
         build, "tender_id long, archive string, content binary")
 
 
 ROWS_PER_PAGE = 500
 
 
+def _rows_by_page(t: DataFrame, row) -> DataFrame:
+    """(page_id, rs): the portal's page size bounds each group. As many partitions as cores at least,
+    because reading HTML costs far more time than its bytes suggest."""
+    n = max(t.sparkSession.sparkContext.defaultParallelism, int(t.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    rows = t.select(F.expr(f"id DIV {ROWS_PER_PAGE}").alias("page_id"), F.struct("id", row.alias("h")).alias("r"))
+    return rows.repartition(n, "page_id").groupBy("page_id").agg(F.array_sort(F.collect_list("r")).alias("rs"))
+
+
 def listing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Listing pages as HTML, 500 orders each (the portal's page size)."""
     t = tenders(spark, sf_dir)
@@ -277,8 +285,7 @@ def listing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("</td><td><a href='#'>z</a>"),
         F.expr("CASE WHEN id % 11 = 0 THEN '' ELSE concat('<a href=\"?page=entreprise.EntrepriseDetailConsultation&amp;refConsultation=', id, '\">voir</a>') END"),
         F.lit("</td></tr>"))
-    pages = t.select(F.expr("id DIV 500").alias("page_id"), F.struct("id", row.alias("h")).alias("r")).groupBy("page_id").agg(
-        F.array_sort(F.collect_list("r")).alias("rs"))
+    pages = _rows_by_page(t, row)
     return pages.select("page_id", F.concat(
         F.lit("<html><body><table><tr><td>menu</td></tr></table><table class='x table-results'><thead><tr><td>0</td><td>1</td><td>2</td>"
               "<td>3</td><td>4</td><td>5</td></tr></thead><tbody>"),
@@ -294,15 +301,14 @@ def minutes_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("</span><div id='k_panelBlocObjet'>Objet : Plis "), F.col("id"), F.lit("</div><td>l<td>d<td>"),
         F.expr("CASE WHEN id % 7 = 0 THEN '<a>rien</a>' ELSE concat('<a href=\"/x?EntrepriseDetailConsultation&id=', id, '\">v</a>') END"),
         F.lit("</tr>"))
-    pages = t.select(F.expr("id DIV 500").alias("page_id"), F.struct("id", row.alias("h")).alias("r")).groupBy("page_id").agg(
-        F.array_sort(F.collect_list("r")).alias("rs"))
+    pages = _rows_by_page(t, row)
     return pages.select("page_id", F.concat(F.lit("<table><tr><th>a</th></tr>"), F.array_join(
         F.transform("rs", lambda r: r.h), ""), F.lit("</table>")).alias("html"))
 
 
 def detail_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Detail pages as HTML, one per order."""
-    t = tenders(spark, sf_dir)
+    t = spread(tenders(spark, sf_dir))
     html = F.concat(
         F.lit("<html><body><span id='a_labelReferentielZoneText'> - </span><span id='b_labelReferentielZoneText'>"),
         F.expr("CASE WHEN estimation IS NULL THEN 'N/A' ELSE concat('Estimation : ', id % 900 + 100, ' ', lpad(string(id % 1000), 3, '0'), ',50 DH') END"),

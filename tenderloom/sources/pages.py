@@ -6,8 +6,9 @@ which element means what are column expressions below.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
-from html.parser import HTMLParser
+from html import unescape
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -15,68 +16,97 @@ from pyspark.sql import functions as F
 
 from tenderloom import schemas as S
 from tenderloom.functions.amounts import awarded_amount, bidder_count, parse_amount
+from tenderloom.functions.keys import content_hash
 from tenderloom.functions.links import resolve, url_id
 from tenderloom.functions.text import best_text, collapse, drop_label, find_date, first_group, first_text, strip
 
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 _BLOCK = {"p", "div", "li", "ul", "ol", "tr", "table", "section", "article", "h1", "h2", "h3", "h4", "h5", "h6", "dt", "dd"}
-_MUTE = {"script", "style"}
 _PA_NODE = pa.struct([(n, pa.string()) for n in ("tag", "id", "css", "href", "within", "content", "inner")])
-_PA_CELLS = pa.schema([("page_id", pa.int64()), ("row_no", pa.int32()), ("cells", pa.list_(pa.struct(
+_PA_CELLS = pa.schema([("page_id", pa.int64()), ("page_hash", pa.string()), ("row_no", pa.int32()), ("cells", pa.list_(pa.struct(
     [("content", pa.string()), ("inner", pa.string()), ("nodes", pa.list_(_PA_NODE))])))])
-_PA_NODES = pa.schema([("page_id", pa.int64()), ("nodes", pa.list_(_PA_NODE))])
+_PA_NODES = pa.schema([("page_id", pa.int64()), ("page_hash", pa.string()), ("nodes", pa.list_(_PA_NODE))])
 _DDL_NODE = "struct<tag:string,id:string,css:string,href:string,within:string,content:string,inner:string>"
-_DDL_CELLS = f"page_id long, row_no int, cells array<struct<content:string,inner:string,nodes:array<{_DDL_NODE}>>>"
-_DDL_NODES = f"page_id long, nodes array<{_DDL_NODE}>"
+_DDL_CELLS = f"page_id long, page_hash string, row_no int, cells array<struct<content:string,inner:string,nodes:array<{_DDL_NODE}>>>"
+_DDL_NODES = f"page_id long, page_hash string, nodes array<{_DDL_NODE}>"
 
 
-class _Marked(HTMLParser):
-    """Open elements on a stack; marked elements and table cells collect the text inside them."""
+_TOKEN = re.compile(
+    r"""<!--.*?-->|<(script|style)\b.*?</\1\s*>|<(/?)([a-z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|<![^>]*>""", re.S | re.I)
+_ATTRIBUTE = re.compile(r"""\b(id|class|href)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))""", re.I)
 
-    def __init__(self) -> None:
-        super().__init__(convert_charrefs=True)
-        self.open: list[dict] = []
+
+class _Page:
+    """Marked elements of a page in document order.
+
+    Texts are kept once, in two parallel lists (as they stand, and with line ends at blocks); an element
+    knows where its text and its inner elements begin and end.
+    """
+
+    def __init__(self, source: str) -> None:
+        self.raw: list[str] = []
+        self.inner: list[str] = []
         self.found: list[dict] = []
+        self.open: list[dict] = []
+        at = 0
+        for m in _TOKEN.finditer(source):
+            if m.start() > at:
+                self._text(source[at:m.start()])
+            at = m.end()
+            if m[3]:
+                tag = m[3].lower()
+                if m[2]:
+                    self._end(tag)
+                else:
+                    self._start(tag, m[4])
+        self._text(source[at:])
+        self._close_from(0)
+
+    def _text(self, piece: str) -> None:
+        if piece:
+            piece = unescape(piece) if "&" in piece else piece
+            self.raw.append(piece)
+            self.inner.append(piece)
+
+    def _line_end(self) -> None:
+        self.raw.append("")
+        self.inner.append("\n")
 
-    def handle_starttag(self, tag: str, attrs: list) -> None:
+    def _start(self, tag: str, attributes: str) -> None:
         if tag in ("td", "th", "tr"):
             self._close_row_part(tag)
-        a = {k: v or "" for k, v in attrs}
-        node = {"tag": tag, "id": a.get("id", ""), "css": f" {' '.join(a.get('class', '').split())} ",
-                "href": a.get("href"), "raw": [], "inner": [], "start": None, "end": None}
         if tag in _BLOCK:
-            self._text("", "\n")
-        if tag in ("a", "td", "tr", "table") or node["id"] or node["css"].strip():
+            self._line_end()
+        node = {"tag": tag, "id": "", "css": "", "href": None}
+        if attributes:
+            for m in _ATTRIBUTE.finditer(attributes):
+                node.setdefault("seen", {}).setdefault(m[1].lower(), unescape(m[2] or m[3] or m[4] or ""))
+            seen = node.pop("seen", {})
+            node["id"], node["href"] = seen.get("id", ""), seen.get("href")
+            node["css"] = f" {' '.join(seen['class'].split())} " if seen.get("class", "").strip() else ""
+        if node["id"] or node["css"] or tag in ("a", "td", "tr"):
             node["within"] = " " + " ".join(u["id"] for u in self.open if u["id"]) + " "
             node["tables"] = [u for u in self.open if u["tag"] in ("table", "thead", "tfoot")] if tag == "tr" else ()
-            node["start"] = len(self.found)
+            node["first"], node["text_from"] = len(self.found), len(self.raw)
             self.found.append(node)
-        if tag not in _VOID:
-            self.open.append(node)
-        elif tag == "br":
-            self._text("", "\n")
         if tag in _VOID:
-            node["end"] = len(self.found)
+            node["last"], node["text_to"] = len(self.found), len(self.raw)
+            if tag == "br":
+                self._line_end()
+        else:
+            self.open.append(node)
 
-    def handle_endtag(self, tag: str) -> None:
+    def _end(self, tag: str) -> None:
         for i in range(len(self.open) - 1, -1, -1):
             if self.open[i]["tag"] == tag:
                 self._close_from(i)
                 break
         if tag in _BLOCK:
-            self._text("", "\n")
-
-    def handle_data(self, data: str) -> None:
-        if not (self.open and self.open[-1]["tag"] in _MUTE):
-            self._text(data, data)
-
-    def close(self) -> None:
-        super().close()
-        self._close_from(0)
+            self._line_end()
 
     def _close_from(self, i: int) -> None:
         for node in self.open[i:]:
-            node["end"] = len(self.found)
+            node["last"], node["text_to"] = len(self.found), len(self.raw)
         del self.open[i:]
 
     def _close_row_part(self, tag: str) -> None:
@@ -89,43 +119,34 @@ class _Marked(HTMLParser):
                 self._close_from(i)
                 return
 
-    def _text(self, raw: str, inner: str) -> None:
-        for node in self.open:
-            if node["start"] is not None and (node["id"] or node["tag"] not in ("tr", "table")):
-                node["raw"].append(raw)
-                node["inner"].append(inner)
-
-
-def _marked(html: str) -> list[dict]:
-    parser = _Marked()
-    parser.feed(html or "")
-    parser.close()
-    return parser.found
-
-
-def _record(n: dict) -> dict:
-    return {"tag": n["tag"], "id": n["id"], "css": n["css"], "href": n["href"], "within": n["within"],
-            "content": "".join(n["raw"]), "inner": "".join(n["inner"])}
+    def texts(self, n: dict) -> dict:
+        return {"content": "".join(self.raw[n["text_from"]:n["text_to"]]),
+                "inner": "".join(self.inner[n["text_from"]:n["text_to"]])}
 
+    def record(self, n: dict) -> dict:
+        return {"tag": n["tag"], "id": n["id"], "css": n["css"], "href": n["href"], "within": n["within"], **self.texts(n)}
 
-def _page_rows(html: str) -> list[list[dict]]:
-    """Cells of each result row: rows of the result table if there is one, else all rows with cells.
 
-    Marked elements are listed in document order, so what an element holds is one slice of the list.
-    """
-    found = _marked(html)
+def _page_rows(html: str | None) -> list[list[dict]]:
+    """Cells of each result row: rows of the result table if there is one, else all rows with cells."""
+    page = _Page(html or "")
+    found = page.found
     rows = [n for n in found if n["tag"] == "tr"]
     listed = [r for r in rows if any(" table-results " in u["css"] for u in r["tables"] if u["tag"] == "table")
               and all(u["tag"] == "table" for u in r["tables"])]
     out = []
     for row in listed or rows:
-        cells = [n for n in found[row["start"] + 1:row["end"]] if n["tag"] == "td"]
+        cells = [n for n in found[row["first"] + 1:row["last"]] if n["tag"] == "td"]
         if cells or listed:
-            out.append([{"content": "".join(c["raw"]), "inner": "".join(c["inner"]),
-                         "nodes": [_record(n) for n in found[c["start"] + 1:c["end"]]]} for c in cells])
+            out.append([{**page.texts(c), "nodes": [page.record(n) for n in found[c["first"] + 1:c["last"]]]} for c in cells])
     return out
 
 
+def _page_nodes(html: str | None) -> list[dict]:
+    page = _Page(html or "")
+    return [page.record(n) for n in page.found if n["tag"] != "tr" or n["id"]]
+
+
 def _emit(records: Iterator[dict], schema: pa.Schema, size: int = 256) -> Iterator[pa.RecordBatch]:
     held = []
     for r in records:
@@ -137,21 +158,25 @@ def _emit(records: Iterator[dict], schema: pa.Schema, size: int = 256) -> Iterat
         yield pa.RecordBatch.from_pylist(held, schema)
 
 
+def _input(pages: DataFrame) -> DataFrame:
+    return pages.select(F.col("page_id").cast("long"), content_hash(F.col("html")).alias("page_hash"), "html")
+
+
 def page_rows(pages: DataFrame) -> DataFrame:
-    """(page_id, row_no, cells) for every table row of ``pages(page_id, html)``."""
+    """(page_id, page_hash, row_no, cells) for every table row of ``pages(page_id, html)``."""
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from _emit(({"page_id": p["page_id"], "row_no": i, "cells": cells}
+        yield from _emit(({"page_id": p["page_id"], "page_hash": p["page_hash"], "row_no": i, "cells": cells}
                           for b in batches for p in b.to_pylist()
                           for i, cells in enumerate(_page_rows(p["html"]))), _PA_CELLS)
-    return pages.select(F.col("page_id").cast("long"), "html").mapInArrow(read, _DDL_CELLS)
+    return _input(pages).mapInArrow(read, _DDL_CELLS)
 
 
 def page_nodes(pages: DataFrame) -> DataFrame:
-    """(page_id, nodes) for every page."""
+    """(page_id, page_hash, nodes) for every page."""
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from _emit(({"page_id": p["page_id"], "nodes": [_record(n) for n in _marked(p["html"])]}
+        yield from _emit(({"page_id": p["page_id"], "page_hash": p["page_hash"], "nodes": _page_nodes(p["html"])}
                           for b in batches for p in b.to_pylist()), _PA_NODES, size=64)
-    return pages.select(F.col("page_id").cast("long"), "html").mapInArrow(read, _DDL_NODES)
+    return _input(pages).mapInArrow(read, _DDL_NODES)
 
 
 def _first(nodes: Column, test) -> Column:
@@ -197,7 +222,7 @@ def listing_rows(pages: DataFrame, base: str) -> DataFrame:
     closing = _first(c4["nodes"], lambda n: n.css.contains(f" {S.CLASS_DEADLINE} "))
     f = _row_fields(base)
     out = rows.select(
-        "page_id", "row_no", f["reference"].alias("reference"), f["date_publication"].alias("date_publication"),
+        "page_id", "page_hash", "row_no", f["reference"].alias("reference"), f["date_publication"].alias("date_publication"),
         strip(F.coalesce(closing["inner"], c4["inner"])).alias("date_limite"), f["lien"].alias("lien_detail"),
         objet.alias("objet"), buyer.alias("acheteur"), lieu.alias("lieu"))
     return out.filter(F.length("reference") > 2).withColumn("url_id", url_id(F.col("lien_detail")))
@@ -244,5 +269,6 @@ def detail_records(pages: DataFrame, base: str) -> DataFrame:
         "montant_reel": awarded_amount(award),
         "date_attribution": empty,
         "nb_soumissionnaires": bidder_count(award),
+        "hash_content": F.col("page_hash"),
     }
     return rows.select("page_id", *[c.alias(k) for k, c in fields.items()])

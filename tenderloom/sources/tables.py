@@ -13,6 +13,16 @@ def given(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows over all cores when the input has fewer files than cores.
+
+    Only file names are looked at. A table of many files is left as it is, so no large table is shuffled;
+    a small one is not worked off by a single task.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+
+
 def keyed(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet") -> DataFrame:
     """Scan of a stored table with its declared schema; nothing is inferred."""
     if fmt not in _FORMATS:
