@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from tenderloom import schemas as S
-from tenderloom.functions.text import first_group
+from tenderloom.functions.text import SPACE, first_group
 
 _ARABIC = "٠١٢٣٤٥٦٧٨٩۰۱۲۳۴۵۶۷۸۹"
 _ASCII = "01234567890123456789"
@@ -15,7 +15,7 @@ _ASCII = "01234567890123456789"
 def parse_amount(c: Column) -> Column:
     """First number of the text once letters and white space are gone; a comma is a decimal point."""
     plain = F.translate(c, _ARABIC + ",", _ASCII + ".")
-    bare = F.regexp_replace(plain, r"(?U)[A-Za-zÀ-ÿ\s\x1c-\x1f]", "")
+    bare = F.regexp_replace(plain, rf"[A-Za-zÀ-ÿ{SPACE}]", "")
     return F.nullif(F.regexp_extract(bare, r"[0-9][0-9.]*", 0), F.lit("")).try_cast("double")
 
 

@@ -7,19 +7,21 @@ from pyspark.sql import functions as F
 
 from tenderloom import schemas as S
 
-# Unicode white space plus the four ASCII separators the Java class leaves out.
-SPACE = r"\s\x1c-\x1f"
-_EDGES = rf"(?U)\A[{SPACE}]+|[{SPACE}]+\z"
+# The characters that count as white space (Unicode, with the four ASCII separators).
+SPACE = r"\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+SPACE_CHARS = "".join(chr(i) for i in (
+    *range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000))
 _FLAGS = "(?idU)"  # ignore case, only \n ends a line, Unicode classes
 
 
 def strip(c: Column) -> Column:
-    return F.regexp_replace(c, _EDGES, "")
+    """White space off both ends (a character set, so no regular expression is run)."""
+    return F.btrim(c, F.lit(SPACE_CHARS))
 
 
 def collapse(c: Column) -> Column:
     """One space for every run of white space, none at the ends."""
-    return strip(F.regexp_replace(c, rf"(?U)[{SPACE}]+", " "))
+    return strip(F.regexp_replace(c, rf"[{SPACE}]+", " "))
 
 
 def blank_to_null(c: Column) -> Column:
@@ -59,7 +61,7 @@ def drop_label(c: Column, regex: str) -> Column:
 def best_text(candidates: Column) -> Column:
     """First candidate that is not blank, without its leading label; ``N/A`` when none is left."""
     first = F.get(F.filter(F.transform(candidates, strip), lambda x: ~x.isin(S.BLANK_TEXTS)), F.lit(0))
-    bare = strip(F.regexp_replace(first, r"(?U)\A[^:]+:[\s\x1c-\x1f]*", ""))
+    bare = strip(F.regexp_replace(first, rf"\A[^:]+:[{SPACE}]*", ""))
     return F.coalesce(blank_to_null(bare), F.lit("N/A"))
 
 

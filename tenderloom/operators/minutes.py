@@ -72,7 +72,7 @@ def choose_orphans(unmatched: DataFrame) -> DataFrame:
 
     A row founds one unless an earlier founder shares its number or its reference. Each round takes the
     rows that are first for both of their keys and removes all rows sharing a key with them. Equal
-    (number, reference) pairs are folded first; every round is checkpointed to the shared folder.
+    (number, reference) pairs are folded first; every round is written to the shared folder.
     """
     pairs = unmatched.groupBy("uid", "reference").agg(F.min_by(F.struct("seq", "lien", "objet"), "seq").alias("r"))
     left = cut_lineage(pairs.select("uid", "reference", "r.*"))
@@ -91,8 +91,12 @@ def choose_orphans(unmatched: DataFrame) -> DataFrame:
 
 
 def link_with_orphans(candidates: DataFrame, tenders: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(candidates with ``tender_id``, orphan tenders). Candidates without an address are ignored."""
-    linked = link(with_address(candidates), tenders)
+    """(candidates with ``tender_id``, orphan tenders). Candidates without an address are ignored.
+
+    The looked-up batch is written once: finding orphans and linking both read it, and the stored
+    tenders are joined a single time.
+    """
+    linked = cut_lineage(link(with_address(candidates), tenders), "linked")
     free = linked.filter(F.col("id_by_uid").isNull() & F.col("id_by_ref").isNull())
     key = tender_key(F.coalesce("uid", F.lit("")), F.col("reference"))
     orphans = choose_orphans(free.select("seq", "uid", "reference", "lien", "objet")).withColumn(

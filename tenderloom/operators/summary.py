@@ -72,33 +72,60 @@ def first_findings(docs: DataFrame) -> DataFrame:
     return docs.groupBy("tender_id").agg(*aggregates)
 
 
-def join_texts(docs: DataFrame, lookahead: bool = False, per_piece: int = DOCS_PER_PIECE) -> DataFrame:
-    """Texts of a tender in document order, an empty line between them, empty ones skipped.
+def _pieces(docs: DataFrame, lookahead: bool, per_piece: int) -> DataFrame:
+    """Documents with their piece; with ``lookahead`` also a copy in the piece before (``own`` is false)."""
+    piece = F.floor(F.col("ord") / per_piece)
+    if not lookahead:
+        return docs.withColumns({"piece": piece, "own": F.lit(True)})
+    both = F.array(F.struct(piece.alias("piece"), F.lit(True).alias("own")),
+                   F.struct((piece - 1).alias("piece"), F.lit(False).alias("own")))
+    return docs.withColumn("_p", F.explode(F.when(piece > 0, both).otherwise(F.slice(both, 1, 1)))).select(
+        "*", "_p.piece", "_p.own").drop("_p")
+
+
+def _joined_text():
+    """Aggregate: texts in document order, an empty line between them, empty ones skipped."""
+    text = F.when(F.length("text") > 0, F.struct("ord", "doc_path", "text"))
+    return F.array_join(F.transform(F.array_sort(F.collect_list(text)), lambda d: d.text), "\n\n")
+
+
+def join_texts(docs: DataFrame, per_piece: int = DOCS_PER_PIECE) -> DataFrame:
+    """Joined text of each tender.
 
     A tender comes in pieces of ``per_piece`` documents, so no group grows without bound; nearly all
-    tenders are one piece, and the pieces of the others follow one another to the whole text. With
-    ``lookahead`` each piece is followed by the next one's documents (``own`` tells them apart).
+    tenders are one piece, and the pieces of the others follow one another to the whole text.
     """
-    rows = docs.filter(F.length("text") > 0).select("tender_id", "ord", "doc_path", "text")
-    piece = F.floor(F.col("ord") / per_piece)
-    pieces = F.when(piece > 0, F.array(piece, piece - 1)).otherwise(F.array(piece)) if lookahead else F.array(piece)
-    rows = rows.withColumn("piece", F.explode(pieces))
-    ordered = F.array_sort(F.collect_list(F.struct("ord", "doc_path", "text")))
-    return rows.groupBy("tender_id", "piece").agg(
-        F.array_join(F.transform(ordered, lambda d: d.text), "\n\n").alias("text"))
+    rows = _pieces(docs.filter(F.length("text") > 0), False, per_piece)
+    return rows.groupBy("tender_id", "piece").agg(_joined_text().alias("text"))
+
 
+def tender_findings(docs: DataFrame, per_piece: int = DOCS_PER_PIECE) -> DataFrame:
+    """First amount, first reply and key points of each tender in one pass over its documents.
 
-def tender_key_points(docs: DataFrame) -> DataFrame:
-    """First match of each key point in a tender's joined text."""
-    pieces = join_texts(docs, lookahead=True).select("tender_id", "piece", key_points(F.col("text")).alias("k"))
-    first = lambda name: F.min_by(F.col(f"k.`{name}`"), F.when(F.col(f"k.`{name}`").isNotNull(), F.col("piece")))
-    return pieces.groupBy("tender_id").agg(*[first(name).alias(name) for name, _ in S.KEY_POINTS])
+    Key points are sought in each piece followed by the next one, so a match may run over the seam; the
+    first piece with a match gives it. Texts are shuffled once; only findings go on to the second step.
+    """
+    order = F.struct("ord", "doc_path")
+    found = lambda name, value, when: F.min_by(
+        F.when(when & F.col("own"), value), F.when(when & F.col("own"), order)).alias(name)
+    aggregates = [_joined_text().alias("text"),
+                  found("amount", F.col("amount"), F.col("amount").isNotNull() & (F.col("amount") != 0)),
+                  F.count_if("own").alias("n_docs"), F.max((F.col("text") != "") & F.col("own")).alias("has_text")]
+    names = ["amount"]
+    if "reply" in docs.columns:
+        aggregates.append(found("reply", F.col("reply"), F.col("reply").isNotNull()))
+        names.append("reply")
+    pieces = _pieces(docs, True, per_piece).groupBy("tender_id", "piece").agg(*aggregates)
+    pieces = pieces.select("tender_id", "piece", *names, "n_docs", "has_text", key_points(F.col("text")).alias("k"))
+    first = lambda c: F.min_by(c, F.when(c.isNotNull(), F.col("piece")))
+    return pieces.groupBy("tender_id").agg(
+        *[first(F.col(n)).alias(n) for n in names], F.sum("n_docs").alias("n_docs"), F.max("has_text").alias("has_text"),
+        *[first(F.col(f"k.`{label}`")).alias(label) for label, _ in S.KEY_POINTS])
 
 
 def summaries(tenders: DataFrame, docs: DataFrame) -> DataFrame:
     """Summary text per tender that has documents (``docs`` as :func:`cascade` returns them)."""
-    found = first_findings(docs).join(tender_key_points(docs), "tender_id", "left")
-    rows = tenders.select(F.col("id").alias("tender_id"), "reference").join(found, "tender_id")
+    rows = tenders.select(F.col("id").alias("tender_id"), "reference").join(tender_findings(docs), "tender_id")
     line = lambda label, value: F.concat(padded(F.lit(label)), F.lit(": "), value)
     shown = lambda c: F.nullif(c, F.lit(""))
     reply = F.col("reply")

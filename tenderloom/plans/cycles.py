@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tenderloom import schemas as S
 from tenderloom.functions.links import first_minutes_href, rebuild_pdf
 from tenderloom.operators import enrichment, exports, history, minutes, outcomes, queue, summary, upsert
-from tenderloom.session import scratch_path
+from tenderloom.session import cut_lineage as kept
 from tenderloom.sources import archives, pages
 
 WATCHED = ["status", "estimation"]
@@ -26,13 +26,6 @@ class Tables:
     pvs: DataFrame
 
 
-def kept(df: DataFrame, label: str) -> DataFrame:
-    """Written to the shared folder and read back: later steps do not repeat the work before it."""
-    path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def collect_listing(tables: Tables, listing_pages: DataFrame, base: str, as_of: Column) -> tuple[Tables, DataFrame]:
     """Listing pages (page_id, html) into the tenders table. Also returns the effects."""
     rows = pages.listing_rows(listing_pages, base).select(

@@ -1,7 +1,7 @@
 """Records from stored HTML pages.
 
-One Arrow reader lists the marked elements of a page (those with an id, a class or a link). All rules about
-which element means what are column expressions below.
+One Arrow reader lists the sought elements of a page. All rules about which element means what are column
+expressions below.
 """
 
 from __future__ import annotations
@@ -36,14 +36,22 @@ _TOKEN = re.compile(
 _ATTRIBUTE = re.compile(r"""\b(id|class|href)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))""", re.I)
 
 
+Marks = tuple[list[str], list[str]]   # id fragments, class names between spaces
+_CSS = [f" {c} " for c in (S.CLASS_REFERENCE, S.CLASS_BUBBLE, S.CLASS_DEADLINE)]
+ROW_MARKS: Marks = ([S.ID_OBJECT, S.ID_BUYER, S.ID_PLACE], _CSS)
+DETAIL_MARKS: Marks = ([S.ID_ESTIMATE, S.ID_CONTACT_BLOCK, S.ID_CONTACT_NAME, S.ID_OBJECT, S.ID_BUYER, S.ID_PLACE,
+                        *S.DETAIL_FIELDS.values(), *S.CONTACT_FIELDS.values(), *S.AWARD_IDS], _CSS)
+
+
 class _Page:
-    """Marked elements of a page in document order.
+    """Marked elements of a page in document order: cells, links, and elements with a sought id or class.
 
     Texts are kept once, in two parallel lists (as they stand, and with line ends at blocks); an element
     knows where its text and its inner elements begin and end.
     """
 
-    def __init__(self, source: str) -> None:
+    def __init__(self, source: str, marks: Marks) -> None:
+        self.ids, self.css = marks
         self.raw: list[str] = []
         self.inner: list[str] = []
         self.found: list[dict] = []
@@ -84,7 +92,8 @@ class _Page:
             seen = node.pop("seen", {})
             node["id"], node["href"] = seen.get("id", ""), seen.get("href")
             node["css"] = f" {' '.join(seen['class'].split())} " if seen.get("class", "").strip() else ""
-        if node["id"] or node["css"] or tag in ("a", "td", "tr"):
+        if (tag in ("a", "td", "tr") or (node["id"] and any(i in node["id"] for i in self.ids))
+                or (node["css"] and any(c in node["css"] for c in self.css))):
             node["within"] = " " + " ".join(u["id"] for u in self.open if u["id"]) + " "
             node["tables"] = [u for u in self.open if u["tag"] in ("table", "thead", "tfoot")] if tag == "tr" else ()
             node["first"], node["text_from"] = len(self.found), len(self.raw)
@@ -127,9 +136,9 @@ class _Page:
         return {"tag": n["tag"], "id": n["id"], "css": n["css"], "href": n["href"], "within": n["within"], **self.texts(n)}
 
 
-def _page_rows(html: str | None) -> list[list[dict]]:
+def _page_rows(html: str | None, marks: Marks = ROW_MARKS) -> list[list[dict]]:
     """Cells of each result row: rows of the result table if there is one, else all rows with cells."""
-    page = _Page(html or "")
+    page = _Page(html or "", marks)
     found = page.found
     rows = [n for n in found if n["tag"] == "tr"]
     listed = [r for r in rows if any(" table-results " in u["css"] for u in r["tables"] if u["tag"] == "table")
@@ -142,9 +151,10 @@ def _page_rows(html: str | None) -> list[list[dict]]:
     return out
 
 
-def _page_nodes(html: str | None) -> list[dict]:
-    page = _Page(html or "")
-    return [page.record(n) for n in page.found if n["tag"] != "tr" or n["id"]]
+def _page_nodes(html: str | None, marks: Marks = DETAIL_MARKS) -> list[dict]:
+    """Marked elements of the whole page. Cells and rows count only for their id or class."""
+    page = _Page(html or "", marks)
+    return [page.record(n) for n in page.found if n["tag"] not in ("tr", "td") or n["id"] or n["css"]]
 
 
 def _emit(records: Iterator[dict], schema: pa.Schema, size: int = 256) -> Iterator[pa.RecordBatch]:
