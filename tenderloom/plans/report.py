@@ -37,6 +37,8 @@ def text_lines(lines: DataFrame, as_of: dt.date, days: int = S.ALERT_DAYS, thres
             if section == row.section or section == 2:
                 yield from (h.format(days=days, millions=f"{threshold / 1e6:g}") for h in HEADINGS[section])
         yield row.line
+    if section < 2:   # this heading stands even over no rows
+        yield from HEADINGS[2]
     yield ""
     yield "─" * 60
     if footer:
