@@ -130,11 +130,10 @@ def first_minutes(incoming: DataFrame) -> DataFrame:
         F.coalesce(F.min_by(F.when(dated, F.col("date_publication")), F.when(dated, F.col("seq"))), F.lit("")).alias("d"))
 
 
-def save_minutes(stored: DataFrame, incoming: DataFrame, as_of: Column) -> DataFrame:
-    """The minutes table after a batch: new files are added, known files only get a missing date."""
+def _saved(stored: DataFrame, incoming: DataFrame, as_of: Column, how: str) -> DataFrame:
     new = first_minutes(incoming).alias("n")
     old = stored.withColumn("_k", spread_nulls(F.col("hash_pdf"), F.col("id"))).alias("o")
-    j = old.join(new, F.col("o._k") == F.col("n.hash_pdf"), "full_outer")
+    j = old.join(new, F.col("o._k") == F.col("n.hash_pdf"), how)
     is_new, both = F.col("o._k").isNull(), F.col("o._k").isNotNull() & F.col("n.hash_pdf").isNotNull()
     filled = both & (F.coalesce(F.length("o.date_publication"), F.lit(0)) == 0) & (F.col("n.d") != "")
     out = {
@@ -147,9 +146,21 @@ def save_minutes(stored: DataFrame, incoming: DataFrame, as_of: Column) -> DataF
     }
     for c in ("tender_id", "reference", "pdf_url", "procedure_type"):
         out[c] = F.when(is_new, F.col(f"n.r.{c}")).otherwise(F.col(f"o.{c}"))
+    if how == "right_outer":
+        j = j.filter(is_new | filled)
     return j.select(*[out.get(c, F.col(f"o.{c}")).alias(c) for c in stored.columns])
 
 
+def save_minutes(stored: DataFrame, incoming: DataFrame, as_of: Column) -> DataFrame:
+    """The minutes table after a batch: new files are added, known files only get a missing date."""
+    return _saved(stored, incoming, as_of, "full_outer")
+
+
+def saved_rows(stored: DataFrame, incoming: DataFrame, as_of: Column) -> DataFrame:
+    """Only the rows a batch adds or dates."""
+    return _saved(stored, incoming, as_of, "right_outer")
+
+
 def cascade_delete(pvs: DataFrame, survivors: DataFrame) -> DataFrame:
     """Minutes whose tender is still there."""
     return pvs.join(survivors.select(F.col("id").alias("tender_id")), "tender_id", "left_semi")

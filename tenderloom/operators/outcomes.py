@@ -28,10 +28,13 @@ def outcome_effects(outcomes: DataFrame, keep_previous_error: bool = True) -> Da
 
 
 def apply_outcomes(tenders: DataFrame, outcomes: DataFrame, as_of: Column | None = None,
-                   keep_previous_error: bool = True) -> DataFrame:
-    """Failures raise the retry count and set the error; a named next status and path are taken over."""
+                   keep_previous_error: bool = True, touched_only: bool = False) -> DataFrame:
+    """Failures raise the retry count and set the error; a named next status and path are taken over.
+
+    ``touched_only`` returns just the tenders that have results.
+    """
     effects = outcome_effects(outcomes, keep_previous_error).withColumn("touched", F.lit(True))
-    joined = tenders.join(effects, "id", "left")
+    joined = tenders.join(effects, "id", "inner" if touched_only else "left")
     changes = {
         "retry_count": F.when(F.col("n_failed") > 0, F.coalesce("retry_count", F.lit(0)) + F.col("n_failed"))
         .otherwise(F.col("retry_count")).cast("int"),

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tenderloom.functions.keys import surrogate_id, tender_key
+from tenderloom.session import broadcast_if_small
 
 PAGES_PER_BLOCK = 256
 _INSERT = ["reference", "date_publication", "date_limite", "lien_detail", "objet", "acheteur", "url_id"]
@@ -134,20 +135,19 @@ def apply_effects(stored: DataFrame, effects: DataFrame, as_of: Column) -> DataF
     return joined.select(*[v.alias(k) for k, v in _merged(stored.columns, as_of, hit, new).items()])
 
 
-def apply_effects_small(stored: DataFrame, effects: DataFrame, as_of: Column) -> DataFrame:
-    """The same for a batch that is small beside the table: the stored rows are not shuffled when the
-    counted effects fit a broadcast, and new rows are appended."""
-    from tenderloom.session import broadcast_if_small
+def changed_rows(stored: DataFrame, effects: DataFrame, as_of: Column) -> DataFrame:
+    """Only the rows a batch touched, as they are afterwards, and the new ones.
 
+    For a batch that is small beside the table: the stored rows are not shuffled when the counted effects
+    fit a broadcast.
+    """
     known = broadcast_if_small(effects.filter(~F.col("is_new")))
     true, false = F.lit(True), F.lit(False)
-    kept = stored.alias("s").join(known.alias("e"), F.col("s.id") == F.col("e.id"), "left")
-    kept = kept.select(*[v.alias(k) for k, v in _merged(
-        stored.columns, as_of, F.col("e.id").isNotNull(), false).items()])
-    blank = {c: F.lit(None).cast(stored.schema[c].dataType).alias(c) for c in stored.columns}
-    fresh = effects.filter("is_new").select(F.struct("*").alias("e"), F.struct(*blank.values()).alias("s"))
-    fresh = fresh.select(*[v.alias(k) for k, v in _merged(stored.columns, as_of, false, true).items()])
-    return kept.unionByName(fresh)
+    hit = stored.alias("s").join(known.alias("e"), F.col("s.id") == F.col("e.id"))
+    hit = hit.select(*[v.alias(k) for k, v in _merged(stored.columns, as_of, true, false).items()])
+    blank = F.struct(*[F.lit(None).cast(stored.schema[c].dataType).alias(c) for c in stored.columns])
+    fresh = effects.filter("is_new").select(F.struct("*").alias("e"), blank.alias("s"))
+    return hit.unionByName(fresh.select(*[v.alias(k) for k, v in _merged(stored.columns, as_of, false, true).items()]))
 
 
 def upsert(stored: DataFrame, batch: DataFrame, as_of: Column) -> DataFrame:

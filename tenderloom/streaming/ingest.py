@@ -29,19 +29,17 @@ def run_available(source: DataFrame, step: Callable[[DataFrame, int], None], roo
 
 
 def listing_step(root: str, initial: DataFrame, as_of: Column) -> Callable[[DataFrame, int], None]:
-    """Upsert a listing batch; write the new tenders, the effects (hence the counters) and the change log.
+    """Upsert a listing batch; write the changed tenders, the effects (hence the counters) and the change log.
 
     The effects are written once and read back, so the batch is worked off a single time. When they
-    are few, the stored table is scanned but not shuffled.
+    are few, the stored table is scanned but neither shuffled nor rewritten.
     """
     def step(batch: DataFrame, n: int) -> None:
-        spark = batch.sparkSession
-        stored = state.read(spark, root, "tenders", n - 1, initial)
-        effects = state.write(upsert.upsert_effects(stored, batch), root, "effects", n)
-        new = state.write(upsert.apply_effects_small(stored, effects, as_of), root, "tenders", n)
-        touched = broadcast_if_small(effects.filter("NOT is_new AND n_updated > 0").select("id"))
-        pick = lambda t: t.join(touched, "id", "left_semi")
-        state.write(history.change_log(pick(stored), pick(new), LOGGED, as_of), root, "log", n)
+        stored = state.read(batch.sparkSession, root, "tenders", n - 1, initial)
+        effects = state.put(upsert.upsert_effects(stored, batch), root, "effects", n)
+        rows = state.write(upsert.changed_rows(stored, effects, as_of), root, "tenders", n, initial)
+        known = broadcast_if_small(rows.select("id"))
+        state.put(history.change_log(stored.join(known, "id", "left_semi"), rows, LOGGED, as_of), root, "log", n)
     return step
 
 
@@ -49,7 +47,7 @@ def minutes_step(root: str, initial: DataFrame, as_of: Column) -> Callable[[Data
     """Store new minutes; the stored hashes are the state that keeps repeats out across runs."""
     def step(batch: DataFrame, n: int) -> None:
         stored = state.read(batch.sparkSession, root, "pvs", n - 1, initial)
-        state.write(minutes.save_minutes(stored, batch, as_of), root, "pvs", n)
+        state.write(minutes.saved_rows(stored, batch, as_of), root, "pvs", n, initial)
     return step
 
 
@@ -58,8 +56,9 @@ def stage_step(root: str, initial: DataFrame, as_of: Column | None = None,
     """Apply stage results to the tenders and write the run's metrics."""
     def step(batch: DataFrame, n: int) -> None:
         stored = state.read(batch.sparkSession, root, "tenders", n - 1, initial)
-        state.write(outcomes.apply_outcomes(stored, batch, as_of, keep_previous_error), root, "tenders", n)
-        state.write(outcomes.run_metrics(batch), root, "metrics", n)
+        rows = outcomes.apply_outcomes(stored, batch, as_of, keep_previous_error, touched_only=True)
+        state.write(rows, root, "tenders", n, initial)
+        state.put(outcomes.run_metrics(batch), root, "metrics", n)
     return step
 
 

@@ -56,7 +56,7 @@ def test_upsert_is_the_fold(spark, seed):
     out = upsert.apply_effects(s, effects, NOW()).collect()
     assert shape(r.asDict() for r in out) == shape(table)
     assert len({r.id for r in out}) == len(out)
-    small = upsert.apply_effects_small(s, effects, NOW()).collect()
+    small = state.overlay(s, upsert.changed_rows(s, effects, NOW())).collect()
     assert sorted(map(str, small)) == sorted(map(str, out))
     c = upsert.upsert_counters(effects).first()
     assert (c.n_new, c.n_updated) == (new, updated)
@@ -88,6 +88,8 @@ def test_minutes_are_the_fold(spark, seed):
     want = minutes_fold(minutes_fold([], first), second)
     keep = ["hash_pdf", "tender_id", "reference", "pdf_url", "procedure_type", "date_publication"]
     assert sorted(tuple(r[k] for k in keep) for r in two.collect()) == sorted(tuple(r[k] for k in keep) for r in want)
+    laid = state.overlay(one, minutes.saved_rows(one, df(second), NOW()))
+    assert sorted(map(str, laid.collect())) == sorted(map(str, two.collect()))
     again = minutes.save_minutes(two, df(second), NOW())
     assert sorted(map(str, again.collect())) == sorted(map(str, two.collect()))
 
@@ -131,6 +133,21 @@ def test_orphans_over_the_given_tables(spark, sf):
     assert {r.seq: ("new", founded[r.tender_id]) if r.tender_id in founded else r.tender_id for r in linked.collect()} == links
 
 
+def test_state_is_compacted(spark, tmp_path, monkeypatch):
+    """Change sets over a base, before and after the base is written anew, with one batch run twice."""
+    monkeypatch.setattr(state, "COMPACT_EVERY", 3)
+    ddl = "id long, x string"
+    initial = spark.createDataFrame([(i, "old") for i in range(5)], ddl)
+    want = {i: "old" for i in range(5)}
+    for n in range(8):
+        rows = [(n % 5, f"n{n}"), (100 + n, f"new{n}")]
+        want.update(rows)
+        for _ in range(2 if n in (2, 4) else 1):
+            state.write(spark.createDataFrame(rows, ddl), str(tmp_path), "t", n, initial)
+        assert {r.id: r.x for r in state.read(spark, str(tmp_path), "t", n, initial).collect()} == want
+    assert sorted(p.name for p in (tmp_path / "t" / "base").iterdir()) == ["v=2", "v=5"]
+
+
 def test_replayed_batch_changes_nothing(spark, sf, tmp_path):
     initial = B.stored_tenders(spark, sf)
     now = F.lit("1998-06-15").cast("timestamp_ntz")
