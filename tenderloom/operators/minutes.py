@@ -78,9 +78,10 @@ def choose_orphans(unmatched: DataFrame) -> DataFrame:
     left = cut_lineage(pairs.select("uid", "reference", "r.*"))
     founders = None
     while not left.isEmpty():
-        first_ref = left.groupBy("reference").agg(F.min("seq").alias("ref_first"))
+        # the first row of each reference, kept if it is also the first of its number
+        head = left.groupBy("reference").agg(F.min_by(F.struct("seq", "uid", "lien", "objet"), "seq").alias("r")).select(
+            "r.uid", "reference", "r.seq", "r.lien", "r.objet")
         first_uid = left.filter(F.col("uid").isNotNull()).groupBy("uid").agg(F.min("seq").alias("uid_first"))
-        head = left.join(first_ref, "reference").filter(F.col("seq") == F.col("ref_first")).drop("ref_first")
         named = head.filter(F.col("uid").isNotNull()).join(first_uid, "uid").filter(
             F.col("seq") == F.col("uid_first")).drop("uid_first")
         taken = cut_lineage(head.filter(F.col("uid").isNull()).unionByName(named))

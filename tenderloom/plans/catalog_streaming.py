@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tenderloom.plans import catalog_tables as C
 from tenderloom.plans.registry import ORACLE, query
-from tenderloom.session import scratch_path
+from tenderloom.session import cut_lineage, scratch_path
 from tenderloom.sources import bindings as B
 from tenderloom.streaming import ingest, state
 
@@ -31,7 +31,7 @@ def in_waves(spark, rows: DataFrame, order: Column, cuts: tuple, name: str, step
 
 
 def _listing(spark, d):
-    initial = B.stored_tenders(spark, d)
+    initial = cut_lineage(B.stored_tenders(spark, d), "stored")   # the stored table, as a table
     return initial, in_waves(spark, B.listing_batch(spark, d), F.col("page"), (800, 1600), "listing",
                              lambda root: ingest.listing_step(root, initial, C._now()))
 
@@ -60,7 +60,7 @@ def r02(spark, d):
 
 @query("r03_stage_stream", None)
 def r03(spark, d):
-    initial = B.tenders(spark, d)
+    initial = cut_lineage(B.tenders(spark, d), "stored")
     rows = B.outcomes(spark, d)
     root, n = in_waves(spark, rows, F.col("seq"), (300, 700), "stage", lambda root: ingest.stage_step(root, initial))
     return state.latest(spark, root, "tenders", initial, n).select("id", "retry_count", "last_error", "status", "zip_path")

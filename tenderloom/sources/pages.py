@@ -23,8 +23,8 @@ from tenderloom.functions.text import best_text, collapse, drop_label, find_date
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 _BLOCK = {"p", "div", "li", "ul", "ol", "tr", "table", "section", "article", "h1", "h2", "h3", "h4", "h5", "h6", "dt", "dd"}
 _PA_NODE = pa.struct([(n, pa.string()) for n in ("tag", "id", "css", "href", "within", "content", "inner")])
-_PA_CELLS = pa.schema([("page_id", pa.int64()), ("page_hash", pa.string()), ("row_no", pa.int32()), ("cells", pa.list_(pa.struct(
-    [("content", pa.string()), ("inner", pa.string()), ("nodes", pa.list_(_PA_NODE))])))])
+_PA_CELL = pa.struct([("content", pa.string()), ("inner", pa.string()), ("nodes", pa.list_(_PA_NODE))])
+_PA_CELLS = pa.schema([("page_id", pa.int64()), ("page_hash", pa.string()), ("row_no", pa.int32()), ("cells", pa.list_(_PA_CELL))])
 _PA_NODES = pa.schema([("page_id", pa.int64()), ("page_hash", pa.string()), ("nodes", pa.list_(_PA_NODE))])
 _DDL_NODE = "struct<tag:string,id:string,css:string,href:string,within:string,content:string,inner:string>"
 _DDL_CELLS = f"page_id long, page_hash string, row_no int, cells array<struct<content:string,inner:string,nodes:array<{_DDL_NODE}>>>"
@@ -87,9 +87,9 @@ class _Page:
             self._line_end()
         node = {"tag": tag, "id": "", "css": "", "href": None}
         if attributes:
+            seen: dict[str, str] = {}
             for m in _ATTRIBUTE.finditer(attributes):
-                node.setdefault("seen", {}).setdefault(m[1].lower(), unescape(m[2] or m[3] or m[4] or ""))
-            seen = node.pop("seen", {})
+                seen.setdefault(m[1].lower(), unescape(m[2] or m[3] or m[4] or ""))
             node["id"], node["href"] = seen.get("id", ""), seen.get("href")
             node["css"] = f" {' '.join(seen['class'].split())} " if seen.get("class", "").strip() else ""
         if (tag in ("a", "td", "tr") or (node["id"] and any(i in node["id"] for i in self.ids))
@@ -128,44 +128,99 @@ class _Page:
                 self._close_from(i)
                 return
 
-    def texts(self, n: dict) -> dict:
-        return {"content": "".join(self.raw[n["text_from"]:n["text_to"]]),
-                "inner": "".join(self.inner[n["text_from"]:n["text_to"]])}
+    def texts(self, n: dict) -> tuple[str, str]:
+        """Text as it stands, and with line ends at blocks."""
+        span = slice(n["text_from"], n["text_to"])
+        return "".join(self.raw[span]), "".join(self.inner[span])
 
-    def record(self, n: dict) -> dict:
-        return {"tag": n["tag"], "id": n["id"], "css": n["css"], "href": n["href"], "within": n["within"], **self.texts(n)}
 
-
-def _page_rows(html: str | None, marks: Marks = ROW_MARKS) -> list[list[dict]]:
+def _result_rows(page: _Page) -> list[list[dict]]:
     """Cells of each result row: rows of the result table if there is one, else all rows with cells."""
-    page = _Page(html or "", marks)
-    found = page.found
-    rows = [n for n in found if n["tag"] == "tr"]
+    rows = [n for n in page.found if n["tag"] == "tr"]
     listed = [r for r in rows if any(" table-results " in u["css"] for u in r["tables"] if u["tag"] == "table")
               and all(u["tag"] == "table" for u in r["tables"])]
-    out = []
-    for row in listed or rows:
-        cells = [n for n in found[row["first"] + 1:row["last"]] if n["tag"] == "td"]
-        if cells or listed:
-            out.append([{**page.texts(c), "nodes": [page.record(n) for n in found[c["first"] + 1:c["last"]]]} for c in cells])
-    return out
-
-
-def _page_nodes(html: str | None, marks: Marks = DETAIL_MARKS) -> list[dict]:
-    """Marked elements of the whole page. Cells and rows count only for their id or class."""
-    page = _Page(html or "", marks)
-    return [page.record(n) for n in page.found if n["tag"] not in ("tr", "td") or n["id"] or n["css"]]
-
-
-def _emit(records: Iterator[dict], schema: pa.Schema, size: int = 256) -> Iterator[pa.RecordBatch]:
-    held = []
-    for r in records:
-        held.append(r)
-        if len(held) == size:
-            yield pa.RecordBatch.from_pylist(held, schema)
-            held = []
-    if held:
-        yield pa.RecordBatch.from_pylist(held, schema)
+    cells = [[n for n in page.found[r["first"] + 1:r["last"]] if n["tag"] == "td"] for r in listed or rows]
+    return [c for c in cells if c or listed]
+
+
+class _Lists:
+    """Nested Arrow lists, column by column: plain value lists and the offsets of each level."""
+
+    def __init__(self) -> None:
+        self.nodes: dict[str, list] = {f.name: [] for f in _PA_NODE}
+        self.size = 0
+
+    def add(self, page: _Page, n: dict) -> None:
+        content, inner = page.texts(n)
+        for name, value in zip(self.nodes, (n["tag"], n["id"], n["css"], n["href"], n["within"], content, inner)):
+            self.nodes[name].append(value)
+        self.size += len(content) + len(inner) + 64
+
+    def count(self) -> int:
+        return len(self.nodes["tag"])
+
+    def array(self) -> pa.StructArray:
+        return pa.StructArray.from_arrays([pa.array(v, pa.string()) for v in self.nodes.values()], fields=list(_PA_NODE))
+
+
+_FLUSH = 1 << 23   # characters per Arrow batch, so a batch stays small whatever the pages are like
+
+
+def _read_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def fresh():
+        return _Lists(), [0], [], [], [0], []
+
+    nodes, node_ends, contents, inners, cell_ends, keys = fresh()
+
+    def built() -> pa.RecordBatch:
+        lists = pa.ListArray.from_arrays(pa.array(node_ends, pa.int32()), nodes.array())
+        cells = pa.StructArray.from_arrays([pa.array(contents, pa.string()), pa.array(inners, pa.string()), lists], fields=list(_PA_CELL))
+        columns = [pa.array([k[i] for k in keys], t) for i, t in enumerate((pa.int64(), pa.string(), pa.int32()))]
+        return pa.RecordBatch.from_arrays([*columns, pa.ListArray.from_arrays(pa.array(cell_ends, pa.int32()), cells)], schema=_PA_CELLS)
+
+    for batch in batches:
+        for page_id, page_hash, html in zip(*(batch.column(i).to_pylist() for i in range(3))):
+            page = _Page(html or "", ROW_MARKS)
+            for i, cells in enumerate(_result_rows(page)):
+                for c in cells:
+                    for n in page.found[c["first"] + 1:c["last"]]:
+                        nodes.add(page, n)
+                    node_ends.append(nodes.count())
+                    content, inner = page.texts(c)
+                    contents.append(content)
+                    inners.append(inner)
+                    nodes.size += len(content) + len(inner)
+                cell_ends.append(len(contents))
+                keys.append((page_id, page_hash, i))
+                if nodes.size > _FLUSH:
+                    yield built()
+                    nodes, node_ends, contents, inners, cell_ends, keys = fresh()
+    if keys:
+        yield built()
+
+
+def _read_nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Marked elements of whole pages. Cells and rows count only for their id or class."""
+    nodes, ends, ids, hashes = _Lists(), [0], [], []
+
+    def built() -> pa.RecordBatch:
+        lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), nodes.array())
+        return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(hashes, pa.string()), lists], schema=_PA_NODES)
+
+    for batch in batches:
+        for page_id, page_hash, html in zip(*(batch.column(i).to_pylist() for i in range(3))):
+            page = _Page(html or "", DETAIL_MARKS)
+            for n in page.found:
+                if n["tag"] not in ("tr", "td") or n["id"] or n["css"]:
+                    nodes.add(page, n)
+            ends.append(nodes.count())
+            ids.append(page_id)
+            hashes.append(page_hash)
+            if nodes.size > _FLUSH:
+                yield built()
+                nodes, ends, ids, hashes = _Lists(), [0], [], []
+    if ids:
+        yield built()
 
 
 def _input(pages: DataFrame) -> DataFrame:
@@ -174,19 +229,12 @@ def _input(pages: DataFrame) -> DataFrame:
 
 def page_rows(pages: DataFrame) -> DataFrame:
     """(page_id, page_hash, row_no, cells) for every table row of ``pages(page_id, html)``."""
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from _emit(({"page_id": p["page_id"], "page_hash": p["page_hash"], "row_no": i, "cells": cells}
-                          for b in batches for p in b.to_pylist()
-                          for i, cells in enumerate(_page_rows(p["html"]))), _PA_CELLS)
-    return _input(pages).mapInArrow(read, _DDL_CELLS)
+    return _input(pages).mapInArrow(_read_rows, _DDL_CELLS)
 
 
 def page_nodes(pages: DataFrame) -> DataFrame:
     """(page_id, page_hash, nodes) for every page."""
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from _emit(({"page_id": p["page_id"], "page_hash": p["page_hash"], "nodes": _page_nodes(p["html"])}
-                          for b in batches for p in b.to_pylist()), _PA_NODES, size=64)
-    return _input(pages).mapInArrow(read, _DDL_NODES)
+    return _input(pages).mapInArrow(_read_nodes, _DDL_NODES)
 
 
 def _first(nodes: Column, test) -> Column:

@@ -14,7 +14,8 @@ SF = "/root/testdata/sf0.001"
 def spark(tmp_path_factory):
     os.environ.setdefault("TENDERLOOM_SCRATCH", str(tmp_path_factory.mktemp("scratch")))
     session = build_session("tests", "local[8]", spark__sql__shuffle__partitions="4",
-                            spark__ui__showConsoleProgress="false", spark__driver__memory="6g")
+                            spark__ui__showConsoleProgress="false",
+                            spark__sql__maxMetadataStringLength="10000", spark__driver__memory="6g")
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

@@ -63,3 +63,41 @@ def test_every_query_has_sql_or_a_model():
     """The two without SQL are compared with a row-by-row model over the whole tables."""
     assert set(QUERIES) - set(ORACLE) == {"j04_link_with_orphans", "w03_orphan_tenders"}
     assert set(ORACLE) <= set(QUERIES)
+
+
+@pytest.fixture(scope="module")
+def stored(spark, sf, tmp_path_factory):
+    """The tenders as a stored table, read the way stored tables are read."""
+    from tenderloom import schemas as S
+    from tenderloom.operators.quality import conform
+    from tenderloom.sources import bindings as B
+    from tenderloom.sources.tables import keyed
+    path = str(tmp_path_factory.mktemp("stored") / "tenders")
+    conform(B.tenders(spark, sf), S.TENDERS).write.parquet(path)
+    return keyed(spark, path, S.TENDERS)
+
+
+def test_queue_reaches_the_scan(stored):
+    from tenderloom.operators.queue import queue
+    plan = plan_of(queue(stored, "TO_ANALYZE", 20))
+    assert "EqualTo(status,TO_ANALYZE)" in plan and "LessThan(retry_count,3)" in plan
+    read = re.search(r"ReadSchema: struct<(.*?)>", plan)[1]
+    assert {f.split(":")[0] for f in read.split(",")} == {"id", "reference", "zip_path", "estimation", "status", "retry_count", "created_at"}
+
+
+def test_totals_read_only_their_columns(stored):
+    import datetime as dt
+    from tenderloom.operators.kpi import kpis
+    read = re.search(r"ReadSchema: struct<(.*?)>", plan_of(kpis(stored, dt.date(1998, 6, 15))))[1]
+    assert {f.split(":")[0] for f in read.split(",")} == {"url_id", "estimation", "status", "created_at"}
+
+
+def test_upsert_reads_seeds_narrowly_and_joins_once(spark, sf, stored):
+    from pyspark.sql import functions as F
+    from tenderloom.operators import upsert
+    from tenderloom.sources import bindings as B
+    effects = upsert.upsert_effects(stored, B.listing_batch(spark, sf))
+    reads = re.findall(r"ReadSchema: struct<(.*?)>", plan_of(effects))
+    assert {"id", "url_id", "reference", "hash_content"} in [{f.split(":")[0] for f in r.split(",")} for r in reads]
+    whole = plan_of(upsert.apply_effects(stored, effects, F.current_timestamp()))
+    assert len(re.findall(r"FullOuter", whole)) == 1
