@@ -43,8 +43,13 @@ def with_hash(tenders: DataFrame, details: DataFrame, effective_buyer: bool = Fa
 
 
 def merge_details(tenders: DataFrame, details: DataFrame, as_of: Column, effective_buyer: bool = False,
-                  hash_column: str = "hash_content", status: str = "TO_DOWNLOAD") -> DataFrame:
-    """Enriched table. Duplicate hashes become failures: nothing stored, one retry more."""
+                  shared_hash: bool = False, status: str = "TO_DOWNLOAD") -> DataFrame:
+    """Enriched table. Duplicate hashes become failures: nothing stored, one retry more.
+
+    The detail page's hash goes to ``detail_hash``. ``shared_hash`` puts it over the listing's
+    ``hash_content`` instead, so that the next listing finds every enriched row changed.
+    """
+    hash_column = "hash_content" if shared_hash else "detail_hash"
     judged = hash_winners(with_hash(tenders, details, effective_buyer), tenders)
     d = judged.select("id", "is_duplicate", "new_hash", F.struct(
         "objet", "acheteur", *OVERWRITTEN, F.col("hash_content").alias("page_hash")).alias("d"))
@@ -55,13 +60,14 @@ def merge_details(tenders: DataFrame, details: DataFrame, as_of: Column, effecti
     for c in ("objet", "acheteur"):
         changes[c] = F.when(hit, keep_non_empty(F.col(f"d.{c}"), F.col(c))).otherwise(F.col(c))
     changes |= {
-        hash_column: F.when(hit, F.col("d.page_hash")).otherwise(F.col(hash_column)),
         "tender_hash": F.when(hit, F.col("new_hash")).otherwise(F.col("tender_hash")),
         "status": F.when(hit, F.lit(status)).otherwise(F.col("status")),
         "retry_count": F.when(lost, F.coalesce("retry_count", F.lit(0)) + 1).otherwise(F.col("retry_count")),
         "last_error": F.when(lost, F.lit(S.ERROR_HASH_TAKEN)).otherwise(F.col("last_error")),
         "updated_at": F.when(hit | lost, as_of).otherwise(F.col("updated_at")),
     }
+    if hash_column in tenders.columns:
+        changes[hash_column] = F.when(hit, F.col("d.page_hash")).otherwise(F.col(hash_column))
     return joined.withColumns(changes).select(*tenders.columns)
 
 

@@ -449,7 +449,7 @@ _DETAIL = """det AS (SELECT id, CASE WHEN id % 2 = 0 THEN '' ELSE 'Détail ' ||
     CASE WHEN dup THEN 'UNIQUE constraint failed: tenders.tender_hash' ELSE last_error END AS last_error
     FROM tenders t LEFT JOIN judged USING (id)""")
 def u03(spark, d):
-    t = enrichment.merge_details(B.tenders(spark, d), _details(spark, d), _now())
+    t = enrichment.merge_details(B.tenders(spark, d), _details(spark, d), _now(), shared_hash=True)
     return t.select("id", "objet", "acheteur", "estimation", "lien_dce", "hash_content", "tender_hash", "status", "retry_count", "last_error")
 
 

@@ -19,6 +19,7 @@ TENDERS = _struct(
     ("nb_soumissionnaires", _I), ("zip_path", _S), ("resume_txt", _S), ("drive_folder_url", _S),
     ("tender_hash", _S), ("hash_content", _S), ("hash_dce", _S), ("last_seen", _TS),
     ("retry_count", _I), ("last_error", _S), ("status", _S), ("created_at", _TS), ("updated_at", _TS),
+    ("detail_hash", _S),   # hash of the detail page, apart from the listing's hash_content
 )
 
 PVS = _struct(

@@ -35,6 +35,14 @@ def test_listing_run(spark, sf, collected):
     assert cycles.changes(tables, again, now(16)).count() == 0
 
 
+def tables_updates(collected):
+    """Updates a second look at the same listing brings: rows without a number that share a reference."""
+    tables, effects = collected
+    spark = tables.tenders.sparkSession
+    again, seen = cycles.collect_listing(tables, B.listing_pages(spark, "/root/testdata/sf0.001"), B.BASE, now(16))
+    return seen.agg(F.sum("n_updated")).first()[0]
+
+
 def test_enrich_analyze_export(spark, sf, collected, tmp_path):
     tables, _ = collected
     linked = tables.tenders.filter("lien_detail <> ''")
@@ -43,6 +51,10 @@ def test_enrich_analyze_export(spark, sf, collected, tmp_path):
     t = enriched.tenders
     assert t.filter("status = 'TO_DOWNLOAD'").count() + t.filter("last_error IS NOT NULL").count() >= linked.count()
     assert t.filter(F.col("tender_hash").isNotNull()).groupBy("tender_hash").count().filter("count > 1").count() == 0
+    assert t.filter("status = 'TO_DOWNLOAD' AND detail_hash IS NULL").count() == 0
+    # the listing's own hash is kept, so the same listing finds nothing changed
+    _, seen = cycles.collect_listing(enriched, B.listing_pages(spark, sf), B.BASE, now(17))
+    assert seen.agg(F.sum("n_updated")).first()[0] == tables_updates(collected)
     # the page of a tender without a link is missing: one retry more, status kept
     missing = t.filter("lien_detail = ''")
     assert missing.filter(F.col("last_error") == S.ERROR_NO_LINK).count() == missing.count() > 0
