@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tenderloom.llm import packing, simple8b
+from tenderloom.llm import decontaminate, minhash, packing, simple8b
 from tenderloom.llm.common import table
 from tenderloom.session import scratch_path
 
@@ -31,3 +31,15 @@ def op5_simple8b_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "llm-simple8b")
     simple8b.write(table(spark, sf_dir, "documents"), path)
     return simple8b.read(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+@query
+def op7_circulant_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), words=4)
+
+
+@query
+def op9_wu_manber(spark: SparkSession, sf_dir: str) -> DataFrame:
+    marked = decontaminate.mark(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return marked.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                         F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
