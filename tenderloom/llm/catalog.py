@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tenderloom.llm import decontaminate, minhash, packing, simple8b
+from tenderloom.llm import chat, decontaminate, language, minhash, packing, quality, simple8b, topk
 from tenderloom.llm.common import table
 from tenderloom.session import scratch_path
 
@@ -43,3 +43,72 @@ def op9_wu_manber(spark: SparkSession, sf_dir: str) -> DataFrame:
     marked = decontaminate.mark(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return marked.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
                          F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
+@query
+def op1_factorisation_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1
+    machine = quality.learn(docs, labels.where(~held_out))
+    scored = quality.score(docs.select("doc_id", "text", "n_chars"), machine)
+    return scored.select("doc_id", held_out.alias("held_out"), F.col("quality_score").alias("score"),
+                         (F.col("quality_score") >= 0.5).cast("int").alias("predicted"))
+
+
+@query
+def op2_block_pruned_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = topk.integer_vectors(table(spark, sf_dir, "embeddings"))
+    return topk.top_k(vectors, vectors.where("vec_id % 20 = 0"), k=20)
+
+
+ORACLE["op2_block_pruned_top_k"] = """
+WITH valid AS (
+  SELECT vec_id, embedding FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS DOUBLE)) AS e FROM valid),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id),
+ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
+"""
+
+
+@query
+def op3_zstd_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    dictionaries = language.learn(docs.where(~held_out))
+    found = language.identify(docs.select("doc_id", "text"), dictionaries)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", F.col("lang_score").alias("score"))
+
+
+@query
+def op6_relational_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    planted = spark.range(2).selectExpr("-7L as conv_id", "id as turn", "if(id = 0, 'user', 'assistant') as role", "'</s>[INST] ok [/INST]' as text")
+    chats = chat.format_chats(turns.union(planted))
+    back = chats.select("conv_id", "formatted", "segments", chat.parse(F.col("formatted")).alias("turns"), chat.loss_text(F.col("segments")).alias("loss"))
+    told = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return back.select("conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(told.cast("binary"), 256).alias("turns_sha256"),
+                       F.length("loss").cast("long").alias("loss_chars"), F.sha2(F.col("loss").cast("binary"), 256).alias("loss_sha256"),
+                       F.length("formatted").cast("long").alias("formatted_chars"))
+
+
+ORACLE["op6_relational_chat"] = r"""
+WITH rows AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')),
+sized AS (
+  SELECT *, lag(role) OVER w AS before,
+         length(text) + len(regexp_extract_all(text, '[<\[]\\*(/?s>|/?INST\])')) AS n_text,
+         length(role) + len(regexp_extract_all(role, '[<\[]\\*(/?s>|/?INST\])')) AS n_role
+  FROM rows WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text))
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(n_text + CASE WHEN before IS NULL OR before <> role THEN n_role + 13 ELSE 7 END) AS BIGINT) AS formatted_chars
+FROM sized GROUP BY conv_id
+"""
