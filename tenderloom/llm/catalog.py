@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tenderloom.llm import chat, decontaminate, language, minhash, packing, quality, simple8b, topk
+from tenderloom.llm import chat, counting, decontaminate, language, minhash, packing, quality, simple8b, topk
 from tenderloom.llm.common import table
 from tenderloom.session import scratch_path
 
@@ -112,3 +112,8 @@ SELECT conv_id, count(*) AS n_turns,
        CAST(sum(n_text + CASE WHEN before IS NULL OR before <> role THEN n_role + 13 ELSE 7 END) AS BIGINT) AS formatted_chars
 FROM sized GROUP BY conv_id
 """
+
+
+@query
+def op8_transducer_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return counting.count_tokens(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
