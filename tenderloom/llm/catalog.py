@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tenderloom.llm import chat, counting, decontaminate, language, minhash, packing, quality, simple8b, topk
+from tenderloom.llm import chat, counting, decontaminate, language, minhash, packing, quality, simple8b, suffixes, topk
 from tenderloom.llm.common import table
 from tenderloom.session import scratch_path
 
@@ -117,3 +117,9 @@ FROM sized GROUP BY conv_id
 @query
 def op8_transducer_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counting.count_tokens(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+
+
+@query
+def op10_difference_cover(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffixes.remove_repeats(table(spark, sf_dir, "documents"), length=50)
+    return found.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
