@@ -25,6 +25,7 @@ PERIOD, COVER = 13, (0, 1, 3, 9)
 GRAM = 12
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 PIECES = "bucket int, docs binary, keys binary, starts binary, sizes binary, text binary"
+RESULT = ["doc_id", "n_bytes", "n_removed", "spans", "kept", "kept_text", "carried"]
 _NONE = np.iinfo(np.int64).max
 
 
@@ -249,9 +250,24 @@ def _spans(start: np.ndarray, size: np.ndarray, length: int) -> tuple[np.ndarray
     return first[new], last[np.append(np.flatnonzero(new)[1:] - 1, len(last) - 1)]
 
 
-def remove_repeats(df: DataFrame, length: int = 50, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def _whole_characters(raw: bytes, first: np.ndarray, last: np.ndarray) -> str:
+    """The text without the ranges and without characters that a range cuts into."""
+    pieces, at = [], 0
+    for a, b in zip(first.tolist(), last.tolist()):
+        while a > at and raw[a] & 0xC0 == 0x80:
+            a -= 1
+        while b < len(raw) and raw[b] & 0xC0 == 0x80:
+            b += 1
+        pieces.append(raw[at:a])
+        at = b
+    return b"".join([*pieces, raw[at:]]).decode()
+
+
+def remove_repeats(df: DataFrame, length: int = 50, id_col: str = "doc_id", text_col: str = "text", carry: list[str] | None = None) -> DataFrame:
     """Per row: doc_id, n_bytes, n_removed, spans (array of start, end in bytes; maximal, in order), kept (binary: the bytes that are left).
 
+    With ``carry`` also kept_text (characters that a span cuts into are left out) and carried, a struct of those columns of the row.
+
     Ids are whole numbers. Texts are UTF-8 bytes, null counts as empty; matches never cross rows. A run counts as repeated if a row with a smaller
     id has it, judged on the input; rows that repeat an id do not remove from each other. A row with a null id keeps all and removes
     nothing. Texts shorter than ``length`` are kept. An empty table stays empty; other columns are not looked at.
@@ -259,21 +275,24 @@ def remove_repeats(df: DataFrame, length: int = 50, id_col: str = "doc_id", text
     spark = df.sparkSession
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     buckets, parts = 20 * tasks, 4 * tasks
-    docs = df.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    docs = df.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"),
+                     F.struct(*(carry or [F.lit(0).alias("none")])).alias("carried"))
     docs = docs.withColumn("key", F.xxhash64("doc_id", "text"))
-    pieces = _by_document(docs, length, buckets)
+    carried = docs.schema["carried"].dataType
+    pieces = _by_document(docs.select("doc_id", "text", "key"), length, buckets)
     spread = F.when(F.col("bucket") < 0, F.xxhash64("keys")).otherwise(F.col("bucket").cast("long"))
     dealt = pieces.withColumn("lane", spread).repartition("lane").sortWithinPartitions("bucket")
     removed = _by_bucket(dealt, length, parts)
-    lines = removed.selectExpr("part", "0 as kind", "cast(null as bigint) doc_id", "cast(null as bigint) key", "cast(null as string) text", "keys", "starts", "sizes")
+    lines = removed.selectExpr("part", "0 as kind", "cast(null as bigint) doc_id", "cast(null as bigint) key", "cast(null as string) text", "keys", "starts", "sizes").withColumn(
+        "carried", F.lit(None).cast(carried))
     texts = docs.selectExpr(f"cast(pmod(key, {parts}) as int) part", "1 as kind", "doc_id", "key", "text", "cast(null as binary) keys",
-                            "cast(null as binary) starts", "cast(null as binary) sizes")
+                            "cast(null as binary) starts", "cast(null as binary) sizes", "carried")
     met = texts.union(lines).repartition("part").sortWithinPartitions("part", "kind")
 
     def run(batches):
         part, keys, starts, sizes, ready = None, [], [], [], False
         for batch in slices(batches):
-            rows = []
+            rows, at = [], []
             columns = {c: batch.column(c) for c in batch.schema.names}
             for i, (p, kind) in enumerate(zip(columns["part"].to_pylist(), columns["kind"].to_pylist())):
                 if p != part:
@@ -288,15 +307,21 @@ def remove_repeats(df: DataFrame, length: int = 50, id_col: str = "doc_id", text
                     key, start, size, ready = key[order], start[order], size[order], True
                 raw, doc = columns["text"][i].as_buffer().to_pybytes(), columns["doc_id"][i].as_py()
                 mine = columns["key"][i].as_py()
+                at.append(i)
                 a, b = np.searchsorted(key, mine, "left"), np.searchsorted(key, mine, "right")
                 if a == b or doc is None:
-                    rows.append((doc, len(raw), 0, [], raw))
+                    rows.append((doc, len(raw), 0, [], raw, raw.decode() if carry else None))
                     continue
                 first, last = _spans(start[a:b], size[a:b], length)
                 kept = b"".join(raw[x:y] for x, y in zip([0, *last.tolist()], [*first.tolist(), len(raw)]))
-                rows.append((doc, len(raw), len(raw) - len(kept), [{"start": x, "end": y} for x, y in zip(first.tolist(), last.tolist())], kept))
+                rows.append((doc, len(raw), len(raw) - len(kept), [{"start": x, "end": y} for x, y in zip(first.tolist(), last.tolist())], kept,
+                             _whole_characters(raw, first, last) if carry else None))
             if rows:
-                kinds = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])), pa.binary()]
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], ["doc_id", "n_bytes", "n_removed", "spans", "kept"])
-
-    return met.mapInArrow(run, "doc_id long, n_bytes long, n_removed long, spans array<struct<start: long, end: long>>, kept binary")
+                kinds = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])), pa.binary(), pa.string()]
+                found = [pa.array(c, k) for c, k in zip(zip(*rows), kinds)]
+                yield pa.RecordBatch.from_arrays([*found, columns["carried"].take(pa.array(at))], RESULT)
+
+    empty = met.selectExpr("doc_id", "0L n_bytes", "0L n_removed", "cast(null as array<struct<start: bigint, end: bigint>>) spans",
+                           "cast(null as binary) kept", "cast(null as string) kept_text", "carried")
+    out = met.mapInArrow(run, empty.schema)
+    return out if carry else out.drop("kept_text", "carried")
