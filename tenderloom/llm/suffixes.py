@@ -2,11 +2,14 @@
 
 Every run of ``length`` bytes that also starts in a document with a smaller id is removed. The suffixes to be sorted are dealt into buckets by
 content: a suffix belongs to the bucket of the smallest hashed gram among its first ``length`` bytes, so equal runs meet, and neighbouring
-suffixes nearly always go together, as one stretch of text. One bucket is sorted at a time, in the memory that it needs. Stretches that are equal as a
-whole are settled first, in the task that reads the text and again in the bucket, so a passage that a third of the documents share comes from each task
-once. In a bucket, suffixes are ordered by their first bytes and, where those tie, by the last bytes of the run; ties that are left are
-long ones and are resolved by ranks of a difference cover: positions whose number modulo ``PERIOD`` is in ``COVER`` are ranked by the
-bytes that follow, and any two suffixes have an offset below ``PERIOD`` at which both meet ranked positions, so they are equal if their ranks there are.
+suffixes nearly always go together, as one stretch of text. Texts are shuffled once, into parts of bounded size. A first pass sends a hash of each part's distinct
+grams only, and learns which of them other parts have; stretches whose gram no other document has stay at home. A stretch that a smaller document
+of the same part has as a whole is settled there, so a passage that a third of the documents share comes from each part once.
+
+One bucket is sorted at a time, in the memory that it needs. Stretches that are equal as a whole are settled first; then suffixes are told apart by a few places of
+the run, its first and its last bytes. Ties that are left are long ones and are resolved by ranks of a difference cover: positions whose
+number modulo ``PERIOD`` is in ``COVER`` are ranked by the bytes that follow, and any two suffixes have an offset below ``PERIOD`` at
+which both meet ranked positions, so they are equal if their ranks there are.
 """
 
 from __future__ import annotations
@@ -18,13 +21,14 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tenderloom.llm.common import buffer_of, slices
+from tenderloom.llm.common import buffer_of
 
 # A difference cover: each of 0 to 12 is a difference of two of its numbers modulo 13.
 PERIOD, COVER = 13, (0, 1, 3, 9)
-GRAM = 12
+GRAM = 16
+# Buckets that one row of pieces holds side by side; they are sorted one after the other.
+SIDE = 8
 _MIX = np.uint64(0x9E3779B97F4A7C15)
-PIECES = "bucket int, docs binary, keys binary, starts binary, sizes binary, text binary"
 RESULT = ["doc_id", "n_bytes", "n_removed", "spans", "kept", "kept_text", "carried"]
 _NONE = np.iinfo(np.int64).max
 
@@ -47,7 +51,8 @@ def stretches(data: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.nd
     h = (words[:n] << np.uint64(low)) * _MIX
     if high:
         h ^= (words[high:n + high] * _MIX) >> np.uint64(7)
-    h = ((h ^ (h >> np.uint64(29))) * _MIX >> np.uint64(32)).astype(np.uint32)
+    h = (h ^ (h >> np.uint64(29))) * _MIX
+    h ^= h >> np.uint64(32)
     least, width = h, 1
     while 2 * width <= span:
         least, width = np.minimum(least[:-width], least[width:]), 2 * width
@@ -63,43 +68,105 @@ def stretches(data: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.nd
     return doc[first], first, np.diff(np.append(total[first], total[-1])), least[first]
 
 
-def _by_document(docs: DataFrame, length: int, buckets: int) -> DataFrame:
-    """Stretches of all texts, packed by bucket; those already settled inside the task go with bucket -1 and no text."""
+def _of_part(texts: pa.Table, length: int, buckets: int) -> tuple | None:
+    """The stretches of one part of the texts, in an order that depends on its rows alone: document, key, start, size, bucket (-1: settled, as a smaller
+    document of the part has the same stretch), gram, text."""
+    texts = texts.filter(pc.is_valid(texts["doc_id"])).combine_chunks()
+    order = np.lexsort((texts["key"].to_numpy(), texts["doc_id"].to_numpy()))
+    batch = texts.take(pa.array(order)).combine_chunks()
+    column = lambda name: pa.concat_arrays(batch[name].chunks) if batch.num_rows else pa.array([], batch.schema.field(name).type)
+    data, offsets = buffer_of(column("text"))
+    ids, keys = column("doc_id").to_numpy(), column("key").to_numpy()
+    doc, first, size, gram = stretches(data, offsets, length)
+    if not len(doc):
+        return None
+    raw, owner = data.tobytes(), ids[doc]
+    text = [raw[a:b] for a, b in zip(first.tolist(), (first + size + length - 1).tolist())]
+    seen: dict[bytes, int] = {}
+    settled = np.fromiter((seen.setdefault(t, o) < o for t, o in zip(text, owner.tolist())), bool, len(text))
+    mixed = gram * _MIX
+    bucket = ((mixed >> np.uint64(33)) % np.uint64(buckets)).astype(np.int32)
+    bucket[settled] = -1
+    return owner, keys[doc], first - offsets[doc], size, bucket, ((mixed ^ gram) & np.uint64(0xFFFFFFFF)).astype(np.uint32), text
+
+
+def _runs(bucket: np.ndarray) -> list[np.ndarray]:
+    """Indexes by bucket, buckets ascending."""
+    order = np.argsort(bucket, kind="stable")
+    cuts = np.append(np.flatnonzero(np.diff(bucket[order], prepend=-2)), len(order))
+    return [order[a:b] for a, b in zip(cuts[:-1], cuts[1:])]
+
+
+def _shared_grams(grams: DataFrame) -> DataFrame:
+    """Of the distinct grams that a part has in a lane, which another part has, too: a bit for each."""
+    def settle(held):
+        if not held:
+            return
+        all_ = np.concatenate([g for _, g in held])
+        _, where, count = np.unique(all_, return_inverse=True, return_counts=True)
+        bits, at = count[where] > 1, 0
+        rows = []
+        for part, g in held:
+            rows.append((part, lane_of[0], np.packbits(bits[at:at + len(g)]).tobytes()))
+            at += len(g)
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), (pa.int32(), pa.int32(), pa.binary()))], ["part", "lane", "bits"])
+
+    lane_of = [None]
+
     def run(batches):
-        squeeze = zstandard.ZstdCompressor(level=1)
-        for batch in slices(batches):
-            batch = batch.filter(pc.is_valid(batch.column("doc_id")))
-            batch = batch.take(pa.array(np.argsort(batch.column("doc_id").to_numpy(), kind="stable")))
-            data, offsets = buffer_of(batch.column("text"))
-            ids, keys = batch.column("doc_id").to_numpy(), batch.column("key").to_numpy()
-            doc, first, size, gram = stretches(data, offsets, length)
-            if not len(doc):
-                continue
-            raw = data.tobytes()
-            ends = first + size + length - 1
-            owner = ids[doc]
-            seen: dict[bytes, int] = {}
-            text = [raw[a:b] for a, b in zip(first.tolist(), ends.tolist())]
-            settled = np.fromiter((seen.setdefault(t, o) < o for t, o in zip(text, owner.tolist())), bool, len(text))
-            bucket = ((gram.astype(np.uint64) * _MIX >> np.uint64(33)) % np.uint64(buckets)).astype(np.int32)
-            bucket[settled] = -1
-            order = np.argsort(bucket, kind="stable")
-            cuts = np.append(np.flatnonzero(np.diff(bucket[order], prepend=-2)), len(order))
-            starts = first - offsets[doc]
-            rows = []
-            for a, b in zip(cuts[:-1], cuts[1:]):
-                own = order[a:b]
-                k = int(bucket[own[0]])
-                packed = squeeze.compress(b"".join([text[i] for i in own])) if k >= 0 else b""
-                rows.append((k, owner[own].tobytes(), keys[doc[own]].tobytes(), starts[own].tobytes(), size[own].tobytes(), packed))
-            yield _rows(rows)
-
-    return docs.mapInArrow(run, PIECES)
-
-
-def _rows(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = [pa.int32()] + [pa.binary()] * 5
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], ["bucket", "docs", "keys", "starts", "sizes", "text"])
+        held = []
+        for batch in batches:
+            for b, part, g in zip(batch.column("lane").to_pylist(), batch.column("part").to_pylist(), batch.column("grams")):
+                if b != lane_of[0]:
+                    yield from settle(held)
+                    held, lane_of[0] = [], b
+                held.append((part, np.frombuffer(g.as_buffer(), np.uint32)))
+        yield from settle(held)
+
+    return grams.repartition("lane").sortWithinPartitions("lane").mapInArrow(run, "part int, lane int, bits binary")
+
+
+def _pieces(texts: DataFrame, length: int, lanes: int) -> DataFrame:
+    """Stretches with their text, but those whose gram no other document has: a row for each lane, its buckets side by side as arrays. Settled
+    ones go in rows of their own, without text."""
+    def grams(table: pa.Table) -> pa.Table:
+        found, rows = _of_part(table, length, lanes * SIDE), []
+        if found:
+            lane, gram = np.where(found[4] < 0, -1, found[4] // SIDE), found[5]
+            part = table["part"][0].as_py()
+            rows = [(part, int(lane[own[0]]), np.unique(gram[own]).tobytes()) for own in _runs(lane) if lane[own[0]] >= 0]
+        return pa.table([pa.array([r[i] for r in rows], k) for i, k in enumerate((pa.int32(), pa.int32(), pa.binary()))], ["part", "lane", "grams"])
+
+    def pieces(table: pa.Table, flags: pa.Table) -> pa.Table:
+        found, rows = _of_part(table, length, lanes * SIDE) if table.num_rows else None, []
+        if found:
+            owner, keys, starts, sizes, bucket, gram, text = found
+            bits = dict(zip(flags["lane"].to_pylist(), flags["bits"].to_pylist()))
+            squeeze = zstandard.ZstdCompressor(level=3)
+
+            def packed(own: np.ndarray, with_text: bool) -> tuple[bytes, bytes, bytes]:
+                head = np.concatenate([np.diff(owner[own], prepend=0), starts[own], sizes[own]])
+                return squeeze.compress(head.tobytes()), keys[own].tobytes(), squeeze.compress(b"".join([text[i] for i in own])) if with_text else b""
+
+            for own in _runs(np.where(bucket < 0, -1, bucket // SIDE)):
+                if bucket[own[0]] < 0:
+                    rows.append((-1, *([x] for x in packed(own, False))))
+                    continue
+                lane = int(bucket[own[0]]) // SIDE
+                distinct, where = np.unique(gram[own], return_inverse=True)
+                elsewhere = np.unpackbits(np.frombuffer(bits[lane], np.uint8), count=len(distinct)).astype(bool)
+                low, high = np.full(len(distinct), _NONE), np.full(len(distinct), -_NONE)
+                np.minimum.at(low, where, owner[own])
+                np.maximum.at(high, where, owner[own])
+                own = own[(elsewhere | (low < high))[where]]
+                if len(own):
+                    rows.append((lane, *map(list, zip(*(packed(own[bucket[own] % SIDE == k], True) for k in range(SIDE))))))
+        kinds = (pa.int32(), *[pa.list_(pa.binary())] * 3)
+        return pa.table([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], ["lane", "head", "keys", "text"])
+
+    flags = _shared_grams(texts.groupBy("part").applyInArrow(grams, "part int, lane int, grams binary"))
+    return texts.groupBy("part").cogroup(flags.groupBy("part")).applyInArrow(
+        pieces, "lane int, head array<binary>, keys array<binary>, text array<binary>")
 
 
 def _tied(groups: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -167,8 +234,7 @@ def first_owners(data: np.ndarray, starts: np.ndarray, owners: np.ndarray, lengt
 def _settle(rows: list[tuple], length: int) -> tuple[np.ndarray, ...]:
     """One bucket: key, start and size of every run of suffixes that a smaller document has, too."""
     unpack = zstandard.ZstdDecompressor()
-    read = lambda i: np.concatenate([np.frombuffer(r[i], np.int64) for r in rows])
-    docs, keys, starts, sizes = (read(i) for i in range(4))
+    docs, keys, starts, sizes = (np.concatenate([r[i] for r in rows]) for i in range(4))
     ends = np.cumsum(sizes + length - 1)
     raw = b"".join(unpack.decompress(r[4]) for r in rows)
     seen: dict[bytes, int] = {}
@@ -204,7 +270,7 @@ def _by_bucket(pieces: DataFrame, length: int, parts: int) -> DataFrame:
     def run(batches):
         held: list[tuple] = []
         found: list[tuple[np.ndarray, ...]] = []
-        bucket = None
+        lane, unpack = None, zstandard.ZstdDecompressor()
 
         def flush():
             key, start, size = (np.concatenate(c) for c in zip(*found))
@@ -217,25 +283,29 @@ def _by_bucket(pieces: DataFrame, length: int, parts: int) -> DataFrame:
                 [pa.array([int(part[o[0]]) for o in own], pa.int32()), *(pa.array([c[o].tobytes() for o in own], pa.binary()) for c in (key, start, size))],
                 ["part", "keys", "starts", "sizes"])
 
-        def close():
-            if held:
-                found.append(_settle(held, length))
-                held.clear()
+        def opened(head, keys, text):
+            docs, starts, sizes = np.frombuffer(unpack.decompress(head), np.int64).reshape(3, -1)
+            return np.cumsum(docs), np.frombuffer(keys, np.int64), starts, sizes, text
+
+        def settle():
+            for k in range(SIDE if held else 0):
+                rows = [opened(*(column[k] for column in row)) for row in held]
+                if any(len(r[0]) for r in rows):
+                    found.append(_settle(rows, length))
+                if sum(len(f[0]) for f in found) > 1 << 19:
+                    yield flush()
+            held.clear()
 
         for batch in batches:
-            columns = [batch.column(c) for c in ("docs", "keys", "starts", "sizes", "text")]
-            for i, b in enumerate(batch.column("bucket").to_pylist()):
-                row = tuple(c[i].as_py() for c in columns)
-                if b != bucket:
-                    close()
-                    bucket = b
-                if b < 0:
-                    found.append(tuple(np.frombuffer(x, np.int64) for x in row[1:4]))
+            for at, *row in zip(*(batch.column(c).to_pylist() for c in ("lane", "head", "keys", "text"))):
+                if at != lane:
+                    yield from settle()
+                    lane = at
+                if at < 0:
+                    found.append(opened(*(column[0] for column in row))[1:4])
                 else:
                     held.append(row)
-                if sum(len(f[0]) for f in found) > 1 << 19:
-                    yield flush()
-        close()
+        yield from settle()
         if found and sum(len(f[0]) for f in found):
             yield flush()
 
@@ -274,54 +344,31 @@ def remove_repeats(df: DataFrame, length: int = 50, id_col: str = "doc_id", text
     """
     spark = df.sparkSession
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    buckets, parts = 20 * tasks, 4 * tasks
+    parts = 4 * tasks
     docs = df.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"),
                      F.struct(*(carry or [F.lit(0).alias("none")])).alias("carried"))
-    docs = docs.withColumn("key", F.xxhash64("doc_id", "text"))
-    carried = docs.schema["carried"].dataType
-    pieces = _by_document(docs.select("doc_id", "text", "key"), length, buckets)
-    spread = F.when(F.col("bucket") < 0, F.xxhash64("keys")).otherwise(F.col("bucket").cast("long"))
-    dealt = pieces.withColumn("lane", spread).repartition("lane").sortWithinPartitions("bucket")
-    removed = _by_bucket(dealt, length, parts)
-    lines = removed.selectExpr("part", "0 as kind", "cast(null as bigint) doc_id", "cast(null as bigint) key", "cast(null as string) text", "keys", "starts", "sizes").withColumn(
-        "carried", F.lit(None).cast(carried))
-    texts = docs.selectExpr(f"cast(pmod(key, {parts}) as int) part", "1 as kind", "doc_id", "key", "text", "cast(null as binary) keys",
-                            "cast(null as binary) starts", "cast(null as binary) sizes", "carried")
-    met = texts.union(lines).repartition("part").sortWithinPartitions("part", "kind")
-
-    def run(batches):
-        part, keys, starts, sizes, ready = None, [], [], [], False
-        for batch in slices(batches):
-            rows, at = [], []
-            columns = {c: batch.column(c) for c in batch.schema.names}
-            for i, (p, kind) in enumerate(zip(columns["part"].to_pylist(), columns["kind"].to_pylist())):
-                if p != part:
-                    part, keys, starts, sizes, ready = p, [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], False
-                if kind == 0:
-                    for held, name in ((keys, "keys"), (starts, "starts"), (sizes, "sizes")):
-                        held.append(np.frombuffer(columns[name][i].as_py(), np.int64))
-                    continue
-                if not ready:
-                    key, start, size = np.concatenate(keys), np.concatenate(starts), np.concatenate(sizes)
-                    order = np.argsort(key, kind="stable")
-                    key, start, size, ready = key[order], start[order], size[order], True
-                raw, doc = columns["text"][i].as_buffer().to_pybytes(), columns["doc_id"][i].as_py()
-                mine = columns["key"][i].as_py()
-                at.append(i)
-                a, b = np.searchsorted(key, mine, "left"), np.searchsorted(key, mine, "right")
-                if a == b or doc is None:
-                    rows.append((doc, len(raw), 0, [], raw, raw.decode() if carry else None))
-                    continue
-                first, last = _spans(start[a:b], size[a:b], length)
-                kept = b"".join(raw[x:y] for x, y in zip([0, *last.tolist()], [*first.tolist(), len(raw)]))
-                rows.append((doc, len(raw), len(raw) - len(kept), [{"start": x, "end": y} for x, y in zip(first.tolist(), last.tolist())], kept,
-                             _whole_characters(raw, first, last) if carry else None))
-            if rows:
-                kinds = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])), pa.binary(), pa.string()]
-                found = [pa.array(c, k) for c, k in zip(zip(*rows), kinds)]
-                yield pa.RecordBatch.from_arrays([*found, columns["carried"].take(pa.array(at))], RESULT)
-
-    empty = met.selectExpr("doc_id", "0L n_bytes", "0L n_removed", "cast(null as array<struct<start: bigint, end: bigint>>) spans",
-                           "cast(null as binary) kept", "cast(null as string) kept_text", "carried")
-    out = met.mapInArrow(run, empty.schema)
+    docs = docs.withColumn("key", F.xxhash64("doc_id", "text")).withColumn("part", F.pmod("key", F.lit(parts)).cast("int"))
+    pieces = _pieces(docs, length, tasks)
+    spread = F.when(F.col("lane") < 0, F.xxhash64("keys")).otherwise(F.col("lane").cast("long"))
+    removed = _by_bucket(pieces.withColumn("to", spread).repartition("to").sortWithinPartitions("lane"), length, parts)
+
+    def run(table: pa.Table, lines: pa.Table) -> pa.Table:
+        gather = lambda name: np.concatenate([np.zeros(0, np.int64), *(np.frombuffer(x, np.int64) for x in lines[name].to_pylist())])
+        key, start, size = gather("keys"), gather("starts"), gather("sizes")
+        order = np.argsort(key, kind="stable")
+        key, start, size = key[order], start[order], size[order]
+        rows = []
+        for doc, mine, text in zip(table["doc_id"].to_pylist(), table["key"].to_pylist(), table["text"]):
+            raw = text.as_buffer().to_pybytes()
+            a, b = np.searchsorted(key, mine, "left"), np.searchsorted(key, mine, "right")
+            first, last = _spans(start[a:b], size[a:b], length) if a < b and doc is not None else (np.zeros(0, np.int64),) * 2
+            kept = b"".join(raw[x:y] for x, y in zip([0, *last.tolist()], [*first.tolist(), len(raw)]))
+            spans = [{"start": x, "end": y} for x, y in zip(first.tolist(), last.tolist())]
+            rows.append((doc, len(raw), len(raw) - len(kept), spans, kept, _whole_characters(raw, first, last) if carry else None))
+        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])), pa.binary(), pa.string()]
+        return pa.table([*(pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)), table["carried"]], RESULT)
+
+    empty = docs.selectExpr("doc_id", "0L n_bytes", "0L n_removed", "cast(null as array<struct<start: bigint, end: bigint>>) spans",
+                            "cast(null as binary) kept", "cast(null as string) kept_text", "carried")
+    out = docs.groupBy("part").cogroup(removed.groupBy("part")).applyInArrow(run, empty.schema)
     return out if carry else out.drop("kept_text", "carried")
