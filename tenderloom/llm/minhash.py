@@ -2,12 +2,15 @@
 
 Two permutations of the 32-bit universe of shingles make all signature coordinates: the first breaks up structure in the data, the second is applied
 after a circular shift by the coordinate's number (a shift is an addition modulo 2^32). Equal sets are one class from the start. Bands of class
-representatives meet in buckets; each member is compared with its bucket's smallest and largest member, and only where that leaves several
-components in one bucket, members of different components are compared with each other. So a bucket of thousands of copies costs a few
-comparisons per member, and no pair that shares a bucket goes unexamined unless its ends are known to be connected. Every link is confirmed on the whole
-shingle sets (64-bit hashes of the shingles).
-
-With 36 bands of 5 coordinates a pair at the limit of 0.8 shares no bucket with probability (1 - 0.8^5)^36 = 6e-7.
+representatives meet in buckets, which are worked off in three rounds, each followed by the components of all links so far:
+members against their bucket's smallest member in the first few bands; the same in all bands, where the two are not connected yet; and all pairs of
+members of different components in buckets that still hold several. So a bucket of thousands of copies costs a few comparisons per
+member, and no pair that shares a bucket goes unexamined unless its ends are known to be connected.
+
+A pair is first judged by its set sizes and by how many of ``KEPT`` signature coordinates agree; what is left is confirmed on the whole shingle sets
+(64-bit hashes of the shingles). With 130 bands of 10 coordinates a pair at the limit of 0.8 shares no bucket with probability
+(1 - 0.8^10)^130 = 4e-7, and one at 0.3, as texts with a common passage are, shares one with 8e-4. The agreement asked for is six standard
+deviations below what a pair at the limit has, which one in 1e9 such pairs misses.
 """
 
 from __future__ import annotations
@@ -16,13 +19,15 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tenderloom.llm.common import slices, split_words, stored
 from tenderloom.llm.components import components
 
-BANDS, ROWS = 36, 5
+BANDS, ROWS = 130, 10
+# Bands of the first round; coordinates of which one byte each is kept for judging pairs.
+FIRST, KEPT = 8, 256
 # Shingles whose permuted values are held at a time: they stay in a core's cache.
 TILE = 1 << 16
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], np.uint64)
@@ -87,34 +92,37 @@ def signatures(shingles: np.ndarray, offsets: np.ndarray, size: int) -> np.ndarr
 
 
 def band_keys(signature: np.ndarray, bands: int, rows: int) -> np.ndarray:
-    """sets x bands: one 64-bit key per band, different for different bands."""
+    """sets x bands: one 64-bit key per band, different for different bands; the first ``FIRST`` bands have odd keys."""
     keys = np.empty((signature.shape[1], bands), np.uint64)
     for b in range(bands):
         h = np.full(signature.shape[1], b + 1, np.uint64)
         for r in range(rows):
             h = (h + signature[b * rows + r].astype(np.uint64)) * _ODD[r % 3]
             h ^= h >> np.uint64(31)
-        keys[:, b] = _mix(h)
+        keys[:, b] = _mix(h) & ~np.uint64(1) | np.uint64(b < FIRST)
     return keys.view(np.int64)
 
 
 def sketch(docs: DataFrame, words: int, bands: int, rows: int) -> DataFrame:
-    """doc_id, n_shingles, set_id (digest of the set; null if empty), bands."""
+    """doc_id, n_shingles, set_id (digest of the set; null if empty), bands, signature (a byte of each of the first coordinates)."""
     def run(batches):
         for batch in slices(batches):
             sets, offsets = shingle_sets(batch.column("text"), words)
             n = np.diff(offsets)
             full = np.flatnonzero(n)
-            keys = band_keys(signatures(sets, np.concatenate([offsets[:-1][full], offsets[-1:]]), bands * rows), bands, rows)
+            drawn = signatures(sets, np.concatenate([offsets[:-1][full], offsets[-1:]]), bands * rows)
+            keys, short = band_keys(drawn, bands, rows), np.ascontiguousarray(drawn[:KEPT].T.astype(np.uint8))
             ids: list[bytes | None] = [None] * len(n)
-            for i in full:
+            signs: list[bytes | None] = [None] * len(n)
+            for k, i in enumerate(full):
+                signs[i] = short[k].tobytes()
                 ids[i] = xxhash.xxh3_128_digest(sets[offsets[i]:offsets[i + 1]])
             lists = np.concatenate([[0], np.cumsum(np.where(n > 0, bands, 0))]).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(n), pa.array(ids, pa.binary()), pa.ListArray.from_arrays(lists, pa.array(keys.ravel()))],
-                ["doc_id", "n_shingles", "set_id", "bands"])
+                [batch.column("doc_id"), pa.array(n), pa.array(ids, pa.binary()), pa.ListArray.from_arrays(lists, pa.array(keys.ravel())),
+                 pa.array(signs, pa.binary())], ["doc_id", "n_shingles", "set_id", "bands", "signature"])
 
-    return docs.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_shingles long, set_id binary, bands array<long>")
+    return docs.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_shingles long, set_id binary, bands array<long>, signature binary")
 
 
 def full_sets(docs: DataFrame, words: int) -> DataFrame:
@@ -128,17 +136,35 @@ def full_sets(docs: DataFrame, words: int) -> DataFrame:
     return docs.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, shingles array<long>")
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose whole sets have 100 * intersection >= percent * union."""
-    pairs = stored(pairs, "pairs")
+def alike(pairs: DataFrame, signatures: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) of which enough signature coordinates agree."""
+    left = signatures.select(F.col("doc_id").alias("a"), F.col("signature").alias("sa"))
+    right = signatures.select(F.col("doc_id").alias("b"), F.col("signature").alias("sb"))
+
+    def run(batches):
+        for batch in batches:
+            if batch.num_rows:
+                x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(batch.num_rows, -1) for c in ("sa", "sb"))
+                share = percent / 100
+                least = x.shape[1] * share - 6 * np.sqrt(x.shape[1] * share * (1 - share))
+                yield batch.select(["a", "b"]).filter(pa.array((x == y).sum(axis=1) >= least))
+
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "sb").mapInArrow(run, pairs.schema)
+
+
+def confirmed(pairs: DataFrame, signatures: DataFrame, docs: DataFrame, words: int, percent: int, spread: bool = False) -> DataFrame:
+    """The pairs (a, b) whose whole sets have 100 * intersection >= percent * union. ``spread``: texts are met by a shuffle whatever the number of
+    pairs; else Spark may broadcast the ids if their size allows it."""
+    pairs = stored(alike(pairs, signatures, percent), "pairs")
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+    wanted = wanted.hint("merge") if spread else wanted
     sets = stored(full_sets(docs.join(wanted, "doc_id", "left_semi"), words), "sets")
     left = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("sa"))
     right = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("sb"))
     both = pairs.join(left, "a").join(right, "b")
     common = F.size(F.array_intersect("sa", "sb"))
     linked = common * 100 >= (F.size("sa") + F.size("sb") - common) * percent
-    return stored(both.where(linked).select("a", "b"), "confirmed")
+    return stored(both.where(linked).select("a", "b").distinct(), "confirmed")
 
 
 def near_duplicates(df: DataFrame, words: int = 5, percent: int = 80, bands: int = BANDS, rows: int = ROWS, id_col: str = "doc_id",
@@ -155,27 +181,39 @@ def near_duplicates(df: DataFrame, words: int = 5, percent: int = 80, bands: int
     classes = stored(sketches.where("doc_id is not null and n_shingles > 0").groupBy("set_id").agg(
         F.min("doc_id").alias("class_id"), F.first("n_shingles").alias("n")), "classes")
     heads = sketches.join(classes.select("set_id", F.col("class_id").alias("doc_id")), ["set_id", "doc_id"], "left_semi")
-    members = heads.select(F.explode("bands").alias("key"), "doc_id", F.col("n_shingles").alias("n")).distinct()
-    buckets = members.groupBy("key").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi")
-    shared = stored(members.join(buckets, "key"), "buckets")
-
-    close = lambda m, n: (F.least(m, n) * 100 >= F.greatest(m, n) * percent)  # noqa: E731  sizes alone rule out the rest
-    size_of = lambda end: shared.where(F.col("doc_id") == F.col(end)).select("key", F.col("n").alias("m"), F.col("doc_id").alias("pivot")).distinct()
-    stars = size_of("lo").union(size_of("hi"))
-    first = shared.join(stars, "key").where(F.col("doc_id") != F.col("pivot")).where(close(F.col("n"), F.col("m")))
-    links = confirmed(first.select(F.least("doc_id", "pivot").alias("a"), F.greatest("doc_id", "pivot").alias("b")).distinct(), docs, words, percent)
-
-    # buckets that still hold several components: their other pairs, but for those within a component
-    known = components(links.union(_same_document(sketches, classes)))
-    placed = shared.join(known, shared["doc_id"] == known["node"], "left").select(
-        "key", "doc_id", "n", "lo", "hi", F.coalesce("component", "doc_id").alias("component"))
-    mixed = placed.groupBy("key").agg(F.min("component").alias("c"), F.max("component").alias("d")).where("c < d").select("key")
-    open_ = placed.where("doc_id <> lo and doc_id <> hi").join(mixed, "key").select("key", "doc_id", "n", "component")
-    other = open_.select("key", F.col("doc_id").alias("b"), F.col("n").alias("m"), F.col("component").alias("other"))
-    second = open_.withColumnRenamed("doc_id", "a").join(other, "key").where((F.col("a") < F.col("b")) & (F.col("component") != F.col("other")))
-    more = confirmed(second.where(close(F.col("n"), F.col("m"))).select("a", "b").distinct(), docs, words, percent)
-
-    final = components(links.union(more).union(_same_document(sketches, classes)))
+    signatures_ = heads.select("doc_id", "signature")
+    members = heads.select(F.explode("bands").alias("key"), "doc_id", F.col("n_shingles").alias("n"))
+    bucket = Window.partitionBy("key")
+    lowest = F.min(F.struct("doc_id", "n")).over(bucket)
+    shared = stored(members.select("*", lowest.alias("low"), F.count("*").over(bucket).alias("size")).where("size > 1").select(
+        "key", "doc_id", "n", F.col("low.doc_id").alias("lo"), F.col("low.n").alias("lo_n")), "buckets")
+    close = lambda m, n: F.least(m, n) * 100 >= F.greatest(m, n) * percent  # noqa: E731  sizes alone rule out the rest
+    stars = shared.where("doc_id <> lo").where(close(F.col("n"), F.col("lo_n")))
+    same = stored(_same_document(sketches, classes), "same")
+
+    def placed(links: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Nodes with their components, and members of buckets that hold several."""
+        known = components(links.union(same))
+        own = shared.join(known, shared["doc_id"] == known["node"], "left").withColumn("at", F.coalesce("component", "doc_id")).drop("node", "component")
+        mixed = own.groupBy("key").agg(F.min("at").alias("c"), F.max("at").alias("d")).where("c < d").select("key")
+        return known, own.join(mixed, "key")
+
+    pairs = stars.where("key & 1 = 1").select(F.col("lo").alias("a"), F.col("doc_id").alias("b")).distinct()
+    links = confirmed(pairs, signatures_, docs, words, percent, spread=True)
+    known, open_ = placed(links)
+    other = known.select(F.col("node").alias("lo"), F.col("component").alias("other"))
+    apart = open_.where("doc_id <> lo").where(close(F.col("n"), F.col("lo_n"))).join(other, "lo", "left").where(F.col("at") != F.coalesce("other", "lo"))
+    pairs = apart.select(F.col("lo").alias("a"), F.col("doc_id").alias("b")).distinct().exceptAll(pairs)
+    links = stored(links.union(confirmed(pairs, signatures_, docs, words, percent)), "links")
+
+    _, open_ = placed(links)
+    open_ = stored(open_.where("doc_id <> lo").select("key", "doc_id", "n", "at"), "open")
+    one = open_.select("key", F.col("doc_id").alias("a"), "n", "at")
+    two = open_.select("key", F.col("doc_id").alias("b"), F.col("n").alias("m"), F.col("at").alias("other"))
+    rest = one.join(two, "key").where((F.col("a") < F.col("b")) & (F.col("at") != F.col("other")) & close(F.col("n"), F.col("m")))
+    links = links.union(confirmed(rest.select("a", "b").distinct(), signatures_, docs, words, percent))
+
+    final = components(links.union(same))
     classed = sketches.select("doc_id", "n_shingles", "set_id").join(classes.select("set_id", "class_id"), "set_id", "left")
     placed = classed.join(final, F.coalesce("class_id", "doc_id") == final["node"], "left")
     component = F.when(F.col("n_shingles") > 0, F.coalesce("component", "class_id", "doc_id")).otherwise(F.col("doc_id"))
