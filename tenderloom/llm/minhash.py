@@ -46,9 +46,10 @@ def shingle_sets(texts: pa.Array, words: int) -> tuple[np.ndarray, np.ndarray]:
     hashed = np.fromiter((xxhash.xxh3_64_intdigest(w) for w in distinct.to_pylist()), np.uint64, len(distinct))
     h = hashed[codes] if len(codes) else np.zeros(0, np.uint64)
     n = np.diff(bounds)
-    rolled = np.zeros(max(0, len(h) - words + 1), np.uint64)
+    room = max(0, len(h) - words + 1)
+    rolled = np.zeros(room, np.uint64)
     for j in range(words):
-        rolled = (rolled + h[j:len(h) - words + 1 + j]) * _ODD[j % 3]
+        rolled = (rolled + h[j:j + room]) * _ODD[j % 3]
         rolled ^= rolled >> np.uint64(31)
     rolled = _mix(rolled)
     sets = []
