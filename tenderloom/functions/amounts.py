@@ -20,9 +20,10 @@ def parse_amount(c: Column) -> Column:
 
 
 def format_amount(c: Column) -> Column:
-    """Whole number, halves to even, thousands apart by a space; null gives an empty text."""
-    whole = F.bround(c, 0).cast("decimal(38,0)")
-    return F.coalesce(F.replace(F.format_number(whole, 0), F.lit(","), F.lit(" ")), F.lit(""))
+    """Whole number, halves to even, thousands apart by a space; null gives an empty text. What 38 digits don't hold, infinity and NaN among
+    it, is printed as the double is."""
+    whole = F.bround(c, 0).try_cast("decimal(38,0)")
+    return F.coalesce(F.replace(F.format_number(whole, 0), F.lit(","), F.lit(" ")), c.cast("string"), F.lit(""))
 
 
 def format_amount_text(c: Column) -> Column:
@@ -33,8 +34,9 @@ def format_amount_text(c: Column) -> Column:
 
 def truncated_amount(c: Column) -> Column:
     """Cut to a whole number, thousands apart by a space; ``N/A`` for null and zero."""
-    whole = F.when(c >= 0, F.floor(c)).otherwise(F.ceil(c)).cast("decimal(38,0)")
-    text = F.replace(F.format_number(whole, 0), F.lit(","), F.lit(" "))
+    cut = F.when(c >= 0, F.floor(c)).otherwise(F.ceil(c)).cast("decimal(38,0)")
+    whole = F.when(F.abs(c) < 2.0 ** 53, cut).otherwise(c.try_cast("decimal(38,0)"))     # beyond, a double has no fraction
+    text = F.coalesce(F.replace(F.format_number(whole, 0), F.lit(","), F.lit(" ")), c.cast("string"))
     return F.when(c.isNull() | (c == 0), F.lit("N/A")).otherwise(text)
 
 

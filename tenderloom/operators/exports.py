@@ -63,9 +63,9 @@ def export_tenders(tenders: DataFrame, rows: DataFrame, target: str, as_of: Colu
     """
     new = rows if references is None else not_exported(rows, references)
     append(tender_export(new, as_of, threshold), target, fmt)
-    return mark(tenders, rows, status="DONE")
+    return mark(tenders, rows, as_of.cast("timestamp"), status="DONE")
 
 
-def export_pvs(pvs: DataFrame, rows: DataFrame, target: str, fmt: str = "csv") -> DataFrame:
+def export_pvs(pvs: DataFrame, rows: DataFrame, target: str, fmt: str = "csv", as_of: Column | None = None) -> DataFrame:
     append(pv_export(rows), target, fmt)
-    return mark(pvs, rows, synced_to_sheets=1)
+    return mark(pvs, rows, as_of, synced_to_sheets=1)

@@ -8,8 +8,9 @@ from pyspark.sql import types as T
 
 
 def number_text(c: Column) -> Column:
-    """A double as plain decimal text with at least one decimal place."""
-    return F.regexp_replace(c.cast("decimal(38,10)").cast("string"), r"(\.\d+?)0+$", "$1")
+    """A double as plain decimal text with at least one decimal place; one that this form can't hold as the double is printed."""
+    plain = c.try_cast("decimal(38,10)")
+    return F.when(plain.cast("double") == c, F.regexp_replace(plain.cast("string"), r"(\.\d+?)0+$", "$1")).otherwise(c.cast("string"))
 
 
 def _as_text(df: DataFrame, side: str, field: str) -> Column:

@@ -35,9 +35,11 @@ def drop_known(candidates: DataFrame, tenders: DataFrame, pvs: DataFrame, per: s
     """
     if per == "file":
         known = pvs.filter(F.col("hash_pdf").isNotNull()).select("hash_pdf").distinct()
-        keyed = candidates.withColumn("hash_pdf", F.when(F.length("pv_pdf_url") > 0, F.md5("pv_pdf_url")))
+        hashed = F.when(F.length("pv_pdf_url") > 0, F.md5("pv_pdf_url"))
+        keyed = candidates.withColumn("hash_pdf", spread_nulls(hashed, F.xxhash64("lien", "reference")))
         return keyed.join(known, "hash_pdf", "left_anti").select(*candidates.columns)
     c = with_uid(candidates)
+    c = c.withColumn("uid", spread_nulls(F.col("uid"), F.xxhash64("lien", "reference")))
     with_minutes = tenders.filter(F.col("url_id").isNotNull()).select("id", F.col("url_id").alias("uid")).join(
         pvs.select(F.col("tender_id").alias("id")).distinct(), "id", "left_semi").select("uid").distinct()
     refs = pvs.filter(F.col("reference").isNotNull()).select("reference").distinct()

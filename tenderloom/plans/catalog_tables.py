@@ -697,12 +697,13 @@ def k03(spark, d):
     return keyed(spark, path, rows.schema, "csv")
 
 
-@query("k06_mark_exported", "SELECT id, CASE WHEN status = 'TO_SYNC' THEN 'DONE' ELSE status END AS status FROM tenders")
+@query("k06_mark_exported", f"""SELECT id, CASE WHEN status = 'TO_SYNC' THEN 'DONE' ELSE status END AS status,
+    CASE WHEN status = 'TO_SYNC' THEN '1998-06-15 00:00:00' ELSE strftime(updated_at, '%Y-%m-%d %H:%M:%S') END AS updated_at FROM tenders""")
 def k06(spark, d):
     t = B.tenders(spark, d)
     path = scratch_path(spark, "sheet")
     out = exports.export_tenders(t, queue.export_source(t, None), path, _as_of(), "parquet", TH, _target(spark, d))
-    return out.select("id", "status")
+    return out.select("id", "status", _stamp("updated_at"))
 
 
 _REPORT = f"""WITH soon AS ({_EXP}),

@@ -95,7 +95,7 @@ def export(tables: Tables, tender_target: str, pv_target: str, as_of: Column, fm
     if coupled and nothing:
         return tables
     files = kept(queue.unexported(tables.pvs, limit), "export-pvs")
-    pvs = tables.pvs if files.isEmpty() else exports.export_pvs(tables.pvs, files, pv_target, fmt)
+    pvs = tables.pvs if files.isEmpty() else exports.export_pvs(tables.pvs, files, pv_target, fmt, as_of)
     return Tables(tenders, pvs)
 
 

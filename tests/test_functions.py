@@ -120,3 +120,13 @@ def test_priority(spark):
     check(spark, lambda c: amounts.priority_flag(c, 10.0, F.lit(31)), [(11.0, "OUI")], "x double")
     check(spark, lambda c: amounts.priority_flag(c, 10.0, F.lit(30)), [(11.0, "NON")], "x double")
     check(spark, amounts.priority_flag, [("abc", "NON"), ("71000000", "OUI")])
+
+
+def test_numbers_of_any_size_are_printed(spark):
+    from tenderloom.operators.history import number_text
+    rows = [1e45, float("nan"), float("inf"), 1.5e-12, 1e30, -2.5, 1e19, None]
+    assert values(spark, rows, number_text, "x double") == ["1.0E45", "NaN", "Infinity", "1.5E-12", "1.0E30", "-2.5", "10000000000000000000.0", None]
+    assert values(spark, rows, amounts.format_amount, "x double") == [
+        "1.0E45", "NaN", "Infinity", "0", "1 000 000 000 000 000 000 000 000 000 000", "-2", "10 000 000 000 000 000 000", ""]
+    assert values(spark, rows, amounts.truncated_amount, "x double") == [
+        "1.0E45", "NaN", "Infinity", "0", "1 000 000 000 000 000 000 000 000 000 000", "-2", "10 000 000 000 000 000 000", "N/A"]
