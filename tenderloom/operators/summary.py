@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tenderloom import schemas as S
@@ -73,14 +73,21 @@ def first_findings(docs: DataFrame) -> DataFrame:
 
 
 def _pieces(docs: DataFrame, lookahead: bool, per_piece: int) -> DataFrame:
-    """Documents with their piece; with ``lookahead`` also a copy in the piece before (``own`` is false)."""
-    piece = F.floor(F.col("ord") / per_piece)
+    """Documents with their piece; with ``lookahead`` also a copy in the piece before (``own`` is false).
+
+    The piece before is the tender's last one that holds any text, whatever the gaps in ``ord``. Only tenders of
+    several pieces have one, so what is joined is small beside the documents.
+    """
+    rows = docs.withColumns({"piece": F.floor(F.col("ord") / per_piece), "own": F.lit(True)})
     if not lookahead:
-        return docs.withColumns({"piece": piece, "own": F.lit(True)})
-    both = F.array(F.struct(piece.alias("piece"), F.lit(True).alias("own")),
-                   F.struct((piece - 1).alias("piece"), F.lit(False).alias("own")))
-    return docs.withColumn("_p", F.explode(F.when(piece > 0, both).otherwise(F.slice(both, 1, 1)))).select(
-        "*", "_p.piece", "_p.own").drop("_p")
+        return rows
+    held = rows.filter(F.length("text") > 0).select("tender_id", "piece").distinct()
+    before = F.lag("piece").over(Window.partitionBy("tender_id").orderBy("piece"))
+    before = held.withColumn("_before", before).filter(F.col("_before").isNotNull())
+    both = F.array(F.struct("piece", "own"), F.struct(F.col("_before").alias("piece"), F.lit(False).alias("own")))
+    return rows.join(before, ["tender_id", "piece"], "left").withColumn(
+        "_p", F.explode(F.when(F.col("_before").isNotNull(), both).otherwise(F.slice(both, 1, 1)))).select(
+        *docs.columns, "_p.piece", "_p.own")
 
 
 def _joined_text():
@@ -123,9 +130,13 @@ def tender_findings(docs: DataFrame, per_piece: int = DOCS_PER_PIECE) -> DataFra
         *[first(F.col(f"k.`{label}`")).alias(label) for label, _ in S.KEY_POINTS])
 
 
-def summaries(tenders: DataFrame, docs: DataFrame) -> DataFrame:
-    """Summary text per tender that has documents (``docs`` as :func:`cascade` returns them)."""
-    rows = tenders.select(F.col("id").alias("tender_id"), "reference").join(tender_findings(docs), "tender_id")
+def summaries(tenders: DataFrame, docs: DataFrame, without_texts: bool = False) -> DataFrame:
+    """Summary text per tender that has documents (``docs`` as :func:`cascade` returns them).
+
+    ``without_texts``: one also for each tender whose documents gave no text.
+    """
+    rows = tenders.select(F.col("id").alias("tender_id"), "reference").join(
+        tender_findings(docs), "tender_id", "left" if without_texts else "inner")
     line = lambda label, value: F.concat(padded(F.lit(label)), F.lit(": "), value)
     shown = lambda c: F.nullif(c, F.lit(""))
     reply = F.col("reply")

@@ -67,14 +67,30 @@ def _summaries(rows: DataFrame) -> DataFrame:
     )
 
 
+def _seeds(stored: DataFrame) -> DataFrame:
+    """Per key: ``seed``, the stored row that holds it, and ``moved``, the sum of the ids that left it.
+
+    A row without a number is known by its reference until it gets one. Its id was made from the reference,
+    so the next row known by that reference needs another id; ``moved`` tells the two apart.
+    """
+    own = F.struct(tender_key(F.col("url_id"), F.col("reference")).alias("key"), F.lit(True).alias("own"))
+    left = F.struct(tender_key(F.lit(""), F.col("reference")).alias("key"), F.lit(False).alias("own"))
+    keys = F.explode(F.when(F.col("url_id") != "", F.array(own, left)).otherwise(F.array(own))).alias("k")
+    rows = stored.select("id", "hash_content", keys).select("id", "hash_content", "k.key", "k.own")
+    return rows.groupBy("key").agg(
+        F.min_by(F.struct("id", "hash_content"), F.when(F.col("own"), F.col("id"))).alias("seed"),
+        F.sum(F.when(~F.col("own"), F.col("id").cast("decimal(28,0)"))).alias("moved"))
+
+
+def _new_id(key: Column, moved: Column) -> Column:
+    return F.when(moved.isNull(), surrogate_id(key)).otherwise(surrogate_id(F.concat(key, F.lit("|"), moved.cast("string"))))
+
+
 def upsert_effects(stored: DataFrame, batch: DataFrame) -> DataFrame:
     """What a listing batch does to each of its keys (exactly as if its rows came one by one)."""
     rows = batch.withColumn("key", tender_key(F.col("url_id"), F.col("reference")))
     blocks = _summaries(rows)
-    seeds = stored.select(
-        tender_key(F.col("url_id"), F.col("reference")).alias("key"), "id", "hash_content",
-    ).groupBy("key").agg(F.min_by(F.struct("id", "hash_content"), "id").alias("seed"))
-    blocks = blocks.join(seeds, "key", "left")
+    blocks = blocks.join(_seeds(stored), "key", "left")
     chain = Window.partitionBy("key").orderBy("block")
     blocks = blocks.withColumns({"n": F.row_number().over(chain), "tail_before": F.lag("tail").over(chain)})
     unseen = F.col("seed").isNull()
@@ -89,7 +105,7 @@ def upsert_effects(stored: DataFrame, batch: DataFrame) -> DataFrame:
         head, F.struct(F.col("first.date_limite").alias("date_limite")))
     at = lambda value: F.when(value.isNotNull(), F.col("n"))
     return blocks.groupBy("key").agg(
-        F.first("seed").alias("seed"),
+        F.first("seed").alias("seed"), F.first("moved").alias("moved"),
         F.min_by("first", "n").alias("first"),
         F.max_by("tail", "n").alias("tail"),
         F.sum(total).alias("n_updated"),
@@ -97,7 +113,7 @@ def upsert_effects(stored: DataFrame, batch: DataFrame) -> DataFrame:
         F.max_by(text("objet"), at(text("objet"))).alias("objet_set"),
         F.max_by(text("acheteur"), at(text("acheteur"))).alias("acheteur_set"),
     ).select(
-        F.coalesce("seed.id", surrogate_id(F.col("key"))).alias("id"), "key",
+        F.coalesce("seed.id", _new_id(F.col("key"), F.col("moved"))).alias("id"), "key",
         F.col("seed").isNull().alias("is_new"), "first", F.col("tail.page_hash").alias("new_hash"),
         "n_updated", "limit_set", "objet_set", "acheteur_set")
 

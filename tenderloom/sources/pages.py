@@ -31,8 +31,9 @@ _DDL_CELLS = f"page_id long, page_hash string, row_no int, cells array<struct<co
 _DDL_NODES = f"page_id long, page_hash string, nodes array<{_DDL_NODE}>"
 
 
+# A quote delimits a value only behind an equals sign; elsewhere it is a sign like any other.
 _TOKEN = re.compile(
-    r"""<!--.*?-->|<(script|style)\b.*?</\1\s*>|<(/?)([a-z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|<![^>]*>""", re.S | re.I)
+    r"""<!--.*?-->|<(script|style)\b.*?</\1\s*>|<(/?)([a-z][^\s/>]*)((?>[^>=]+|=\s*"[^"]*"|=\s*'[^']*'|=)*+)>|<![^>]*>""", re.S | re.I)
 _ATTRIBUTE = re.compile(r"""\b(id|class|href)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))""", re.I)
 
 

@@ -24,8 +24,10 @@ def run_available(source: DataFrame, step: Callable[[DataFrame, int], None], roo
     query = (source.writeStream.foreachBatch(step).option("checkpointLocation", f"{root}/{name}/checkpoint")
              .trigger(availableNow=True).start())
     query.awaitTermination()
-    progress = query.lastProgress
-    return (progress["batchId"] + 1) if progress else 0
+    # what is committed counts: a run that finds nothing new names the batch it would have done
+    commits = source.sparkSession.read.format("binaryFile").load(f"{root}/{name}/checkpoint/commits")
+    last = commits.agg(F.max(F.regexp_extract("path", r"/(\d+)\z", 1).try_cast("long"))).first()[0]
+    return 0 if last is None else last + 1
 
 
 def listing_step(root: str, initial: DataFrame, as_of: Column) -> Callable[[DataFrame, int], None]:

@@ -139,3 +139,19 @@ def test_formats_round_trip(spark, tmp_path):
         append(df, str(tmp_path / fmt), fmt)
         back = keyed(spark, str(tmp_path / fmt), df.schema, fmt)
         assert sorted(map(str, back.collect())) == sorted(map(str, df.collect() * 2)), fmt
+
+
+def test_stray_and_unclosed_quotes(spark):
+    """A quote delimits only behind an equals sign; one that is never closed doesn't swallow the rows after it."""
+    html = f"<table><tr><td title='l'ete'>a</td></tr>{ROW}<tr><td title=it's b\"c>d</td></tr>{ROW.replace('R/12', 'R/13')}<tr><td id=\"x>e</td></tr></table>"
+    assert [r.reference for r in pages.listing_rows(page(spark, html), BASE).collect()] == ["R/12", "R/13"]
+    assert [r.reference for r in pages.listing_rows(page(spark, "<table>" + ROW.replace("<td>a", "<td data-x='1>0'>a") + "</table>"), BASE).collect()] == ["R/12"]
+
+
+def test_key_points_over_a_gap_in_the_order(spark):
+    """The next document with text is the next one, whatever lies between their numbers."""
+    for last in (1, 255, 256, 600, 100_000):
+        rows = [(1, "a", 0, "Tel", None), (1, "b", last, "0612345678", 5.0), (1, "c", last + 1, "", 7.0), (2, "a", 0, "x", None)]
+        docs = spark.createDataFrame(rows, "tender_id long, doc_path string, ord int, text string, amount double")
+        got = {r.tender_id: r for r in summary.tender_findings(docs).collect()}
+        assert (got[1]["Téléphone"], got[1].amount, got[1].n_docs) == ("0612345678", 5.0, 3) and got[2]["Téléphone"] is None

@@ -163,3 +163,34 @@ def test_replayed_batch_changes_nothing(spark, sf, tmp_path):
     assert read(1) == table and log() == events
     whole = upsert.upsert(initial, batch, now)
     assert sorted(map(str, whole.collect())) == table
+
+
+def test_a_number_given_later_leaves_the_reference_free(spark):
+    """Listing, backfill and listing again, three times over: no two rows share an id, in a table and in a stream's state."""
+    from tenderloom.operators import enrichment
+    row = lambda page: spark.createDataFrame([(page, 0, "", "REF1", "p", "d", f"x?refConsultation={page}", "o", "a", f"h{page}")], BATCH)
+    table = laid = spark.createDataFrame([], STORED)
+    held = lambda df: spark.createDataFrame(df.collect(), STORED)
+    for n in range(3):
+        table = held(enrichment.backfill_url_id(held(upsert.upsert(table, row(n), NOW()))))
+        effects = upsert.upsert_effects(laid, row(n))
+        laid = held(enrichment.backfill_url_id(held(state.overlay(laid, upsert.changed_rows(laid, effects, NOW())))))
+    rows = table.collect()
+    assert sorted(r.url_id for r in rows) == ["0", "1", "2"] and len({r.id for r in rows}) == 3
+    assert sorted(map(str, laid.collect())) == sorted(map(str, rows))
+
+
+def test_an_idle_run_keeps_the_version(spark, sf, tmp_path):
+    initial = B.stored_tenders(spark, sf)
+    landed, root = str(tmp_path / "in"), str(tmp_path / "state")
+    now = F.lit("1998-06-15").cast("timestamp_ntz")
+    batch = B.listing_batch(spark, sf)
+    run = lambda: ingest.run_available(ingest.landing(spark, landed, batch.schema), ingest.listing_step(root, initial, now), root, "listing")
+    (tmp_path / "in").mkdir()
+    assert run() == 0
+    batch.filter("page < 1200").write.mode("append").parquet(landed)
+    assert run() == 1 == run()
+    batch.filter("page >= 1200").write.mode("append").parquet(landed)
+    assert run() == 2 == run()
+    whole = upsert.upsert(initial, batch, now)
+    assert sorted(map(str, state.latest(spark, root, "tenders", initial, 2).collect())) == sorted(map(str, whole.collect()))
