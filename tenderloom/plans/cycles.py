@@ -35,6 +35,12 @@ def collect_listing(tables: Tables, listing_pages: DataFrame, base: str, as_of:
     return Tables(kept(upsert.apply_effects(tables.tenders, effects, as_of), "tenders"), tables.pvs), effects
 
 
+def one_per_url(stored_pages: DataFrame) -> DataFrame:
+    """(url, html): the page with the lowest ``page_id`` if there is such a column, else the lowest hash of its text."""
+    order = F.col("page_id") if "page_id" in stored_pages.columns else F.md5("html")
+    return stored_pages.groupBy("url").agg(F.min_by("html", order).alias("html"))
+
+
 def enrich(tables: Tables, detail_pages: DataFrame, base: str, as_of: Column, limit: int | None = None,
            max_retry: int = S.MAX_RETRY) -> Tables:
     """Detail pages (url, html) of the queued tenders into the tenders table.
@@ -42,7 +48,8 @@ def enrich(tables: Tables, detail_pages: DataFrame, base: str, as_of: Column, li
     Pages are joined to the queue before they are read, so only queued ones are parsed.
     """
     waiting = queue.queue(tables.tenders, "TO_ENRICH", limit, max_retry)
-    wanted = detail_pages.join(waiting.select(F.col("id").alias("page_id"), F.col("lien_detail").alias("url")), "url")
+    links = waiting.select(F.col("id").alias("page_id"), F.col("lien_detail").alias("url"))
+    wanted = one_per_url(detail_pages.join(links.select("url").distinct(), "url", "left_semi")).join(links, "url")
     details = kept(pages.detail_records(wanted, base), "details").withColumnRenamed("page_id", "id")
     failed = enrichment.missing_links(waiting)
     merged = enrichment.merge_details(outcomes.apply_outcomes(tables.tenders, failed, as_of), details, as_of)
@@ -55,8 +62,8 @@ def collect_minutes(tables: Tables, minutes_pages: DataFrame, detail_pages: Data
     codes = minutes_pages.select("page_id", "procedure_code").distinct()
     rows = pages.minutes_rows(minutes_pages, base).join(codes, "page_id")
     found = minutes.tag_procedure(rows).withColumn("seq", F.col("page_id") * 1_000_000 + F.col("row_no"))
-    new = minutes.drop_known(kept(found, "minutes"), tables.tenders, tables.pvs)
-    linked = detail_pages.select(F.col("url").alias("lien"), rebuild_pdf(first_minutes_href(F.col("html")), base).alias("pv_pdf_url"))
+    new = kept(minutes.drop_known(kept(found, "minutes"), tables.tenders, tables.pvs), "new-minutes")
+    linked = one_per_url(detail_pages.join(new.select(F.col("lien").alias("url")).distinct(), "url", "left_semi")).select(F.col("url").alias("lien"), rebuild_pdf(first_minutes_href(F.col("html")), base).alias("pv_pdf_url"))
     candidates = kept(new.join(linked, "lien", "left").withColumn("pv_pdf_url", F.coalesce("pv_pdf_url", F.lit(""))), "candidates")
     matched, orphans = minutes.link_with_orphans(candidates, tables.tenders)
     incoming = matched.withColumnRenamed("pv_pdf_url", "pdf_url")
@@ -81,7 +88,8 @@ def analyze(tables: Tables, stored_archives: DataFrame, documents: DataFrame, as
         "id", F.coalesce(F.nullif("estimation", F.lit(0.0)), "amount").alias("estimation"),
         F.concat(F.col("id").cast("string"), F.lit(".txt")).alias("resume_txt"), F.lit("TO_SYNC").alias("status"))
     tenders = outcomes.set_fields(outcomes.apply_outcomes(tables.tenders, failed, as_of), done, as_of)
-    return Tables(kept(tenders, "tenders"), tables.pvs), summary.summaries(tables.tenders, texts)
+    read = tables.tenders.join(done.select("id"), "id", "left_semi")
+    return Tables(kept(tenders, "tenders"), tables.pvs), summary.summaries(read, texts, without_texts=True)
 
 
 def export(tables: Tables, tender_target: str, pv_target: str, as_of: Column, fmt: str = "csv",

@@ -47,8 +47,10 @@ def test_enrich_analyze_export(spark, sf, collected, tmp_path):
     tables, _ = collected
     linked = tables.tenders.filter("lien_detail <> ''")
     details = B.detail_pages(spark, sf).join(linked.select(F.expr("bigint(url_id)").alias("page_id"), F.col("lien_detail").alias("url")), "page_id")
-    enriched = cycles.enrich(tables, details.select("url", "html"), B.BASE, now(16))
+    stored = details.select("url", "html")
+    enriched = cycles.enrich(tables, stored.union(stored.limit(50)), B.BASE, now(16))
     t = enriched.tenders
+    assert t.count() == t.select("id").distinct().count() == tables.tenders.count()     # a page stored twice is one page
     assert t.filter("status = 'TO_DOWNLOAD'").count() + t.filter("last_error IS NOT NULL").count() >= linked.count()
     assert t.filter(F.col("tender_hash").isNotNull()).groupBy("tender_hash").count().filter("count > 1").count() == 0
     assert t.filter("status = 'TO_DOWNLOAD' AND detail_hash IS NULL").count() == 0
