@@ -27,20 +27,25 @@ SEGMENTS = ("shard int, segment_start long, n_ids long, doc_ids array<{id}>, doc
 
 def pack_words(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Words of all ids, and the first word of each block."""
-    ids = ids.astype(np.uint64)
     n = len(ids)
     if not n:
         return np.zeros(0, np.uint64), np.zeros(0, np.uint32)
     index = np.arange(n, dtype=np.int32)
-    ends = np.minimum((index // BLOCK + 1) * BLOCK, n).astype(np.int32)
-    width = np.maximum((ids.astype(np.float64).view(np.int64) >> 52) - 1022, 0)
+    left = np.minimum((index // BLOCK + 1) * BLOCK, n).astype(np.int32) - index     # ids up to the block's end
     selector = np.full(n, 15, np.int8)
+    narrow = None       # places of ids that fit; None: all do
     for s in range(14, -1, -1):
-        fits = width <= BITS[s]
-        if not fits.any():
+        fits = (ids if narrow is None else ids[narrow]) < np.uint64(1 << int(BITS[s]))
+        if narrow is None and fits.all():
+            selector[left >= COUNTS[s]] = s
+            continue
+        narrow = index[fits] if narrow is None else narrow[fits]
+        if not len(narrow):
             break       # no narrower id either
-        stop = np.minimum.accumulate(np.where(fits, np.int32(n), index)[::-1])[::-1]
-        selector[np.minimum(stop, ends) - index >= COUNTS[s]] = s
+        last = np.append(np.flatnonzero(np.diff(narrow) != 1), len(narrow) - 1)     # of each run of neighbours
+        room = np.minimum(np.repeat(narrow[last] + 1, np.diff(last, prepend=-1)) - narrow, left[narrow])
+        selector[narrow[room >= COUNTS[s]]] = s
+    ids = ids.astype(np.uint64)
     # every block takes its next word at once
     starts, at, last = [], np.arange(0, n, BLOCK), np.minimum(np.arange(BLOCK, n + BLOCK, BLOCK), n)
     while len(at):

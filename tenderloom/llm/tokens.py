@@ -19,6 +19,8 @@ from tenderloom.llm.common import split_words
 WORD_BPE = "word_bpe_49k.json"
 # Latin letters but the one whose lower case ends in a combining dot, which joins the punctuation.
 LETTER_THEN_MARK = r"([A-Za-z\x{C0}-\x{D6}\x{D8}-\x{F6}\x{F8}-\x{12F}\x{131}-\x{24F}])([.,;:!?])"
+# Lower-case letters of Latin-1: composed already, and one piece for the splitter.
+PLAIN_WORD = r"^[a-z\x{DF}-\x{F6}\x{F8}-\x{FF}]+$"
 # Distinct words kept between slices by one Python worker; only speed depends on it.
 CACHED_WORDS = 300_000
 _LOADED: dict[str, TextEncoder] = {}
@@ -71,19 +73,39 @@ class TextEncoder:
             return np.array([t.id for t in tokens], np.uint32).tobytes()
         return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, np.uint32).tobytes()
 
-    def _words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of distinct words, one after the other, and their offsets."""
+    def _fresh(self, words: pa.Array) -> list[bytes]:
+        """Ids of each word. Plain lower-case words, nearly all, are spelled in one go; the others one by one."""
+        plain = pc.match_substring_regex(words, PLAIN_WORD).to_numpy(zero_copy_only=False)
+        found: list[bytes] = [b""] * len(words)
+        easy = np.flatnonzero(plain)
+        if len(easy):
+            spelled = "\n".join(words.take(pa.array(easy)).to_numpy(zero_copy_only=False)).encode().decode("latin-1").translate(self.letters).split(self.letters[10])
+            tokenize = self.model.tokenize
+            flat, ends = [], [0]
+            for w in spelled:
+                flat += [t.id for t in tokenize(w)]
+                ends.append(4 * len(flat))
+            flat = np.array(flat, np.uint32).tobytes()
+            for i, first, last in zip(easy.tolist(), ends, ends[1:]):
+                found[i] = flat[first:last]
+        rest = np.flatnonzero(~plain)
+        for i, w in zip(rest.tolist(), words.take(pa.array(rest)).to_numpy(zero_copy_only=False)):
+            found[i] = self._word(w)
+        return found
+
+    def _words(self, words: pa.Array, uses: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of distinct words, one after the other, and their offsets. Words of several uses are kept for later slices."""
         cache = self.cache
         if len(cache) > CACHED_WORDS:
             cache.clear()
-        found = []
-        for w in words:
-            ids = cache.get(w)
-            if ids is None:
-                ids = self._word(w)
-                if len(w) <= 32:
-                    cache[w] = ids
-            found.append(ids)
+        listed = words.to_numpy(zero_copy_only=False).tolist()
+        found = list(map(cache.get, listed))
+        again = (uses > 1).tolist()
+        missing = [i for i, ids in enumerate(found) if ids is None]
+        for i, ids in zip(missing, self._fresh(words.take(pa.array(missing, pa.int64())))):
+            found[i] = ids
+            if again[i] and len(listed[i]) <= 32:
+                cache[listed[i]] = ids
         sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
         return np.frombuffer(b"".join(found), np.uint32), np.concatenate([[0], np.cumsum(sizes)])
 
@@ -102,7 +124,7 @@ class TextEncoder:
         # the splitter parts letters from the punctuation behind them in any case; this makes fewer distinct words
         rest = pc.ascii_lower(pc.replace_substring_regex(rest, LETTER_THEN_MARK, r"\1 \2"))
         codes, words, bounds = split_words(rest)
-        flat, starts = self._words(words.to_pylist())
+        flat, starts = self._words(words, np.bincount(codes, minlength=len(words)))
         sizes = np.diff(starts)[codes] if len(codes) else np.zeros(0, np.int64)
         ends = np.concatenate([[0], np.cumsum(sizes)])
         per_text = np.diff(ends[bounds])
