@@ -31,19 +31,19 @@ NEW = {"lang_pred": "string", "lang_score": "double", "lang_margin": "double", "
 
 def learn(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", sample_docs: int = SAMPLE_DOCS,
           sample_chars: int = SAMPLE_CHARS) -> dict[str, bytes]:
-    """Dictionaries by language, from at most ``sample_docs`` passages of ``sample_chars`` characters each; only those reach the driver.
+    """Dictionaries by language, from at most ``sample_docs`` different passages of ``sample_chars`` characters each; only those reach the driver.
 
-    Rows without a language or without text take no part.
+    Rows without a language or without text take no part. Copies of a text, and texts whose passages are the same in lower case, count once.
     """
     drawn = F.xxhash64(F.col(text_col))
     room = F.greatest(F.lit(1), F.length(text_col) - sample_chars + 1)
     passages = labelled.where(F.col(lang_col).isNotNull() & (F.length(text_col) > 0)).select(
-        F.col(lang_col).cast("string").alias("lang"), F.substr(F.col(text_col), (F.pmod(drawn, room) + 1).cast("int"), F.lit(sample_chars)).alias("passage"),
-        drawn.alias("drawn"))
+        F.col(lang_col).cast("string").alias("lang"), F.lower(F.substr(F.col(text_col), (F.pmod(drawn, room) + 1).cast("int"), F.lit(sample_chars))).alias("passage"),
+        drawn.alias("drawn")).groupBy("lang", "passage").agg(F.min("drawn").alias("drawn"))
     ranked = passages.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy("drawn", "passage")))
     texts: dict[str, list[str]] = {}
     for row in ranked.where(F.col("rank") <= sample_docs).orderBy("lang", "rank").collect():
-        texts.setdefault(row.lang, []).append(row.passage.lower())
+        texts.setdefault(row.lang, []).append(row.passage)
     return {lang: "\n".join(t).encode() for lang, t in texts.items()}
 
 

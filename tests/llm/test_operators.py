@@ -175,6 +175,15 @@ def test_language(spark, docs, none):
     assert {r.lang_pred for r in language.identify(docs, {}).collect()} == {"und"} and language.identify(none, learnt).count() == 0
 
 
+def test_language_sample_counts_copies_once(spark):
+    """A group of copies larger than the sample takes one place of it, whichever group comes first by hash; so do texts alike but for case."""
+    rows = [("aa", f"copy {g} of one text") for g in range(5) for _ in range(50)] + [("aa", f"COPY {g} of one text") for g in range(5)] + [("aa", f"text {i}") for i in range(30)]
+    table = spark.createDataFrame(rows, "lang string, text string")
+    assert sorted(language.learn(table, sample_docs=40)["aa"].decode().split("\n")) == sorted({t.lower() for _, t in rows})
+    some = language.learn(table, sample_docs=20)["aa"].decode().split("\n")
+    assert len(some) == len(set(some)) == 20
+
+
 def test_quality_separates_and_uses_the_identity(spark, docs, none):
     random.seed(8)
     good = [(i, " ".join(random.choices(["plain", "words", "here", "and", "there"], k=20)), 99) for i in range(0, 200, 2)]
