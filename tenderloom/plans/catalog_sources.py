@@ -103,10 +103,10 @@ _ENTRIES = """entries AS (SELECT doc_id, 'avis.pdf' AS entry_path, 0 AS depth, e
     CASE WHEN entry_path <> 'lot/b.pdf' THEN CAST(octet_length(content) AS BIGINT) END AS size,
     CASE WHEN entry_path <> 'lot/b.pdf' THEN md5(content) END AS content_md5 FROM entries""")
 def s04(spark, d):
-    e = archives.expand(B.archives(spark, d)).filter("entry_path IS NOT NULL")
+    e = archives.expand(B.archives(spark, d)).filter("entry_path IS NOT NULL AND part = 0")
     known = F.col("entry_path") != "lot/b.pdf"   # reversed bytes, which the SQL side cannot make
     return e.select("archive", "entry_path", "depth", F.when(known, F.col("size")).alias("size"),
-                    F.when(known, F.md5("content")).alias("content_md5"))
+                    F.when(known, F.coalesce("content_md5", F.md5("content"))).alias("content_md5"))
 
 
 @query("s05_archive_valid", "SELECT '/dce/' || doc_id || '.zip' AS archive, doc_id % 4 < 3 AS is_valid FROM documents")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import io
 import zipfile
 from collections.abc import Iterator
@@ -13,21 +14,30 @@ from pyspark.sql import functions as F
 from tenderloom import schemas as S
 
 MAX_DEPTH = 5
-MAX_VALUE_BYTES = 1 << 30   # a larger entry is still listed, without its bytes and with an error
+MAX_VALUE_BYTES = 1 << 30   # a larger entry comes in numbered parts
+PART_BYTES = 1 << 26
 _SCHEMA = pa.schema([("archive", pa.string()), ("entry_path", pa.string()), ("depth", pa.int32()), ("size", pa.int64()),
-                     ("content", pa.binary()), ("is_valid", pa.bool_()), ("error", pa.string())])
-_DDL = "archive string, entry_path string, depth int, size long, content binary, is_valid boolean, error string"
+                     ("content", pa.binary()), ("is_valid", pa.bool_()), ("error", pa.string()), ("part", pa.int32()), ("content_md5", pa.string())])
+_DDL = ("archive string, entry_path string, depth int, size long, content binary, is_valid boolean, error string, part int, "
+        "content_md5 string")
 
 
-def _entries(data: bytes, prefix: str, depth: int) -> Iterator[tuple]:
-    """(path, depth, size, bytes, error); inner archives are opened to the depth limit and not listed.
+def _parts(archive: zipfile.ZipFile, info: zipfile.ZipInfo, part_bytes: int) -> Iterator[bytes]:
+    with archive.open(info) as stream:
+        while part := stream.read(part_bytes):
+            yield part
 
-    A damaged entry ends its archive: entries before it count, inner archives stay closed.
+
+def _entries(data: bytes, prefix: str, depth: int, with_content: bool, value_bytes: int, part_bytes: int) -> Iterator[tuple]:
+    """(path, depth, size, bytes, error, part, md5); inner archives are opened to the depth limit and not listed.
+
+    A damaged entry ends its archive: entries before it count, inner archives stay closed. An entry in parts is read
+    through once for its checksum before the first part is given out.
     """
     try:
         archive = zipfile.ZipFile(io.BytesIO(data))
     except zipfile.BadZipFile as e:
-        yield None, depth, None, None, str(e)
+        yield None, depth, None, None, str(e), 0, None
         return
     with archive:
         inner = []
@@ -37,23 +47,32 @@ def _entries(data: bytes, prefix: str, depth: int) -> Iterator[tuple]:
                 continue
             if path.endswith(".zip"):
                 inner.append((path, info))
-            elif info.file_size > MAX_VALUE_BYTES:
-                yield path, depth, info.file_size, None, "entry too large for one value"
+            elif info.file_size > value_bytes:
+                digest = hashlib.md5(usedforsecurity=False)
+                try:
+                    for part in _parts(archive, info, 1 << 20):
+                        digest.update(part)
+                except Exception as e:
+                    yield None, depth, info.file_size, None, f"{path}: {e}", 0, None
+                    return
+                md5 = digest.hexdigest()
+                for k, part in enumerate(_parts(archive, info, part_bytes) if with_content else [None]):
+                    yield path, depth, info.file_size, part, None, k, md5
             else:
                 try:
                     body = archive.read(info)
                 except Exception as e:
-                    yield None, depth, info.file_size, None, f"{path}: {e}"
+                    yield None, depth, info.file_size, None, f"{path}: {e}", 0, None
                     return
-                yield path, depth, len(body), body, None
+                yield path, depth, len(body), body, None, 0, None
         if depth < MAX_DEPTH:
             for path, info in inner:
                 try:
                     body = archive.read(info)
                 except Exception as e:
-                    yield None, depth, info.file_size, None, f"{path}: {e}"
+                    yield None, depth, info.file_size, None, f"{path}: {e}", 0, None
                     return
-                yield from _entries(body, path[:-4] + "/", depth + 1)
+                yield from _entries(body, path[:-4] + "/", depth + 1, with_content, value_bytes, part_bytes)
 
 
 def _is_valid(data: bytes | None) -> bool:
@@ -70,27 +89,30 @@ def read_archives(spark: SparkSession, path: str, glob: str = "*.zip") -> DataFr
     return files.select(F.col("path").alias("archive"), "content")
 
 
-def expand(archives: DataFrame, with_content: bool = True) -> DataFrame:
+def expand(archives: DataFrame, with_content: bool = True, value_bytes: int = MAX_VALUE_BYTES, part_bytes: int = PART_BYTES) -> DataFrame:
     """One row per entry of ``archives(archive, content)``; a corrupt archive gives one row with an error.
 
-    ``is_valid`` says whether every checksum of the outer archive is right.
+    ``is_valid`` says whether every checksum of the outer archive is right. With content, an entry above ``value_bytes`` gives
+    a row for each ``part_bytes`` of it, numbered from 0 in ``part``; ``size`` and ``content_md5`` of such rows are those of the
+    whole entry. All other rows have part 0 and no ``content_md5``.
     """
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
                 name, data = batch.column(0)[i].as_py(), batch.column(1)[i].as_py()
                 valid = _is_valid(data)
-                held, weight = [], 0
-                for path, depth, size, body, error in _entries(data or b"", "", 0):
+                held, weight, bare = [], 0, True
+                for path, depth, size, body, error, part, md5 in _entries(data or b"", "", 0, with_content, value_bytes, part_bytes):
                     held.append({"archive": name, "entry_path": path, "depth": depth, "size": size,
-                                 "content": body if with_content else None, "is_valid": valid, "error": error})
+                                 "content": body if with_content else None, "is_valid": valid, "error": error, "part": part, "content_md5": md5})
                     weight += len(body or b"")
+                    bare = False
                     if weight > 1 << 24:
                         yield pa.RecordBatch.from_pylist(held, _SCHEMA)
                         held, weight = [], 0
-                if not held and weight == 0:
+                if bare:
                     held.append({"archive": name, "entry_path": None, "depth": 0, "size": None, "content": None,
-                                 "is_valid": valid, "error": None})
+                                 "is_valid": valid, "error": None, "part": 0, "content_md5": None})
                 yield pa.RecordBatch.from_pylist(held, _SCHEMA)
     return archives.select("archive", "content").mapInArrow(read, _DDL)
 

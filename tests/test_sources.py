@@ -1,6 +1,7 @@
 """Pages, archives, documents, schema conformance, retention."""
 
 import datetime as dt
+import hashlib
 import io
 import random
 import re
@@ -82,6 +83,26 @@ def test_archive_depth_and_damage(spark, tmp_path):
     assert [r.entry_path for r in by("broken.zip")] == ["a.pdf", None] and not by("broken.zip")[0].is_valid
 
 
+def test_large_entries_come_in_parts(spark):
+    """No byte of an entry above the bound of one value is lost; a damaged one gives no part."""
+    large = random.Random(5).randbytes(10_500)
+    good = zipped([("a.pdf", b"A" * 1000), ("large.pdf", large), ("n.zip", zipped([("even.pdf", large[:3000])]))])
+    broken = bytearray(zipped([("large.pdf", large)]))
+    broken[bytes(broken).index(large) + 9_000] ^= 1
+    df = spark.createDataFrame([("good", good), ("broken", bytes(broken))], "archive string, content binary")
+    rows = archives.expand(df, value_bytes=1000, part_bytes=1500).collect()
+    of = lambda path: sorted((r for r in rows if r.entry_path == path), key=lambda r: r.part)
+    for path, body in (("large.pdf", large), ("n/even.pdf", large[:3000])):
+        assert b"".join(r.content for r in of(path)) == body and [r.part for r in of(path)] == list(range(-(-len(body) // 1500)))
+        assert {(r.size, r.content_md5, r.error, r.archive) for r in of(path)} == {(len(body), hashlib.md5(body).hexdigest(), None, "good")}
+    assert [(r.size, bytes(r.content), r.content_md5) for r in of("a.pdf")] == [(1000, b"A" * 1000, None)]
+    full = spark.createDataFrame([("z", zipped([("a.pdf", bytes((1 << 24) + 1))]))], "archive string, content binary")
+    assert [r.entry_path for r in archives.expand(full).select("entry_path").collect()] == ["a.pdf"]   # nothing left to send after it
+    assert [(r.entry_path, r.is_valid, r.content) for r in rows if r.archive == "broken"] == [(None, False, None)]
+    listed = archives.expand(df, with_content=False, value_bytes=1000).where("archive = 'good'").collect()
+    assert sorted((r.entry_path, r.size, r.content) for r in listed) == [("a.pdf", 1000, None), ("large.pdf", 10_500, None), ("n/even.pdf", 3000, None)]
+
+
 def test_document_order(spark):
     e = spark.createDataFrame([("z", "B.PDF"), ("z", "b.pdf"), ("z", "a.Pdf"), ("z", "x.txt")], "archive string, entry_path string")
     assert [r.entry_path for r in archives.select_documents(e).orderBy("is_upper", "entry_path").collect()] == ["b.pdf", "B.PDF"]
