@@ -7,11 +7,15 @@ from pyspark.sql import functions as F
 
 from tenderloom import schemas as S
 from tenderloom.functions.amounts import find_amount, format_amount
-from tenderloom.functions.text import key_points, padded, strip
+from tenderloom.functions.text import SPACE, key_points, padded, pattern, strip
 
 OCR_BELOW = 100
 MODEL_ABOVE = 100
 DOCS_PER_PIECE = 256
+PIECE_BYTES = 1 << 26       # a tender with more text has several rows in join_texts
+SEAM = "\n\n"
+# What key points may need behind a piece: the longest line or amount shown; a number after its first digit.
+REST_CHARS, NUMBER_CHARS = 256, 15
 _REPLY_SCHEMA = ", ".join(
     f"{f.name} {'STRING' if f.name == 'montant_estime' else f.dataType.simpleString()}" for f in S.REPLY.fields)
 
@@ -72,58 +76,87 @@ def first_findings(docs: DataFrame) -> DataFrame:
     return docs.groupBy("tender_id").agg(*aggregates)
 
 
-def _pieces(docs: DataFrame, lookahead: bool, per_piece: int) -> DataFrame:
-    """Documents with their piece; with ``lookahead`` also a copy in the piece before (``own`` is false).
-
-    The piece before is the tender's last one that holds any text, whatever the gaps in ``ord``. Only tenders of
-    several pieces have one, so what is joined is small beside the documents.
-    """
-    rows = docs.withColumns({"piece": F.floor(F.col("ord") / per_piece), "own": F.lit(True)})
-    if not lookahead:
-        return rows
-    held = rows.filter(F.length("text") > 0).select("tender_id", "piece").distinct()
-    before = F.lag("piece").over(Window.partitionBy("tender_id").orderBy("piece"))
-    before = held.withColumn("_before", before).filter(F.col("_before").isNotNull())
-    both = F.array(F.struct("piece", "own"), F.struct(F.col("_before").alias("piece"), F.lit(False).alias("own")))
-    return rows.join(before, ["tender_id", "piece"], "left").withColumn(
-        "_p", F.explode(F.when(F.col("_before").isNotNull(), both).otherwise(F.slice(both, 1, 1)))).select(
-        *docs.columns, "_p.piece", "_p.own")
+def _piece(per_piece: int) -> Column:
+    return F.floor(F.col("ord") / per_piece).alias("piece")
 
 
-def _joined_text():
-    """Aggregate: texts in document order, an empty line between them, empty ones skipped."""
-    text = F.when(F.length("text") > 0, F.struct("ord", "doc_path", "text"))
-    return F.array_join(F.transform(F.array_sort(F.collect_list(text)), lambda d: d.text), "\n\n")
+def _joined(value: Column) -> Column:
+    """Aggregate: values in document order, an empty line between them; documents without text are skipped."""
+    text = F.when(F.length("text") > 0, F.struct(F.col("ord"), F.col("doc_path"), value.alias("text")))
+    return F.array_join(F.transform(F.array_sort(F.collect_list(text)), lambda d: d.text), SEAM)
 
 
-def join_texts(docs: DataFrame, per_piece: int = DOCS_PER_PIECE) -> DataFrame:
-    """Joined text of each tender.
+def join_texts(docs: DataFrame, per_piece: int = DOCS_PER_PIECE, piece_bytes: int = PIECE_BYTES) -> DataFrame:
+    """Joined text of each tender: one row, piece 0.
 
-    A tender comes in pieces of ``per_piece`` documents, so no group grows without bound; nearly all
-    tenders are one piece, and the pieces of the others follow one another to the whole text.
+    Only a tender with more than ``piece_bytes`` of text comes in several pieces, which follow one another to the whole
+    text; each has at most so many bytes and ``per_piece`` documents more.
+    """
+    rows = docs.filter(F.length("text") > 0).withColumn("_block", _piece(per_piece))
+    sizes = rows.groupBy("tender_id", "_block").agg(F.sum(F.octet_length("text").cast("long") + 2).alias("size"))
+    large = sizes.groupBy("tender_id").agg(F.sum("size").alias("size")).filter(F.col("size") > piece_bytes).select("tender_id")
+    before = Window.partitionBy("tender_id").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    places = sizes.join(large, "tender_id", "left_semi").select(
+        "tender_id", "_block", F.floor(F.coalesce(F.sum("size").over(before), F.lit(0)) / piece_bytes).alias("_at"))
+    placed = rows.join(places, ["tender_id", "_block"], "left").withColumn("piece", F.coalesce("_at", F.lit(0).cast("long")))
+    return placed.groupBy("tender_id", "piece").agg(_joined(F.col("text")).alias("text"))
+
+
+def _following(docs: DataFrame, per_piece: int) -> DataFrame:
+    """What a match that starts in a piece can need of the texts behind it: (tender_id, piece, _rest, _number).
+
+    Of all key points only the telephone runs on without a bound, over anything but digits: it needs the first digit
+    behind the piece and what a number can hold. The others cross an empty line by white space or, in an amount, by
+    digits, and show at most ``KEY_POINT_CHARS`` or 200 characters; ``_rest`` is ``REST_CHARS`` long, up to the next
+    character that isn't white space. Texts are stripped, so ``REST_CHARS // 3`` pieces hold as much. Only tenders
+    with several pieces have rows.
     """
-    rows = _pieces(docs.filter(F.length("text") > 0), False, per_piece)
-    return rows.groupBy("tender_id", "piece").agg(_joined_text().alias("text"))
+    rows = docs.withColumn("piece", _piece(per_piece))
+    several = rows.filter(F.coalesce(F.col("piece") != 0, F.lit(False))).select("tender_id").distinct()
+    cut = lambda c: F.regexp_extract(c, rf"(?s)\A.{{0,{REST_CHARS}}}[{SPACE}]*[^{SPACE}]?", 0)
+    digits = F.nullif(F.regexp_extract("text", rf"(?sU)\d.{{0,{NUMBER_CHARS}}}", 0), F.lit(""))
+    heads = rows.filter(F.length("text") > 0).select(
+        "tender_id", "piece", "ord", "doc_path", cut(F.col("text")).alias("text"), digits.alias("digits"))
+    # An inner join: a semi join would be pushed below the cut and shuffle whole texts.
+    heads = heads.join(several, "tender_id").groupBy("tender_id", "piece").agg(
+        cut(_joined(F.col("text"))).alias("head"),
+        F.min_by("digits", F.when(F.col("digits").isNotNull(), F.struct("ord", "doc_path"))).alias("digits"))
+    behind = Window.partitionBy("tender_id").orderBy("piece")
+    return heads.select(
+        "tender_id", "piece",
+        cut(F.array_join(F.collect_list("head").over(behind.rowsBetween(1, REST_CHARS // 3 + 1)), SEAM)).alias("_rest"),
+        F.first("digits", ignorenulls=True).over(behind.rowsBetween(1, Window.unboundedFollowing)).alias("_number"))
+
+
+def _own_key_points(text: Column, rest: Column, number: Column) -> Column:
+    """Key points whose match starts in ``text``, though it may end in what follows."""
+    whole = {label: F.concat(text, F.lit(SEAM), F.coalesce(number, F.lit("")) if label == "Téléphone" else rest) for label, _ in S.KEY_POINTS}
+    units = F.octet_length(F.encode(text, "UTF-16BE")) / 2      # places of matches are counted in these
+    return F.struct(*[
+        F.when(F.regexp_instr(whole[label], F.lit(pattern(regex))) <= units, key_points(whole[label])[label]).alias(label)
+        for label, regex in S.KEY_POINTS])
 
 
 def tender_findings(docs: DataFrame, per_piece: int = DOCS_PER_PIECE) -> DataFrame:
-    """First amount, first reply and key points of each tender in one pass over its documents.
+    """First amount, first reply and key points of each tender, as its whole joined text gives them.
 
-    Key points are sought in each piece followed by the next one, so a match may run over the seam; the
-    first piece with a match gives it. Texts are shuffled once; only findings go on to the second step.
+    Key points are sought in pieces of ``per_piece`` documents, each followed by what a match over its end can need
+    (see :func:`_following`); the first piece in which a match starts gives it. Whole texts stay within their piece.
     """
     order = F.struct("ord", "doc_path")
-    found = lambda name, value, when: F.min_by(
-        F.when(when & F.col("own"), value), F.when(when & F.col("own"), order)).alias(name)
-    aggregates = [_joined_text().alias("text"),
+    found = lambda name, value, when: F.min_by(F.when(when, value), F.when(when, order)).alias(name)
+    aggregates = [_joined(F.col("text")).alias("text"),
                   found("amount", F.col("amount"), F.col("amount").isNotNull() & (F.col("amount") != 0)),
-                  F.count_if("own").alias("n_docs"), F.max((F.col("text") != "") & F.col("own")).alias("has_text")]
+                  F.count(F.lit(1)).alias("n_docs"), F.max(F.col("text") != "").alias("has_text")]
     names = ["amount"]
     if "reply" in docs.columns:
         aggregates.append(found("reply", F.col("reply"), F.col("reply").isNotNull()))
         names.append("reply")
-    pieces = _pieces(docs, True, per_piece).groupBy("tender_id", "piece").agg(*aggregates)
-    pieces = pieces.select("tender_id", "piece", *names, "n_docs", "has_text", key_points(F.col("text")).alias("k"))
+    pieces = docs.withColumn("piece", _piece(per_piece)).groupBy("tender_id", "piece").agg(*aggregates)
+    pieces = pieces.join(_following(docs, per_piece), ["tender_id", "piece"], "left")
+    points = F.when(F.coalesce(F.col("_rest"), F.lit("")) == "", key_points(F.col("text"))).otherwise(
+        _own_key_points(F.col("text"), F.col("_rest"), F.col("_number")))
+    pieces = pieces.select("tender_id", "piece", *names, "n_docs", "has_text", points.alias("k"))
     first = lambda c: F.min_by(c, F.when(c.isNotNull(), F.col("piece")))
     return pieces.groupBy("tender_id").agg(
         *[first(F.col(n)).alias(n) for n in names], F.sum("n_docs").alias("n_docs"), F.max("has_text").alias("has_text"),

@@ -176,3 +176,26 @@ def test_key_points_over_a_gap_in_the_order(spark):
         docs = spark.createDataFrame(rows, "tender_id long, doc_path string, ord int, text string, amount double")
         got = {r.tender_id: r for r in summary.tender_findings(docs).collect()}
         assert (got[1]["Téléphone"], got[1].amount, got[1].n_docs) == ("0612345678", 5.0, 3) and got[2]["Téléphone"] is None
+
+
+def test_key_points_over_any_number_of_documents(spark):
+    """Matches that start in one document and end many documents later are those of the whole joined text."""
+    rng = random.Random(11)
+    words = ["Tel", "Tél +", "Montant : 1", "1", "2 3", ".", "0612345678", "+212 612345678", "Objet", "Objet : ab", "abc", "\U0001f600 mot", "DH 5", "Date limite",
+             "01/02/2024 10h", "Acheteur :", "x" * 300, "7" + " " * 400 + "8", "Lieu d'exécution", "a@b", "c.ma", "12\n000"]
+    kinds = [words, ["Tel", "mot", "0612345678"], ["Montant 5", "1", "2", "."], ["Objet", "ab", "\U0001f600", "Acheteur", "un mot"]]
+    docs = [(t, f"d{i:03}", i * (1 + t % 3), "" if rng.random() < 0.1 else rng.choice(kinds[t % 4]), None)
+            for t in range(60) for i in range(rng.choice([3, 20, 120]))]
+    docs += [(100, f"d{i:04}", i, "Tel" if i == 0 else "0522334455" if i == 799 else "mot", None) for i in range(800)]
+    df = spark.createDataFrame(docs, "tender_id long, doc_path string, ord int, text string, amount double").repartition(4)
+    whole = {t: "\n\n".join(d[3] for d in docs if d[0] == t and d[3]) for t in {d[0] for d in docs}}
+    assert {(r.tender_id, r.piece): r.text for r in summary.join_texts(df, per_piece=2).collect()} == {(t, 0): w for t, w in whole.items() if w}
+    pieces = summary.join_texts(df, per_piece=2, piece_bytes=100).orderBy("tender_id", "piece").collect()
+    assert {t: "\n\n".join(p.text for p in pieces if p.tender_id == t) for t in whole} == whole and len(pieces) > len(whole)
+    for per_piece in (1, 2, 7, 256):
+        found = {r.tender_id: r for r in summary.tender_findings(df, per_piece).collect()}
+        assert found.keys() == whole.keys() and found[100]["Téléphone"] == "0522334455"
+        for t, text in whole.items():
+            for label, pattern in S.KEY_POINTS:
+                m = re.search(pattern, text, re.I)
+                assert found[t][label] == (m.group(1).strip()[:150] if m else None), (per_piece, t, label)
