@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tenderloom.llm import chat, counting, decontaminate, language, minhash, packing, quality, simple8b, suffixes, topk
+from tenderloom.llm import chat, counting, decontaminate, exact, language, minhash, packing, quality, resample, simple8b, suffixes, topk
 from tenderloom.llm.common import table
 from tenderloom.session import scratch_path
 
@@ -123,3 +123,22 @@ def op8_transducer_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_difference_cover(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = suffixes.remove_repeats(table(spark, sf_dir, "documents"), length=50)
     return found.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query
+def op12_stateful_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = exact.deduplicate(spark, f"{sf_dir}/documents.parquet", scratch_path(spark, "llm-exact"))
+    return found.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
+
+
+ORACLE["op12_stateful_stream"] = """
+WITH t AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS norm FROM documents)
+SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc_id = max(doc_id) OVER w AS kept, sha256(norm) AS text_sha256
+FROM t WINDOW w AS (PARTITION BY norm)
+"""
+
+
+@query
+def op13_arrow_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
