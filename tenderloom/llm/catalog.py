@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tenderloom.llm import chat, counting, decontaminate, exact, language, minhash, packing, quality, resample, simple8b, suffixes, topk
+from tenderloom.llm import chat, counting, decontaminate, exact, language, minhash, packing, phrases, quality, resample, simple8b, suffixes, topk
 from tenderloom.llm.common import table
 from tenderloom.session import scratch_path
 
@@ -142,3 +142,37 @@ FROM t WINDOW w AS (PARTITION BY norm)
 def op13_arrow_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     drawn = resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+@query
+def op11_stripes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+ORACLE["op11_stripes"] = r"""
+WITH pieces AS (
+  SELECT lang, list_filter(string_split_regex(piece, '[ \t]+'), lambda w: w <> '') AS ws FROM (
+    SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents)),
+runs AS (
+  SELECT lang, k, array_to_string(list_slice(ws, i, i + k - 1), ' ') AS phrase, list_slice(ws, i, i + k - 1) AS words
+  FROM (SELECT lang, ws, k, unnest(range(1, len(ws) - k + 2)) AS i FROM pieces, (VALUES (1), (2), (3), (4), (5)) AS v(k) WHERE len(ws) >= k)),
+f AS MATERIALIZED (SELECT lang, k, phrase, count(*) AS n FROM runs GROUP BY ALL HAVING count(*) >= 100),
+totals AS (SELECT lang, sum(len(ws)) AS n FROM pieces GROUP BY lang),
+candidates AS (SELECT lang, k, phrase, n AS a, string_split(phrase, ' ') AS words FROM f WHERE k > 1),
+cuts AS (
+  SELECT lang, phrase, a, words, c, array_to_string(words[1:c], ' ') AS first_part, array_to_string(words[c + 1:], ' ') AS rest
+  FROM (SELECT *, unnest(range(1, k)) AS c FROM candidates)),
+scored AS (
+  SELECT cuts.lang, cuts.phrase, a, c, x.n AS l, y.n AS r, totals.n AS n,
+         CAST(CAST(1000 AS HUGEINT) * a * totals.n // (CAST(x.n AS HUGEINT) * y.n) AS BIGINT) AS score
+  FROM cuts JOIN f x ON x.lang = cuts.lang AND x.phrase = first_part JOIN f y ON y.lang = cuts.lang AND y.phrase = rest
+  JOIN totals ON totals.lang = cuts.lang),
+best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, c) = 1),
+held AS (
+  SELECT DISTINCT s.lang, s.phrase FROM candidates s JOIN (
+    SELECT lang, k, a, unnest([array_to_string(words[1:k - 1], ' '), array_to_string(words[2:], ' ')]) AS part FROM candidates WHERE k > 2) t
+  ON t.lang = s.lang AND t.part = s.phrase AND t.a >= s.a)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, score
+FROM best ANTI JOIN held USING (lang, phrase) QUALIFY rank <= 2000
+"""
