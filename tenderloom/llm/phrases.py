@@ -2,8 +2,8 @@
 
 A task makes stripes of a block of text at a time (distinct runs are found on integer codes, so a run is spelled once per block), Spark merges them
 elementwise: a stripe of a prefix comes as one row of next words and counts, is dealt by (language, prefix, lane of the next word), and its
-elements are added up there. A frequent prefix has as many lanes as ``LANES``, so its stripe is never in one task, and after the count per block it
-brings at most one element per next word and block, however many rows hold it.
+elements are added up there. A prefix whose first word makes up more than 1/``SHARES`` of all words has ``LANES`` lanes, others have one; there can't be
+more than ``SHARES`` such words. After the count per block a prefix brings at most one element per next word and block, however many rows hold it.
 
 The merged structure gives everything: an element is the count of a prefix with one more word, and also the total of the prefix that it makes; the
 largest element under a prefix says whether an extension to the right subsumes it, and the largest under the same words without the first one
@@ -29,11 +29,12 @@ from pyspark.sql import functions as F
 
 from tenderloom.llm.common import buffer_of, slices, stored, string_array
 
-LANES = 8
+LANES = 32
+SHARES = 256
 #: Size of a bit table: 8 MB.
 BITS = 1 << 26
 #: Bytes of text whose runs are counted together before they are sent on.
-BLOCK = 24 << 20
+BLOCK = 8 << 20
 _ODD = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
 _PER_ROW = 1 << 15      # bits in a row of Spark's bitmap functions
 _STRIPES = "lang string, prefix string, lane int, next array<string>, n array<long>"
@@ -57,19 +58,20 @@ class Words:
 def words_of(texts: pa.Array, langs: pa.Array) -> Words:
     data, offsets = buffer_of(pc.ascii_lower(texts))
     kind = _CLASS[data]
-    # a byte 2 between texts, so that neither words nor pieces go over their ends
-    kind = np.insert(kind, offsets[1:], 2)
     inside = kind == 0
-    edge = np.diff(inside.astype(np.int8), prepend=0)
-    starts = np.flatnonzero(edge == 1)
-    size = np.flatnonzero(edge == -1) - starts
-    piece = np.cumsum(kind == 2, dtype=np.int64)[starts]
-    owner = np.searchsorted(offsets[1:] + np.arange(1, len(offsets)), starts, side="right")
-    coded = string_array(data[_CLASS[data] == 0], np.concatenate([[0], np.cumsum(size)])).dictionary_encode()
+    letters = data[inside]
+    # a break before and behind each text, so that neither words nor pieces go over their ends
+    kind = np.insert(kind, offsets, 2)
+    inside = kind == 0
+    edges = np.flatnonzero(inside[1:] != inside[:-1]) + 1
+    starts, ends = edges[::2], edges[1::2]
+    piece = np.cumsum(kind == 2, dtype=np.int32)[starts]
+    owner = np.searchsorted(offsets + np.arange(len(offsets)), starts) - 1
+    coded = string_array(letters, np.concatenate([[0], np.cumsum(ends - starts)])).dictionary_encode()
     spoken = pc.fill_null(langs, "und").dictionary_encode()
     n = max(len(coded.dictionary), 1)
     both = spoken.indices.to_numpy(zero_copy_only=False).astype(np.int64)[owner] * n + coded.indices.to_numpy(zero_copy_only=False)
-    distinct, codes = np.unique(both, return_inverse=True)
+    distinct, codes = _numbered(both, n * len(spoken.dictionary))
     seeds = [xxhash.xxh3_64_intdigest(x) for x in spoken.dictionary.cast(pa.binary()).to_pylist()]
     plain = np.fromiter((xxhash.xxh3_64_intdigest(x) for x in coded.dictionary.cast(pa.binary()).to_pylist()), np.uint64, len(coded.dictionary))
     by_lang, by_word = distinct // n, distinct % n
@@ -77,49 +79,56 @@ def words_of(texts: pa.Array, langs: pa.Array) -> Words:
     return Words(codes, spoken.dictionary.take(pa.array(by_lang)), coded.dictionary.take(pa.array(by_word)), hashes, piece)
 
 
+def _numbered(values: np.ndarray, room: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct values in order, and which of them each value is; all are below ``room``."""
+    if room > 8 * len(values) + 1024:
+        return np.unique(values, return_inverse=True)
+    met = np.zeros(room, bool)
+    met[values] = True
+    return np.flatnonzero(met), (np.cumsum(met, dtype=np.int32) - 1)[values]
+
+
 def _mix(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     h = (a * _ODD[0] + b) * _ODD[1]
     h ^= h >> np.uint64(29)
     return h * _ODD[0] >> np.uint64(1)
 
 
-def _runs(w: Words, longest: int, pair: np.ndarray) -> Iterator[tuple[pa.Array, pa.Array, np.ndarray, np.ndarray, np.ndarray]]:
-    """For each length from 2: prefixes spelled, prefix and next word of each distinct run, its count, its word code. ``pair``: words i and i + 1 may
-    stand together in a run."""
+def _runs(w: Words, longest: int, pair: np.ndarray, hot: np.ndarray) -> Iterator[tuple[int, pa.RecordBatch]]:
+    """For each length from 2, the stripes of the runs of that length as rows of ``_STRIPES``. ``pair``: words i and i + 1 may stand together in a
+    run; ``hot``: word codes whose stripes have lanes."""
     at = np.flatnonzero(pair)
     n = max(len(w.words), 1)
-    code, spelled, first = w.codes[at], w.words, w.codes
+    lane_of = (w.hashes % np.uint64(LANES)).astype(np.int64)
+    code, spelled = w.codes[at].astype(np.int64), w.words
     for length in range(2, longest + 1):
-        pairs = code * n + w.codes[at + length - 1]
-        distinct, inverse, counts = np.unique(pairs, return_inverse=True, return_counts=True)
-        prefix, follow = distinct // n, distinct % n
-        yield length, spelled, prefix, follow, counts
-        if length == longest:
-            return
-        spelled = pc.binary_join_element_wise(spelled.take(pa.array(prefix)), w.words.take(pa.array(follow)), " ")
-        code = inverse
+        follow = w.codes[at + length - 1].astype(np.int64)
+        values = (code * LANES + np.where(hot[code], lane_of[follow], 0)) * n + follow
+        ordered = np.sort(values)
+        first = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]])) if len(ordered) else np.zeros(0, np.int64)
+        distinct, counts = ordered[first], np.diff(first, append=len(ordered))
+        prefix, follow = distinct // (n * LANES), distinct % n
+        for batch in _stripes(w, spelled, distinct // n, follow, counts):
+            yield length, batch
         going = at + length - 1 < len(pair)
         going[going] = pair[at[going] + length - 1]
-        at, code = at[going], code[going]
-
-
-def _stripes(langs: pa.Array, prefixes: pa.Array, prefix: np.ndarray, follow: np.ndarray, counts: np.ndarray, words: pa.Array,
-             hashes: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """Rows of ``_STRIPES``: the elements of a prefix and lane as one row."""
-    if not len(prefix):
-        return
-    lane = (hashes[follow] % np.uint64(LANES)).astype(np.int64)
-    order = np.lexsort((lane, prefix))
-    key = prefix[order] * LANES + lane[order]
-    first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-    ends = np.concatenate([first, [len(key)]])
+        if length == longest or not going.any():
+            return
+        spelled = pc.binary_join_element_wise(spelled.take(pa.array(prefix)), w.words.take(pa.array(follow)), " ")
+        at, code, hot = at[going], np.searchsorted(distinct, values[going]), hot[prefix]
+
+
+def _stripes(w: Words, prefixes: pa.Array, key: np.ndarray, follow: np.ndarray, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Rows of ``_STRIPES`` from elements in the order of their key (prefix and lane): those of a key as one row."""
+    first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
+    ends = np.append(first, len(key))
     for a in range(0, len(first), 1 << 16):
         rows = first[a:a + (1 << 16)]
-        span = order[rows[0]:ends[a + len(rows)]]
+        span = slice(rows[0], ends[a + len(rows)])
         bounds = pa.array((ends[a:a + len(rows) + 1] - rows[0]).astype(np.int32))
         yield pa.RecordBatch.from_arrays(
-            [langs.take(pa.array(follow[order[rows]])), prefixes.take(pa.array(prefix[order[rows]])), pa.array(lane[order[rows]].astype(np.int32)),
-             pa.ListArray.from_arrays(bounds, words.take(pa.array(follow[span]))), pa.ListArray.from_arrays(bounds, pa.array(counts[span]))],
+            [w.langs.take(pa.array(follow[rows])), prefixes.take(pa.array(key[rows] // LANES)), pa.array((key[rows] % LANES).astype(np.int32)),
+             pa.ListArray.from_arrays(bounds, w.words.take(pa.array(follow[span]))), pa.ListArray.from_arrays(bounds, pa.array(counts[span]))],
             ["lang", "prefix", "lane", "next", "n"])
 
 
@@ -184,13 +193,16 @@ def phrase_counts(docs: DataFrame, least: int, longest: int) -> tuple[DataFrame,
     single = single.where(F.col("n") >= least).select("lang", F.lit("").alias("prefix"), "next", "n")
     spark = docs.sparkSession
     frequent = spark.sparkContext.broadcast(bit_table(single, lambda b: _hash_of(b.column("lang"), b.column("next"))))
+    all_words = totals.agg(F.coalesce(F.sum("total"), F.lit(0))).first()[0]
+    most = [(r.lang, r.next) for r in single.where(F.col("n") * SHARES > all_words).collect()]      # fewer than SHARES
+    hot_hashes = _hash_of(*(pa.array([m[i] for m in most], pa.string()) for i in (0, 1)))
 
     def pairs(batches):
         for w in _blocks(batches):
             good = _has(frequent.value, w.hashes)[w.codes]
             pair = good[:-1] & good[1:] & (w.piece[:-1] == w.piece[1:])
-            for _, *run in _runs(w, 2, pair):
-                yield from _stripes(w.langs, *run, w.words, w.hashes)
+            for _, batch in _runs(w, 2, pair, np.isin(w.hashes, hot_hashes)):
+                yield batch
 
     two = stored(merged(docs.mapInArrow(pairs, _STRIPES)).where(F.col("n") >= least), "pairs")
     met = spark.sparkContext.broadcast(bit_table(two, lambda b: _mix(_hash_of(b.column("lang"), b.column("prefix")), _hash_of(b.column("lang"), b.column("next")))))
@@ -198,9 +210,9 @@ def phrase_counts(docs: DataFrame, least: int, longest: int) -> tuple[DataFrame,
     def longer(batches):
         for w in _blocks(batches):
             pair = _has(met.value, _mix(w.hashes[w.codes[:-1]], w.hashes[w.codes[1:]])) & (w.piece[:-1] == w.piece[1:])
-            for length, *run in _runs(w, longest, pair):
+            for length, batch in _runs(w, longest, pair, np.isin(w.hashes, hot_hashes)):
                 if length > 2:
-                    yield from _stripes(w.langs, *run, w.words, w.hashes)
+                    yield batch
 
     more = stored(merged(docs.mapInArrow(longer, _STRIPES)).where(F.col("n") >= least), "runs")
     return single.unionByName(two).unionByName(more), totals
