@@ -27,7 +27,10 @@ SHARES = 256
 #: Files of about so many bytes are folded in one batch; between batches the state is committed.
 BATCH_BYTES = 256 << 30
 _STATE = {"spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-          "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true"}
+          "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
+          # no space is set aside for stores that stay small; a batch commits what it changed, not whole stores
+          "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+          "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true"}
 
 
 def normalised(text: Column) -> Column:
@@ -37,7 +40,7 @@ def normalised(text: Column) -> Column:
 
 
 def sha256(text: Column) -> Column:
-    return F.unhex(F.sha2(text.cast("binary"), 256))
+    return F.coalesce(F.unhex(F.sha2(text.cast("binary"), 256)), F.lit(b""))      # never null, which the planner can't see by itself
 
 
 @contextmanager
