@@ -10,9 +10,11 @@ largest element under a prefix says whether an extension to the right subsumes i
 whether an extension to the left does. A longer phrase that holds a candidate as often as the candidate occurs can be cut down to one that is a word
 longer, so one word suffices.
 
-Stripes of longer prefixes hold only runs whose parts are frequent themselves, which loses nothing: a run occurs no oftener than its parts. What is frequent
-comes to the tasks as a bit table of fixed size (``BITS``); a wrong hit in it costs a count, never a result. Three passes over the texts: words,
-pairs of frequent words, runs of frequent pairs.
+Stripes of longer prefixes hold only runs whose parts are frequent themselves, which loses nothing: a run occurs no oftener than its parts. What is
+frequent comes to the tasks as a bit table of fixed size. One is made of the frequent runs of a length; another of counters that each task keeps
+while it reads the shorter runs, one per hash of a longer run, added up over all tasks. Either can be wrong only by letting a rare run through, which costs a
+count, never a result; on tables of so many words that every counter fills up, all runs of frequent parts are counted. Three passes over the texts: words, pairs
+of frequent words, runs of frequent pairs.
 """
 
 from __future__ import annotations
@@ -24,6 +26,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -33,11 +36,14 @@ LANES = 32
 SHARES = 256
 #: Size of a bit table: 8 MB.
 BITS = 1 << 26
+#: Counters of longer runs a task keeps while it reads the shorter ones, and how many go into a row.
+COUNTERS, PER_CHUNK = 1 << 25, 1 << 16
 #: Bytes of text whose runs are counted together before they are sent on.
 BLOCK = 8 << 20
 _ODD = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
 _PER_ROW = 1 << 15      # bits in a row of Spark's bitmap functions
-_STRIPES = "lang string, prefix string, lane int, next array<string>, n array<long>"
+_STRIPES = "lang string, prefix string, lane int, next array<string>, n array<long>, chunk int, counters binary"
+_WORDS = "lang string, next string, n long, chunk int, counters binary"
 
 _CLASS = np.zeros(256, np.uint8)      # 0 in a word, 1 between words, 2 between pieces
 _CLASS[[0x20, 0x09]] = 1
@@ -132,6 +138,55 @@ def _stripes(w: Words, prefixes: pa.Array, key: np.ndarray, follow: np.ndarray,
             ["lang", "prefix", "lane", "next", "n"])
 
 
+class Counters:
+    """How often each hash (modulo ``COUNTERS``) was met; a counter stops at the largest value it holds, which is not below ``least``."""
+
+    def __init__(self, least: int) -> None:
+        self.n = np.zeros(COUNTERS, np.uint8 if least < 256 else np.uint32)
+
+    def add(self, hashes: np.ndarray) -> None:
+        at, n = np.unique(hashes % np.uint64(COUNTERS), return_counts=True)
+        self.n[at] += np.minimum(n, np.iinfo(self.n.dtype).max - self.n[at]).astype(self.n.dtype)
+
+    def chunks(self) -> tuple[list[int], list[bytes]]:
+        rows = self.n.reshape(-1, PER_CHUNK)
+        met = np.flatnonzero(rows.any(axis=1))
+        return met.tolist(), [zstandard.compress(rows[i].tobytes(), 1) for i in met]
+
+
+def full_counters(rows: DataFrame, least: int) -> np.ndarray:
+    """A bit per counter whose sum over all tasks is ``least`` or more. ``COUNTERS`` bits come to the driver."""
+    kind = Counters(least).n.dtype
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}      # a partition has some of the fixed number of chunks
+        for batch in batches:
+            for chunk, packed in zip(batch.column("chunk").to_pylist(), batch.column("counters").to_pylist()):
+                n = np.frombuffer(zstandard.decompress(packed), kind)
+                held = sums.setdefault(chunk, np.zeros(PER_CHUNK, kind))
+                held += np.minimum(n, np.iinfo(kind).max - held)
+        bits = [np.packbits(n >= least, bitorder="little").tobytes() for n in sums.values()]
+        yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array(bits, pa.binary())], ["chunk", "bits"])
+
+    table = np.zeros(COUNTERS // 8, np.uint8)
+    dealt = rows.where("chunk is not null").select("chunk", "counters").repartition("chunk")
+    for r in dealt.mapInArrow(run, "chunk int, bits binary").collect():
+        table[r.chunk * PER_CHUNK // 8:(r.chunk + 1) * PER_CHUNK // 8] = np.frombuffer(r.bits, np.uint8)
+    return table
+
+
+def _wide(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """Elements or stripes, with empty columns for counters."""
+    none = [pa.nulls(batch.num_rows, pa.int32()), pa.nulls(batch.num_rows, pa.binary())]
+    return pa.RecordBatch.from_arrays([*batch.columns, *none], [*batch.schema.names, "chunk", "counters"])
+
+
+def _counter_rows(counters: Counters, schema: dict[str, pa.DataType]) -> pa.RecordBatch:
+    chunk, packed = counters.chunks()
+    none = [pa.nulls(len(chunk), t) for t in schema.values()]
+    return pa.RecordBatch.from_arrays([*none, pa.array(chunk, pa.int32()), pa.array(packed, pa.binary())], [*schema, "chunk", "counters"])
+
+
 def _blocks(batches: Iterable[pa.RecordBatch]) -> Iterator[Words]:
     """Words of up to ``BLOCK`` bytes of text at a time."""
     held, size = [], 0
@@ -165,13 +220,13 @@ def bit_table(df: DataFrame, positions: Callable[[pa.RecordBatch], np.ndarray])
     p = F.col("p")
     rows = df.mapInArrow(run, "p long").groupBy((p / _PER_ROW).cast("long").alias("row")).agg(F.bitmap_construct_agg(p % _PER_ROW).alias("bits"))
     table = np.zeros(BITS // 8, np.uint8)
-    for r in rows.toLocalIterator():
+    for r in rows.collect():
         table[r.row * _PER_ROW // 8:(r.row + 1) * _PER_ROW // 8] = np.frombuffer(r.bits, np.uint8)
     return table
 
 
 def _has(table: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    at = (hashes % np.uint64(BITS)).astype(np.int64)
+    at = (hashes % np.uint64(8 * len(table))).astype(np.int64)
     return (table[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
 
 
@@ -182,37 +237,52 @@ def _hash_of(lang: pa.Array, word: pa.Array) -> np.ndarray:
 
 def phrase_counts(docs: DataFrame, least: int, longest: int) -> tuple[DataFrame, DataFrame]:
     """(lang, prefix, next, n) of all runs of 1 to ``longest`` words that occur ``least`` times, a single word having an empty prefix; (lang, all words)."""
+    together = lambda w: w.piece[:-1] == w.piece[1:]
+    pair_hash = lambda w: _mix(w.hashes[w.codes[:-1]], w.hashes[w.codes[1:]])
+
     def words(batches):
+        seen = Counters(least)
         for w in _blocks(batches):
             n = np.bincount(w.codes, minlength=len(w.words))
-            yield pa.RecordBatch.from_arrays([w.langs, w.words, pa.array(n)], ["lang", "next", "n"])
+            yield _wide(pa.RecordBatch.from_arrays([w.langs, w.words, pa.array(n)], ["lang", "next", "n"]))
+            seen.add(pair_hash(w)[together(w)])
+        yield _counter_rows(seen, {"lang": pa.string(), "next": pa.string(), "n": pa.int64()})
 
     # the stripe of the empty prefix: its elements are its lanes
-    single = stored(docs.mapInArrow(words, "lang string, next string, n long").groupBy("lang", "next").agg(F.sum("n").alias("n")), "words")
+    read = stored(docs.mapInArrow(words, _WORDS), "read")
+    single = stored(read.where("chunk is null").groupBy("lang", "next").agg(F.sum("n").alias("n")), "words")
     totals = single.groupBy("lang").agg(F.sum("n").alias("total"))
-    single = single.where(F.col("n") >= least).select("lang", F.lit("").alias("prefix"), "next", "n")
-    spark = docs.sparkSession
-    frequent = spark.sparkContext.broadcast(bit_table(single, lambda b: _hash_of(b.column("lang"), b.column("next"))))
     all_words = totals.agg(F.coalesce(F.sum("total"), F.lit(0))).first()[0]
+    single = single.where(F.col("n") >= least).select("lang", F.lit("").alias("prefix"), "next", "n")
     most = [(r.lang, r.next) for r in single.where(F.col("n") * SHARES > all_words).collect()]      # fewer than SHARES
-    hot_hashes = _hash_of(*(pa.array([m[i] for m in most], pa.string()) for i in (0, 1)))
+    hot = _hash_of(*(pa.array([m[i] for m in most], pa.string()) for i in (0, 1)))
+    share = docs.sparkSession.sparkContext.broadcast
+    word = share(bit_table(single, lambda b: _hash_of(b.column("lang"), b.column("next"))))
+    counted = share(full_counters(read, least))
 
     def pairs(batches):
+        seen = Counters(least)
         for w in _blocks(batches):
-            good = _has(frequent.value, w.hashes)[w.codes]
-            pair = good[:-1] & good[1:] & (w.piece[:-1] == w.piece[1:])
-            for _, batch in _runs(w, 2, pair, np.isin(w.hashes, hot_hashes)):
-                yield batch
-
-    two = stored(merged(docs.mapInArrow(pairs, _STRIPES)).where(F.col("n") >= least), "pairs")
-    met = spark.sparkContext.broadcast(bit_table(two, lambda b: _mix(_hash_of(b.column("lang"), b.column("prefix")), _hash_of(b.column("lang"), b.column("next")))))
+            good, hashes = _has(word.value, w.hashes)[w.codes], pair_hash(w)
+            pair = good[:-1] & good[1:] & together(w) & _has(counted.value, hashes)
+            yield from (_wide(batch) for _, batch in _runs(w, 2, pair, np.isin(w.hashes, hot)))
+            seen.add(_mix(hashes[:-1], hashes[1:])[pair[:-1] & pair[1:]])
+        kinds = {"lang": pa.string(), "prefix": pa.string(), "lane": pa.int32(), "next": pa.list_(pa.string()), "n": pa.list_(pa.int64())}
+        yield _counter_rows(seen, kinds)
+
+    read = stored(docs.mapInArrow(pairs, _STRIPES), "read")
+    two = stored(merged(read.where("chunk is null")).where(F.col("n") >= least), "pairs")
+    met = share(bit_table(two, lambda b: _mix(_hash_of(b.column("lang"), b.column("prefix")), _hash_of(b.column("lang"), b.column("next")))))
+    threes = share(full_counters(read, least))
 
     def longer(batches):
         for w in _blocks(batches):
-            pair = _has(met.value, _mix(w.hashes[w.codes[:-1]], w.hashes[w.codes[1:]])) & (w.piece[:-1] == w.piece[1:])
-            for length, batch in _runs(w, longest, pair, np.isin(w.hashes, hot_hashes)):
-                if length > 2:
-                    yield batch
+            hashes = pair_hash(w)
+            pair = _has(met.value, hashes) & together(w)
+            three = pair[:-1] & pair[1:] & _has(threes.value, _mix(hashes[:-1], hashes[1:]))
+            # words i and i + 1 are in a run of three that may be frequent
+            pair &= np.append(three, False)[:len(pair)] | np.append(False, three)[:len(pair)]
+            yield from (_wide(batch) for length, batch in _runs(w, longest, pair, np.isin(w.hashes, hot)) if length > 2)
 
     more = stored(merged(docs.mapInArrow(longer, _STRIPES)).where(F.col("n") >= least), "runs")
     return single.unionByName(two).unionByName(more), totals
