@@ -100,10 +100,10 @@ def _mix(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return h * _ODD[0] >> np.uint64(1)
 
 
-def _runs(w: Words, longest: int, pair: np.ndarray, hot: np.ndarray) -> Iterator[tuple[int, pa.RecordBatch]]:
-    """For each length from 2, the stripes of the runs of that length as rows of ``_STRIPES``. ``pair``: words i and i + 1 may stand together in a
-    run; ``hot``: word codes whose stripes have lanes."""
-    at = np.flatnonzero(pair)
+def _runs(w: Words, shortest: int, longest: int, may: np.ndarray, hot: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """For each length from ``shortest`` to ``longest``, the stripes of the runs of that length as rows of ``_STRIPES``. ``may``: the ``shortest`` words
+    from word i on may be a run, so longer ones are made of such runs only; ``hot``: word codes whose stripes have lanes."""
+    at = np.flatnonzero(may)
     n = max(len(w.words), 1)
     lane_of = (w.hashes % np.uint64(LANES)).astype(np.int64)
     code, spelled = w.codes[at].astype(np.int64), w.words
@@ -114,10 +114,11 @@ def _runs(w: Words, longest: int, pair: np.ndarray, hot: np.ndarray) -> Iterator
         first = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]])) if len(ordered) else np.zeros(0, np.int64)
         distinct, counts = ordered[first], np.diff(first, append=len(ordered))
         prefix, follow = distinct // (n * LANES), distinct % n
-        for batch in _stripes(w, spelled, distinct // n, follow, counts):
-            yield length, batch
-        going = at + length - 1 < len(pair)
-        going[going] = pair[at[going] + length - 1]
+        if length >= shortest:
+            yield from _stripes(w, spelled, distinct // n, follow, counts)
+        behind = at + max(length - shortest + 1, 0)
+        going = behind < len(may)
+        going[going] = may[behind[going]]
         if length == longest or not going.any():
             return
         spelled = pc.binary_join_element_wise(spelled.take(pa.array(prefix)), w.words.take(pa.array(follow)), " ")
@@ -265,7 +266,7 @@ def phrase_counts(docs: DataFrame, least: int, longest: int) -> tuple[DataFrame,
         for w in _blocks(batches):
             good, hashes = _has(word.value, w.hashes)[w.codes], pair_hash(w)
             pair = good[:-1] & good[1:] & together(w) & _has(counted.value, hashes)
-            yield from (_wide(batch) for _, batch in _runs(w, 2, pair, np.isin(w.hashes, hot)))
+            yield from map(_wide, _runs(w, 2, 2, pair, np.isin(w.hashes, hot)))
             seen.add(_mix(hashes[:-1], hashes[1:])[pair[:-1] & pair[1:]])
         kinds = {"lang": pa.string(), "prefix": pa.string(), "lane": pa.int32(), "next": pa.list_(pa.string()), "n": pa.list_(pa.int64())}
         yield _counter_rows(seen, kinds)
@@ -280,9 +281,7 @@ def phrase_counts(docs: DataFrame, least: int, longest: int) -> tuple[DataFrame,
             hashes = pair_hash(w)
             pair = _has(met.value, hashes) & together(w)
             three = pair[:-1] & pair[1:] & _has(threes.value, _mix(hashes[:-1], hashes[1:]))
-            # words i and i + 1 are in a run of three that may be frequent
-            pair &= np.append(three, False)[:len(pair)] | np.append(False, three)[:len(pair)]
-            yield from (_wide(batch) for length, batch in _runs(w, longest, pair, np.isin(w.hashes, hot)) if length > 2)
+            yield from map(_wide, _runs(w, 3, longest, three, np.isin(w.hashes, hot)))
 
     more = stored(merged(docs.mapInArrow(longer, _STRIPES)).where(F.col("n") >= least), "runs")
     return single.unionByName(two).unionByName(more), totals
