@@ -40,9 +40,11 @@ BITS = 1 << 26
 COUNTERS, PER_CHUNK = 1 << 25, 1 << 16
 #: Bytes of text whose runs are counted together before they are sent on.
 BLOCK = 8 << 20
+#: Elements a task adds up before it sends them on.
+FOLD = 1 << 19
 _ODD = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
 _PER_ROW = 1 << 15      # bits in a row of Spark's bitmap functions
-_STRIPES = "lang string, prefix string, lane int, next array<string>, n array<long>, chunk int, counters binary"
+_STRIPES = "lang string, prefix string, lane long, next array<string>, n array<long>, chunk int, counters binary"
 _WORDS = "lang string, next string, n long, chunk int, counters binary"
 
 _CLASS = np.zeros(256, np.uint8)      # 0 in a word, 1 between words, 2 between pieces
@@ -101,7 +103,7 @@ def _mix(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def _runs(w: Words, shortest: int, longest: int, may: np.ndarray, hot: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """For each length from ``shortest`` to ``longest``, the stripes of the runs of that length as rows of ``_STRIPES``. ``may``: the ``shortest`` words
+    """For each length from ``shortest`` to ``longest``, lang, prefix, lane, next and count of the runs of that length. ``may``: the ``shortest`` words
     from word i on may be a run, so longer ones are made of such runs only; ``hot``: word codes whose stripes have lanes."""
     at = np.flatnonzero(may)
     n = max(len(w.words), 1)
@@ -115,7 +117,9 @@ def _runs(w: Words, shortest: int, longest: int, may: np.ndarray, hot: np.ndarra
         distinct, counts = ordered[first], np.diff(first, append=len(ordered))
         prefix, follow = distinct // (n * LANES), distinct % n
         if length >= shortest:
-            yield from _stripes(w, spelled, distinct // n, follow, counts)
+            yield pa.RecordBatch.from_arrays(
+                [w.langs.take(pa.array(follow)), spelled.take(pa.array(prefix)), pa.array(distinct // n % LANES), w.words.take(pa.array(follow)),
+                 pa.array(counts)], ["lang", "prefix", "lane", "next", "n"])
         behind = at + max(length - shortest + 1, 0)
         going = behind < len(may)
         going[going] = may[behind[going]]
@@ -125,18 +129,33 @@ def _runs(w: Words, shortest: int, longest: int, may: np.ndarray, hot: np.ndarra
         at, code, hot = at[going], np.searchsorted(distinct, values[going]), hot[prefix]
 
 
-def _stripes(w: Words, prefixes: pa.Array, key: np.ndarray, follow: np.ndarray, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """Rows of ``_STRIPES`` from elements in the order of their key (prefix and lane): those of a key as one row."""
-    first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
-    ends = np.append(first, len(key))
-    for a in range(0, len(first), 1 << 16):
-        rows = first[a:a + (1 << 16)]
-        span = slice(rows[0], ends[a + len(rows)])
-        bounds = pa.array((ends[a:a + len(rows) + 1] - rows[0]).astype(np.int32))
-        yield pa.RecordBatch.from_arrays(
-            [w.langs.take(pa.array(follow[rows])), prefixes.take(pa.array(key[rows] // LANES)), pa.array((key[rows] % LANES).astype(np.int32)),
-             pa.ListArray.from_arrays(bounds, w.words.take(pa.array(follow[span]))), pa.ListArray.from_arrays(bounds, pa.array(counts[span]))],
-            ["lang", "prefix", "lane", "next", "n"])
+def _folded(elements: Iterable[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """Elements of a task with equal keys added up; ``FOLD`` elements or about twice as many are held at a time."""
+    held: list[pa.Table] = []
+    size, added = 0, 0
+    for batch in elements:
+        held.append(pa.Table.from_batches([batch]))
+        size += batch.num_rows
+        added += batch.num_rows
+        if added > FOLD:
+            held, added = [_sums(held, keys)], 0
+            size = len(held[0])
+            if size > FOLD:
+                yield held[0]
+                held, size = [], 0
+    if held:
+        yield _sums(held, keys)
+
+
+def _sums(held: list[pa.Table], keys: list[str]) -> pa.Table:
+    return pa.concat_tables(held).group_by(keys, use_threads=False).aggregate([("n", "sum")]).rename_columns([*keys, "n"])
+
+
+def _stripes(elements: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of ``_STRIPES``: what the elements of a prefix and lane add up to, as one row."""
+    for folded in _folded(elements, ["lang", "prefix", "lane", "next"]):
+        lists = folded.group_by(["lang", "prefix", "lane"], use_threads=False).aggregate([("next", "list"), ("n", "list")])
+        yield from map(_wide, lists.rename_columns(["lang", "prefix", "lane", "next", "n"]).to_batches(max_chunksize=1 << 16))
 
 
 class Counters:
@@ -243,10 +262,14 @@ def phrase_counts(docs: DataFrame, least: int, longest: int) -> tuple[DataFrame,
 
     def words(batches):
         seen = Counters(least)
-        for w in _blocks(batches):
-            n = np.bincount(w.codes, minlength=len(w.words))
-            yield _wide(pa.RecordBatch.from_arrays([w.langs, w.words, pa.array(n)], ["lang", "next", "n"]))
-            seen.add(pair_hash(w)[together(w)])
+
+        def elements():
+            for w in _blocks(batches):
+                yield pa.RecordBatch.from_arrays([w.langs, w.words, pa.array(np.bincount(w.codes, minlength=len(w.words)))], ["lang", "next", "n"])
+                seen.add(pair_hash(w)[together(w)])
+
+        for folded in _folded(elements(), ["lang", "next"]):
+            yield from map(_wide, folded.to_batches(max_chunksize=1 << 16))
         yield _counter_rows(seen, {"lang": pa.string(), "next": pa.string(), "n": pa.int64()})
 
     # the stripe of the empty prefix: its elements are its lanes
@@ -263,12 +286,16 @@ def phrase_counts(docs: DataFrame, least: int, longest: int) -> tuple[DataFrame,
 
     def pairs(batches):
         seen = Counters(least)
-        for w in _blocks(batches):
-            good, hashes = _has(word.value, w.hashes)[w.codes], pair_hash(w)
-            pair = good[:-1] & good[1:] & together(w) & _has(counted.value, hashes)
-            yield from map(_wide, _runs(w, 2, 2, pair, np.isin(w.hashes, hot)))
-            seen.add(_mix(hashes[:-1], hashes[1:])[pair[:-1] & pair[1:]])
-        kinds = {"lang": pa.string(), "prefix": pa.string(), "lane": pa.int32(), "next": pa.list_(pa.string()), "n": pa.list_(pa.int64())}
+
+        def elements():
+            for w in _blocks(batches):
+                good, hashes = _has(word.value, w.hashes)[w.codes], pair_hash(w)
+                pair = good[:-1] & good[1:] & together(w) & _has(counted.value, hashes)
+                yield from _runs(w, 2, 2, pair, np.isin(w.hashes, hot))
+                seen.add(_mix(hashes[:-1], hashes[1:])[pair[:-1] & pair[1:]])
+
+        yield from _stripes(elements())
+        kinds = {"lang": pa.string(), "prefix": pa.string(), "lane": pa.int64(), "next": pa.list_(pa.string()), "n": pa.list_(pa.int64())}
         yield _counter_rows(seen, kinds)
 
     read = stored(docs.mapInArrow(pairs, _STRIPES), "read")
@@ -277,11 +304,14 @@ def phrase_counts(docs: DataFrame, least: int, longest: int) -> tuple[DataFrame,
     threes = share(full_counters(read, least))
 
     def longer(batches):
-        for w in _blocks(batches):
-            hashes = pair_hash(w)
-            pair = _has(met.value, hashes) & together(w)
-            three = pair[:-1] & pair[1:] & _has(threes.value, _mix(hashes[:-1], hashes[1:]))
-            yield from map(_wide, _runs(w, 3, longest, three, np.isin(w.hashes, hot)))
+        def elements():
+            for w in _blocks(batches):
+                hashes = pair_hash(w)
+                pair = _has(met.value, hashes) & together(w)
+                three = pair[:-1] & pair[1:] & _has(threes.value, _mix(hashes[:-1], hashes[1:]))
+                yield from _runs(w, 3, longest, three, np.isin(w.hashes, hot))
+
+        yield from _stripes(elements())
 
     more = stored(merged(docs.mapInArrow(longer, _STRIPES)).where(F.col("n") >= least), "runs")
     return single.unionByName(two).unionByName(more), totals
