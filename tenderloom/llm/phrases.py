@@ -102,10 +102,11 @@ def _mix(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return h * _ODD[0] >> np.uint64(1)
 
 
-def _runs(w: Words, shortest: int, longest: int, may: np.ndarray, hot: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """For each length from ``shortest`` to ``longest``, lang, prefix, lane, next and count of the runs of that length. ``may``: the ``shortest`` words
-    from word i on may be a run, so longer ones are made of such runs only; ``hot``: word codes whose stripes have lanes."""
-    at = np.flatnonzero(may)
+def _runs(w: Words, may: dict[int, np.ndarray], hot: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """lang, prefix, lane, next and count of runs of words. ``may`` tells for each length whether the words from word i on may be a frequent run; runs
+    of each length go on from those of the length before. ``hot``: word codes whose stripes have lanes."""
+    shortest, longest = min(may), max(may)
+    at = np.flatnonzero(may[shortest])
     n = max(len(w.words), 1)
     lane_of = (w.hashes % np.uint64(LANES)).astype(np.int64)
     code, spelled = w.codes[at].astype(np.int64), w.words
@@ -120,10 +121,14 @@ def _runs(w: Words, shortest: int, longest: int, may: np.ndarray, hot: np.ndarra
             yield pa.RecordBatch.from_arrays(
                 [w.langs.take(pa.array(follow)), spelled.take(pa.array(prefix)), pa.array(distinct // n % LANES), w.words.take(pa.array(follow)),
                  pa.array(counts)], ["lang", "prefix", "lane", "next", "n"])
-        behind = at + max(length - shortest + 1, 0)
-        going = behind < len(may)
-        going[going] = may[behind[going]]
-        if length == longest or not going.any():
+        if length == longest:
+            return
+        going = np.ones(len(at), bool)
+        if length >= shortest:
+            inside = at < len(may[length + 1])
+            going[~inside] = False
+            going[inside] = may[length + 1][at[inside]]
+        if not going.any():
             return
         spelled = pc.binary_join_element_wise(spelled.take(pa.array(prefix)), w.words.take(pa.array(follow)), " ")
         at, code, hot = at[going], np.searchsorted(distinct, values[going]), hot[prefix]
@@ -291,8 +296,10 @@ def phrase_counts(docs: DataFrame, least: int, longest: int) -> tuple[DataFrame,
             for w in _blocks(batches):
                 good, hashes = _has(word.value, w.hashes)[w.codes], pair_hash(w)
                 pair = good[:-1] & good[1:] & together(w) & _has(counted.value, hashes)
-                yield from _runs(w, 2, 2, pair, np.isin(w.hashes, hot))
-                seen.add(_mix(hashes[:-1], hashes[1:])[pair[:-1] & pair[1:]])
+                yield from _runs(w, {2: pair}, np.isin(w.hashes, hot))
+                for _ in range(3, longest + 1):
+                    hashes, pair = _mix(hashes[:-1], hashes[1:]), pair[:-1] & pair[1:]
+                    seen.add(hashes[pair])
 
         yield from _stripes(elements())
         kinds = {"lang": pa.string(), "prefix": pa.string(), "lane": pa.int64(), "next": pa.list_(pa.string()), "n": pa.list_(pa.int64())}
@@ -301,15 +308,17 @@ def phrase_counts(docs: DataFrame, least: int, longest: int) -> tuple[DataFrame,
     read = stored(docs.mapInArrow(pairs, _STRIPES), "read")
     two = stored(merged(read.where("chunk is null")).where(F.col("n") >= least), "pairs")
     met = share(bit_table(two, lambda b: _mix(_hash_of(b.column("lang"), b.column("prefix")), _hash_of(b.column("lang"), b.column("next")))))
-    threes = share(full_counters(read, least))
+    met_longer = share(full_counters(read, least))
 
     def longer(batches):
         def elements():
             for w in _blocks(batches):
                 hashes = pair_hash(w)
-                pair = _has(met.value, hashes) & together(w)
-                three = pair[:-1] & pair[1:] & _has(threes.value, _mix(hashes[:-1], hashes[1:]))
-                yield from _runs(w, 3, longest, three, np.isin(w.hashes, hot))
+                runs, may = {}, _has(met.value, hashes) & together(w)
+                for length in range(3, longest + 1):
+                    hashes = _mix(hashes[:-1], hashes[1:])
+                    may = runs[length] = may[:-1] & may[1:] & _has(met_longer.value, hashes)
+                yield from _runs(w, runs, np.isin(w.hashes, hot))
 
         yield from _stripes(elements())
 
