@@ -230,10 +230,43 @@ def _words(held: list[pa.RecordBatch]) -> Words:
     return words_of(column("text"), column("lang"))
 
 
-def merged(stripes: DataFrame) -> DataFrame:
-    """lang, prefix, next, n: stripes added up elementwise, dealt by prefix and lane once."""
-    dealt = stripes.repartition("lang", "prefix", "lane").select("lang", "prefix", "lane", F.explode(F.arrays_zip("next", "n")).alias("e"))
-    return dealt.groupBy("lang", "prefix", "lane", F.col("e.next").alias("next")).agg(F.sum("e.n").alias("n")).drop("lane")
+def merged(stripes: DataFrame, least: int) -> DataFrame:
+    """lang, prefix, next, n of ``least`` or more: stripes are dealt by prefix and lane once, stand together there and are added up elementwise, so one
+    prefix and lane is held at a time."""
+    key = ["lang", "prefix", "lane"]
+
+    def added(rows: pa.Table) -> pa.Table:
+        owner = pc.list_parent_indices(rows.column("next").combine_chunks())
+        flat = {**{k: rows.column(k).take(owner) for k in key}, "next": pc.list_flatten(rows.column("next").combine_chunks()),
+                "n": pc.list_flatten(rows.column("n").combine_chunks())}
+        return _sums([pa.table(flat)], [*key, "next"])
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        open_: list[pa.Table] = []      # elements of the last prefix and lane so far
+
+        def told(rows: list[pa.Table]) -> Iterator[pa.RecordBatch]:
+            sums = _sums(rows, [*key, "next"])
+            yield from sums.filter(pc.greater_equal(sums.column("n"), least)).drop_columns(["lane"]).to_batches()
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            elements = added(pa.Table.from_batches([batch]))
+            last = batch.slice(batch.num_rows - 1)
+            ends = pc.and_(pc.equal(elements.column("prefix"), last.column("prefix")[0]),
+                           pc.and_(pc.equal(elements.column("lang"), last.column("lang")[0]), pc.equal(elements.column("lane"), last.column("lane")[0])))
+            tail, rest = elements.filter(ends), elements.filter(pc.invert(ends))
+            goes_on = open_ and all(open_[0].column(k)[0] == last.column(k)[0] for k in key)
+            if goes_on and not len(rest):
+                open_ = [_sums([*open_, tail], [*key, "next"])]
+            else:
+                yield from told([*open_, rest])
+                open_ = [tail]
+        if open_:
+            yield from told(open_)
+
+    dealt = stripes.select(*key, "next", "n").repartition(*key).sortWithinPartitions(*key)
+    return dealt.mapInArrow(run, "lang string, prefix string, next string, n long")
 
 
 def bit_table(df: DataFrame, positions: Callable[[pa.RecordBatch], np.ndarray]) -> np.ndarray:
@@ -306,7 +339,7 @@ def phrase_counts(docs: DataFrame, least: int, longest: int) -> tuple[DataFrame,
         yield _counter_rows(seen, kinds)
 
     read = stored(docs.mapInArrow(pairs, _STRIPES), "read")
-    two = stored(merged(read.where("chunk is null")).where(F.col("n") >= least), "pairs")
+    two = stored(merged(read.where("chunk is null"), least), "pairs")
     met = share(bit_table(two, lambda b: _mix(_hash_of(b.column("lang"), b.column("prefix")), _hash_of(b.column("lang"), b.column("next")))))
     met_longer = share(full_counters(read, least))
 
@@ -322,7 +355,7 @@ def phrase_counts(docs: DataFrame, least: int, longest: int) -> tuple[DataFrame,
 
         yield from _stripes(elements())
 
-    more = stored(merged(docs.mapInArrow(longer, _STRIPES)).where(F.col("n") >= least), "runs")
+    more = stored(merged(docs.mapInArrow(longer, _STRIPES), least), "runs")
     return single.unionByName(two).unionByName(more), totals
 
 
