@@ -208,20 +208,23 @@ def rare_partners(members: DataFrame, docs: DataFrame, words: int, percent: int)
     shares = prefix.groupBy("s", "at").agg(F.count("*").alias("k"))
     most = shares.groupBy("s").agg(F.max(F.struct("k", "at")).alias("m"), F.count("*").alias("several")).where("several > 1")
     met = prefix.join(most.select("s", F.col("m.at").alias("main")), "s")
-    met = met.join(sets.select("doc_id", "fine"), "doc_id")
+    firsts = prefix.groupBy("doc_id").agg(F.transform(F.sort_array(F.collect_list(F.struct("place", "s"))), lambda e: e["s"]).alias("firsts"))
+    met = met.join(sets.select("doc_id", "fine").join(firsts, "doc_id"), "doc_id")
     one = met.where(F.col("at") != F.col("main")).select("s", F.col("doc_id").alias("a"), "n", "at", F.col("near").alias("na"), F.col("fine").alias("fa"),
-                                                                  F.col("place").alias("i"))
+                                                                  F.col("place").alias("i"), "main", F.col("firsts").alias("pa"))
     two = met.select("s", F.col("doc_id").alias("b"), F.col("n").alias("m"), F.col("at").alias("other"), F.col("near").alias("nb"), F.col("fine").alias("fb"),
-                     F.col("place").alias("j"))
+                     F.col("place").alias("j"), F.col("firsts").alias("pb"))
     agree = (1 + percent / 100) / 2
     most_apart = FINE * (1 - agree) + 6 * float(np.sqrt(FINE * agree * (1 - agree)))
     apart = F.aggregate(F.zip_with("fa", "fb", lambda x, y: F.bit_count(x.bitwiseXOR(y)).cast("int")), F.lit(0), lambda x, y: x + y)
-    # what two sets can have in common at best, if a common shingle is the i-th of one and the j-th of the other
-    common = F.least("i", "j") + F.least(F.col("n") - F.col("i"), F.col("m") - F.col("j"))
+    # a pair comes out once: at its first common shingle, and if neither is of the main component from the smaller id
+    once = (F.get(F.array_intersect("pa", "pb"), F.lit(0)) == F.col("s")) & ((F.col("other") == F.col("main")) | (F.col("a") < F.col("b")))
+    # what two sets can have in common at best, if their first common shingle is the i-th of one and the j-th of the other
+    common = F.least(F.col("n") - F.col("i"), F.col("m") - F.col("j")) + 1
     can = (F.col("at") != F.col("other")) & (F.least("n", "m") * 100 >= F.greatest("n", "m") * percent) & (
         common * (100 + percent) >= (F.col("n") + F.col("m")) * percent)
     smaller_near = F.when(F.col("n") < F.col("m"), F.col("na")).when(F.col("n") > F.col("m"), F.col("nb")).otherwise(F.col("na") | F.col("nb"))
-    return one.join(two, "s").where(can & smaller_near & (apart <= most_apart)).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    return one.join(two, "s").where(can & smaller_near & once & (apart <= most_apart)).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def near_duplicates(df: DataFrame, words: int = 5, percent: int = 80, bands: int = BANDS, rows: int = ROWS, id_col: str = "doc_id",

@@ -373,7 +373,11 @@ def collocations(df: DataFrame, least: int = 100, longest: int = 5, top: int = 2
     time; an empty table gives an empty one; other columns are not looked at.
     """
     docs = df.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    elements, totals = phrase_counts(docs, least, longest)
+    return scored(*phrase_counts(docs, least, longest), longest, top)
+
+
+def scored(elements: DataFrame, totals: DataFrame, longest: int, top: int) -> DataFrame:
+    """Ranked phrases from the merged stripes (lang, prefix, next, n) and each language's words (lang, total)."""
     phrase = F.when(F.col("prefix") == "", F.col("next")).otherwise(F.concat_ws(" ", "prefix", "next"))
     counted = stored(elements.select("lang", phrase.alias("phrase"), F.split(phrase, " ").alias("words"), "n"), "phrases")
     candidates = counted.where(F.size("words") > 1)
@@ -384,12 +388,12 @@ def collocations(df: DataFrame, least: int = 100, longest: int = 5, top: int = 2
     wide = lambda c: F.col(c).cast("decimal(19,0)")
     product = (wide("a") * wide("total")).cast("decimal(34,0)") * F.lit(1000).cast("decimal(4,0)")
     cuts = cuts.withColumn("product", product).withColumn("under", wide("l") * wide("r")).withColumn("score", F.expr("product div under"))
-    scored = cuts.groupBy("lang", "phrase").agg(F.first("a").alias("a"), F.first("total").alias("n"), F.min(F.struct("score", "k", "l", "r")).alias("cut"))
+    best = cuts.groupBy("lang", "phrase").agg(F.first("a").alias("a"), F.first("total").alias("n"), F.min(F.struct("score", "k", "l", "r")).alias("cut"))
 
     wider = candidates.where(F.size("words") > 2)
     shorter = lambda start: wider.select("lang", _said(F.slice("words", start, F.size("words") - 1)).alias("phrase"), "n")
     held = shorter(1).union(shorter(2)).groupBy("lang", "phrase").agg(F.max("n").alias("held"))
-    free = scored.join(held, ["lang", "phrase"], "left").where(F.col("held").isNull() | (F.col("held") < F.col("a")))
+    free = best.join(held, ["lang", "phrase"], "left").where(F.col("held").isNull() | (F.col("held") < F.col("a")))
     free = free.select("lang", "phrase", "a", F.col("cut.l").alias("l"), F.col("cut.r").alias("r"), "n", F.col("cut.score").alias("score"))
     order = [F.col("score").desc(), F.col("a").desc(), F.col("phrase")]
     dealt = free.withColumn("lane", F.pmod(F.xxhash64("phrase"), F.lit(64)))      # a language's phrases are first ranked in lanes

@@ -1,6 +1,7 @@
 """Operators against plain Python on small tables with nulls, empty and long texts, ties, repeated rows and clashing columns."""
 
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -12,7 +13,8 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from tenderloom.llm import chat, counting, decontaminate, language, minhash, packing, quality, simple8b, suffixes, topk
+from tenderloom.llm import (chat, counting, decontaminate, exact, language, minhash, packing, phrases, quality, resample, simple8b, suffixes,
+                            topk)
 from tenderloom.llm.tokens import encoder, resolve
 
 TEXTS = [None, "", " ", "a", "The cat sat on the mat. It's we'll 'S x's!", "İstanbul ΌΣΟΣ é日本 ²½", "<|endoftext|>a <|ENDOFTEXT|> b", "x" * 5000,
@@ -106,6 +108,19 @@ def test_near_duplicates_match_all_pairs(spark, docs, none):
     assert minhash.near_duplicates(none).count() == 0
 
 
+def test_rare_partners_keep_all_links(spark):
+    """300 edits of one text around the limit, each its own component: every pair that is alike comes out of the last round, once."""
+    random.seed(11)
+    base = [f"w{i}" for i in range(60)]
+    rows = [(i, " ".join(f"e{random.randrange(40)}" if random.random() < 0.03 else w for w in base[:random.choice([50, 55, 60])])) for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    sets = {i: sets_of(t, 4) for i, t in rows}
+    members = spark.createDataFrame([(i, len(s), i % 250) for i, s in sets.items()], "doc_id long, n long, at long")
+    got = [(r.a, r.b) for r in minhash.rare_partners(members, docs, 4, 80).collect()]
+    want = {(a, b) for a in sets for b in sets if a < b and a % 250 != b % 250 and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])}
+    assert want and want <= set(got) and len(got) == len(set(got))
+
+
 def test_signature_agreement_estimates_similarity():
     rng = np.random.default_rng(5)
     pool = rng.integers(0, 1 << 63, 1500).astype(np.uint64)
@@ -257,3 +272,111 @@ def test_digests_of_the_queries(spark, sf):
         at += len(ids)
     kept = QUERIES["op10_difference_cover"](spark, sf).where("n_removed = 0").collect()
     assert kept and all(r.kept_sha256 == hashlib.sha256((rows[r.doc_id].text or "").encode()).hexdigest() for r in kept)
+
+
+def plain_words(text):
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+
+
+@pytest.mark.parametrize("runs", [1, 3])
+def test_resampling_matches_plain_python(spark, docs, none, runs):
+    random.seed(13)
+    rows = [(i, random.choice([None, "", " ".join(random.choices("a B c, d é 1 x-y".split(), k=random.randint(1, 40)))])) for i in range(150)] + [(None, "a " * 30)]
+    target = [" ".join(random.choices("a b zz".split(), k=30)) for _ in range(5)] + [None]
+    def spelled(t):
+        w = plain_words(t)
+        return [zlib.crc32(" ".join(w[i:i + n]).encode()) % 50 for n in range(1, runs + 1) for i in range(len(w) - n + 1)]
+    held = {d: spelled(t) for d, t in rows}
+    s, t = (np.bincount([b for x in texts for b in x], minlength=50).tolist() for texts in (held.values(), map(spelled, target)))
+    gain = [math.floor(1000 * math.log((t[b] + 1) * (sum(s) + 50) / ((s[b] + 1) * (sum(t) + 50)))) for b in range(50)]
+    want = {}
+    for d, buckets in held.items():
+        weight = sum(gain[b] for b in buckets) // len(buckets) if buckets else 0
+        h = int(hashlib.sha256(f"7:{'' if d is None else d}".encode()).hexdigest()[:8], 16)
+        want[d] = [len(buckets), weight, weight + math.floor(-1000 * math.log(-math.log((h + 0.5) / 4294967296))), None]
+    open_ = [d for d, text in rows if len(plain_words(text)) >= 20]
+    for r, d in enumerate(sorted(open_, key=lambda d: (-want[d][2], -1 if d is None else d))[:30 * len(open_) // 100]):
+        want[d][3] = r + 1
+    table = spark.createDataFrame(rows, "doc_id long, text string").withColumn("score", F.lit("clash"))
+    got = resample.resample(table, spark.createDataFrame([(x,) for x in target], "text string"), 30, runs, 50, seed="7").collect()
+    assert {r.doc_id: [r.n_features, r.weight, r.score, r["rank"]] for r in got} == want and any(w[3] for w in want.values())
+    assert resample.resample(docs, none).count() == len(TEXTS) + 1 and resample.resample(none, docs).count() == 0
+
+
+@pytest.mark.parametrize("weak", [False, True])
+def test_exact_deduplication_over_several_batches(spark, tmp_path, weak):
+    """Files that land in three waves, a repeated call, digests that collide, repeated and null ids, a folder whose name has a space."""
+    random.seed(17)
+    rows = [(random.choice([None, *range(60)]), random.choice([None, "", "Aa", "aA", "É", "é", "long " * 2000, "x"]), "clash") for _ in range(150)]
+    path, root = str(tmp_path / "some docs"), str(tmp_path / "state")
+    digest = (lambda t: F.substring(F.sha2(t.cast("binary"), 256), 1, 1).cast("binary")) if weak else exact.sha256
+    for wave in range(3):
+        spark.createDataFrame(rows[wave * 50:wave * 50 + 50], "doc_id long, text string, digest string").coalesce(1).write.mode("append").parquet(path)
+        exact.absorb(spark, path, root, digest=digest)
+    got = exact.deduplicate(spark, path, root, digest=digest).collect()
+    groups = {}
+    for d, t, _ in rows:
+        groups.setdefault(re.sub("[A-Z]", lambda m: m[0].lower(), t or ""), []).append(-1 if d is None else d)
+    want = sorted((d, max(g), len(g)) for g in groups.values() for d in g)
+    assert sorted((-1 if r.doc_id is None else r.doc_id, -1 if r.keep_id is None else r.keep_id, r.group_size) for r in got) == want
+    assert sum(r.kept for r in got) == len(groups) and all(r.doc_id == r.keep_id for r in got if r.kept)
+    spark.createDataFrame([], "doc_id long, text string").write.parquet(str(tmp_path / "none"))
+    assert exact.deduplicate(spark, str(tmp_path / "none"), str(tmp_path / "state2")).count() == 0
+
+
+def test_exact_deduplication_runs_no_python(spark, sf, tmp_path):
+    plan = exact.decide(spark, f"{sf}/documents.parquet", spark.createDataFrame([], "digest binary, top struct<doc_id:long,file:string,row:long>, n long, bytes long"))
+    assert "Python" not in plan._jdf.queryExecution().toString() and "Arrow" not in plan._jdf.queryExecution().toString()
+
+
+def plain_collocations(rows, least, longest, top):
+    f, n = {}, {}
+    for lang, text in rows:
+        lang = "und" if lang is None else lang
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", re.sub("[A-Z]", lambda m: m[0].lower(), text or "")):
+            w = re.findall(r"[^\x20\x09]+", piece)
+            n[lang] = n.get(lang, 0) + len(w)
+            for k in range(1, longest + 1):
+                for i in range(len(w) - k + 1):
+                    f[lang, tuple(w[i:i + k])] = f.get((lang, tuple(w[i:i + k])), 0) + 1
+    found = {key: a for key, a in f.items() if len(key[1]) > 1 and a >= least}
+    out = {}
+    for (lang, p), a in found.items():
+        if any(g == lang and len(q) > len(p) and b >= a and any(q[i:i + len(p)] == p for i in range(len(q))) for (g, q), b in found.items()):
+            continue
+        cut = min((1000 * a * n[lang] // (f[lang, p[:k]] * f[lang, p[k:]]), k) for k in range(1, len(p)))
+        out.setdefault(lang, []).append((-cut[0], -a, " ".join(p).encode(), f[lang, p[:cut[1]]], f[lang, p[cut[1]:]]))
+    return sorted((g, i + 1, x[2].decode(), -x[1], x[3], x[4], n[g], -x[0]) for g, rows in out.items() for i, x in enumerate(sorted(rows)[:top]))
+
+
+def test_collocations_match_plain_counts(spark, docs, none, monkeypatch):
+    random.seed(19)
+    vocabulary = "a b C c d é \xa0x 1 the The of, end. \n \t ! x,y".split(" ")
+    rows = [(random.choice([None, "en", "und", "de"]), random.choice([None, "", " ".join(random.choices(vocabulary, k=random.randint(1, 60)))])) for _ in range(200)]
+    rows += [("en", "new york city hall of fame")] * 30
+    table = spark.createDataFrame(rows, "lang string, text string").withColumn("prefix", F.lit("clash")).withColumn("n", F.lit("clash"))
+    for block in (phrases.BLOCK, 2000):
+        got = sorted(tuple(r) for r in phrases.collocations(table, least=5, longest=5, top=40).collect())
+        assert got == plain_collocations(rows, 5, 5, 40) and len(got) > 50
+        monkeypatch.setattr(phrases, "BLOCK", 2000)
+        monkeypatch.setattr(phrases, "FOLD", 50)
+    assert phrases.collocations(docs, least=1, longest=3).count() > 0 and phrases.collocations(none).count() == 0
+
+
+def test_collocation_scores_pass_64_bits(spark):
+    big = 10 ** 13
+    elements = spark.createDataFrame([("x", "", "a", big), ("x", "", "b", big - 1), ("x", "a", "b", big - 7)], "lang string, prefix string, next string, n long")
+    totals = spark.createDataFrame([("x", 3 * big)], "lang string, total long")
+    row = phrases.scored(elements, totals, 5, 10).first()
+    assert row.score == 1000 * (big - 7) * 3 * big // (big * (big - 1)) and (row.a, row.l, row.r) == (big - 7, big, big - 1)
+
+
+def test_pipeline_stages_keep_columns_of_any_name(spark, sf):
+    names = ["lang_pred", "lang_rejected", "lang_score", "hits", "n_hit", "items", "n_words", "kept", "component_id", "carried", "spans", "n_bytes"]
+    docs = spark.read.parquet(f"{sf}/documents.parquet").limit(60).select("*", *(F.concat(F.lit(f"{n} "), "doc_id").alias(n) for n in names)).cache()
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, sf)
+        assert out.columns == docs.columns
+        rows = out.collect()
+        assert rows and all(r[n] == f"{n} {r.doc_id}" for r in rows for n in names)
+        assert stage(spark, docs.where("false"), sf).count() == 0
