@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -69,30 +71,65 @@ def link(candidates: DataFrame, tenders: DataFrame) -> DataFrame:
     return c.join(newest_by_reference(tenders).withColumnRenamed("reference", "_r"), "_r", "left").drop("_u", "_r")
 
 
-def choose_orphans(unmatched: DataFrame) -> DataFrame:
+def choose_orphans(unmatched: DataFrame, told: Callable[[str, DataFrame], None] | None = None) -> DataFrame:
     """Rows that found a new tender, in first-come order over two keys.
 
-    A row founds one unless an earlier founder shares its number or its reference. Each round takes the
-    rows that are first for both of their keys and removes all rows sharing a key with them. Equal
-    (number, reference) pairs are folded first; every round is written to the shared folder.
+    A row founds one unless an earlier founder shares its number or its reference. Equal (number, reference) pairs are folded first. Two steps take
+    turns until no row is left. The first settles the rows that are first for both of their keys, and with them all rows sharing a key:
+    rows that share no key, or only with such rows, leave at once. The second settles whole chains: a row with one earlier row among those left founds
+    exactly if that one doesn't, so pointers to the earlier row are doubled until they reach the chain's head, and an even distance from a head
+    that founds makes a founder. A chain of n rows thus takes log2(n) doublings instead of n rounds; what takes further turns is rows with two earlier ones.
+    Every step is written to the shared folder. ``told`` hears of each step with the rows left.
     """
     pairs = unmatched.groupBy("uid", "reference").agg(F.min_by(F.struct("seq", "lien", "objet"), "seq").alias("r"))
     left = cut_lineage(pairs.select("uid", "reference", "r.*"))
-    founders = None
+    founders, step = None, _heads
     while not left.isEmpty():
-        # the first row of each reference, kept if it is also the first of its number
-        head = left.groupBy("reference").agg(F.min_by(F.struct("seq", "uid", "lien", "objet"), "seq").alias("r")).select(
-            "r.uid", "reference", "r.seq", "r.lien", "r.objet")
-        first_uid = left.filter(F.col("uid").isNotNull()).groupBy("uid").agg(F.min("seq").alias("uid_first"))
-        named = head.filter(F.col("uid").isNotNull()).join(first_uid, "uid").filter(
-            F.col("seq") == F.col("uid_first")).drop("uid_first")
-        taken = cut_lineage(head.filter(F.col("uid").isNull()).unionByName(named))
+        if told:
+            told(step.__name__, left)
+        taken = cut_lineage(step(left))
         founders = taken if founders is None else founders.unionByName(taken)
         rest = left.join(taken.select("reference"), "reference", "left_anti")
         left = cut_lineage(rest.join(taken.filter(F.col("uid").isNotNull()).select("uid"), "uid", "left_anti"))
+        step = _chains if step is _heads else _heads
     return left if founders is None else founders
 
 
+def _heads(left: DataFrame) -> DataFrame:
+    """Rows that are the first of their reference and of their number."""
+    head = left.groupBy("reference").agg(F.min_by(F.struct("seq", "uid", "lien", "objet"), "seq").alias("r")).select(
+        "r.uid", "reference", "r.seq", "r.lien", "r.objet")
+    first_uid = left.filter(F.col("uid").isNotNull()).groupBy("uid").agg(F.min("seq").alias("uid_first"))
+    named = head.filter(F.col("uid").isNotNull()).join(first_uid, "uid").filter(F.col("seq") == F.col("uid_first")).drop("uid_first")
+    return head.filter(F.col("uid").isNull()).unionByName(named)
+
+
+def _chains(left: DataFrame) -> DataFrame:
+    """Founders among rows with at most one earlier row, by doubled pointers."""
+    def placed(rows: DataFrame, key: str) -> DataFrame:
+        """0, 1 or 2 for no, one, more earlier rows with the key, and the first of them. Minima only, so a popular key costs map-side partials."""
+        spread = rows.withColumn("_k", spread_nulls(F.col(key), F.col("seq")))
+        keyed = rows.filter(F.col(key).isNotNull()).select(F.col(key).alias("_k"), "seq")
+        first = keyed.groupBy("_k").agg(F.min("seq").alias("_first"))
+        second = keyed.join(first, "_k").filter(F.col("seq") > F.col("_first")).groupBy("_k").agg(F.min("seq").alias("_second"))
+        j = spread.join(first.join(second, "_k", "left"), "_k", "left")
+        earlier = F.when(F.col("_first").isNull() | (F.col("seq") == F.col("_first")), 0).when(F.col("seq") == F.col("_second"), 1).otherwise(2)
+        return j.select("seq", earlier.alias(f"{key}_n"), F.col("_first").alias(f"{key}_first"))
+
+    rows = cut_lineage(placed(left, "uid").join(placed(left, "reference"), "seq"))
+    before = F.when(F.col("uid_n") == 1, F.col("uid_first")).otherwise(F.col("reference_first"))
+    links = cut_lineage(rows.filter(F.col("uid_n") + F.col("reference_n") == 1).select("seq", before.alias("to"), F.lit(1).alias("odd")))
+    while True:
+        ahead = links.select(F.col("seq").alias("at"), F.col("to").alias("next"), F.col("odd").alias("more"))
+        links = cut_lineage(links.join(ahead, links["to"] == ahead["at"], "left").select(
+            "seq", F.coalesce("next", "to").alias("to"), F.col("odd").bitwiseXOR(F.coalesce("more", F.lit(0))).alias("odd"), F.col("at").isNotNull().alias("on")))
+        if links.filter("on").isEmpty():
+            break
+    heads = rows.filter((F.col("uid_n") == 0) & (F.col("reference_n") == 0)).select("seq")
+    even = links.filter("odd = 0").join(heads.withColumnRenamed("seq", "to"), "to", "left_semi").select("seq")
+    return left.join(heads.unionByName(even), "seq", "left_semi")
+
+
 def link_with_orphans(candidates: DataFrame, tenders: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(candidates with ``tender_id``, orphan tenders). Candidates without an address are ignored.
 

@@ -553,16 +553,33 @@ def w01(spark, d):
     return minutes.newest_by_reference(B.stored_tenders(spark, d))
 
 
-@query("j04_link_with_orphans")
+# first come, first served: the rows in order are folded into the lists of founders, their numbers and their references
+_ORPHANS = f"""WITH {_NEWEST}, base AS (
+    SELECT c.*, t.id AS id_by_uid, CASE WHEN t.id IS NULL THEN n.id END AS id_by_ref FROM candidates c
+    LEFT JOIN (SELECT url_id, min(id) AS id FROM stored_tenders WHERE url_id IS NOT NULL GROUP BY url_id) t ON t.url_id = c.uid
+    LEFT JOIN newest n ON n.reference = c.reference WHERE c.pv_pdf_url <> ''),
+ free AS (SELECT uid, reference, min(seq) AS seq FROM base WHERE id_by_uid IS NULL AND id_by_ref IS NULL GROUP BY uid, reference),
+ founders AS (SELECT unnest(list_reduce(list(struct_pack(u := CASE WHEN uid IS NULL THEN CAST([] AS VARCHAR[]) ELSE [uid] END, r := [reference], f := [seq]) ORDER BY seq),
+    lambda held, x: CASE WHEN list_has_any(held.u, x.u) OR list_has_any(held.r, x.r) THEN held
+    ELSE struct_pack(u := held.u || x.u, r := held.r || x.r, f := held.f || x.f) END).f) AS seq FROM free),
+ orphans AS (SELECT b.* FROM base b JOIN founders USING (seq))"""
+
+
+@query("j04_link_with_orphans", _ORPHANS + """
+SELECT b.seq, CASE WHEN b.id_by_uid IS NOT NULL THEN b.id_by_uid WHEN u.seq <= b.seq THEN NULL ELSE b.id_by_ref END AS stored_id,
+  CASE WHEN b.id_by_uid IS NOT NULL THEN NULL WHEN u.seq <= b.seq THEN u.seq WHEN b.id_by_ref IS NULL THEN r.seq END AS founder_seq
+FROM base b LEFT JOIN orphans u ON u.uid = b.uid LEFT JOIN orphans r ON r.reference = b.reference""")
 def j04(spark, d):
-    linked, _ = minutes.link_with_orphans(B.pv_candidates(spark, d), B.stored_tenders(spark, d))
-    return linked.select("seq", "tender_id")
+    linked, orphans = minutes.link_with_orphans(B.pv_candidates(spark, d), B.stored_tenders(spark, d))
+    founded = orphans.select(F.col("id").alias("tender_id"), F.col("seq").alias("founder_seq"))
+    j = linked.join(founded, "tender_id", "left")
+    return j.select("seq", F.when(F.col("founder_seq").isNull(), F.col("tender_id")).alias("stored_id"), "founder_seq")
 
 
-@query("w03_orphan_tenders")
+@query("w03_orphan_tenders", _ORPHANS + " SELECT uid, reference, seq, lien, objet FROM orphans")
 def w03(spark, d):
     _, orphans = minutes.link_with_orphans(B.pv_candidates(spark, d), B.stored_tenders(spark, d))
-    return orphans.select("id", "uid", "reference", "seq", "lien", "objet")
+    return orphans.select("uid", "reference", "seq", "lien", "objet")
 
 
 @query("j05_upsert_match", LISTING_SQL + "SELECT DISTINCT key, sid AS stored_id FROM flagged")

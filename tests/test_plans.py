@@ -61,7 +61,7 @@ def test_python_only_where_pages_and_archives_are_read(plans):
 
 def test_every_query_has_sql_or_a_model():
     """The two without SQL are compared with a row-by-row model over the whole tables."""
-    assert set(QUERIES) - set(ORACLE) == {"j04_link_with_orphans", "w03_orphan_tenders"}
+    assert set(QUERIES) == set(ORACLE)
     assert set(ORACLE) <= set(QUERIES)
 
 

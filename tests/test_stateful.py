@@ -121,6 +121,18 @@ def test_orphan_golden_rows(spark):
     assert founders == [0, 2] and links[1] == ("new", 0)
 
 
+def test_a_chain_of_a_thousand_orphans_takes_few_steps(spark):
+    """Each row shares its number with one neighbour and its reference with the other; a ladder of rows with two earlier ones comes beside it."""
+    chain = [{"seq": i, "uid": f"u{(i + 1) // 2}", "reference": f"r{i // 2}"} for i in range(1000)]
+    rng = random.Random(3)
+    ladder = [{"seq": 1000 + i, "uid": f"v{rng.randint(i // 4, i // 4 + 3)}", "reference": f"s{rng.randint(i // 4, i // 4 + 3)}"} for i in range(60)]
+    df = spark.createDataFrame([(r["seq"], r["uid"], r["reference"], "", "") for r in chain + ladder], "seq long, uid string, reference string, lien string, objet string")
+    for rows, most in ((chain, 2), (chain + ladder, 12)):
+        steps = []
+        founders = minutes.choose_orphans(df.filter(F.col("seq") < len(rows)), lambda step, left: steps.append(step))
+        assert sorted(r.seq for r in founders.collect()) == orphan_fold([], rows)[1] and len(steps) <= most
+
+
 def test_orphans_over_the_given_tables(spark, sf):
     """Brute force over the whole derived tables."""
     tenders = [{"id": r.id, "url_id": r.url_id, "reference": r.reference, "created": r.created_at}
