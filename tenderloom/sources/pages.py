@@ -7,6 +7,8 @@ expressions below.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
+from collections import Counter
 from collections.abc import Iterator
 from html import unescape
 
@@ -31,9 +33,11 @@ _DDL_CELLS = f"page_id long, page_hash string, row_no int, cells array<struct<co
 _DDL_NODES = f"page_id long, page_hash string, nodes array<{_DDL_NODE}>"
 
 
+_OPENING = re.compile(r"<(?:(!--)|(!)|(script|style)\b|(/?)[a-z])", re.I)
+_CLOSING = {tag: re.compile(rf"</{tag}\s*>", re.I) for tag in ("script", "style")}
+_NAME_END, _SIGN = re.compile(r"[\s/>]"), re.compile("[=>]")
 # A quote delimits a value only behind an equals sign; elsewhere it is a sign like any other.
-_TOKEN = re.compile(
-    r"""<!--.*?-->|<(script|style)\b.*?</\1\s*>|<(/?)([a-z][^\s/>]*)((?>[^>=]+|=\s*"[^"]*"|=\s*'[^']*'|=)*+)>|<![^>]*>""", re.S | re.I)
+_QUOTE = re.compile(r"""=\s*(["'])""")
 _ATTRIBUTE = re.compile(r"""\b(id|class|href)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))""", re.I)
 
 
@@ -44,6 +48,81 @@ DETAIL_MARKS: Marks = ([S.ID_ESTIMATE, S.ID_CONTACT_BLOCK, S.ID_CONTACT_NAME, S.
                         *S.DETAIL_FIELDS.values(), *S.CONTACT_FIELDS.values(), *S.AWARD_IDS], _CSS)
 
 
+class _Scanner:
+    """Tags of a page in document order, in time linear in its length also where comments, scripts, quotes or tags are never closed.
+
+    What isn't found once isn't sought again: the end of a comment, of a script or style, a closing quote. A tag without an end leaves its equals
+    signs marked as dead; whichever later tag comes by one has no end either. After a few of those the signs that matter are looked up in lists.
+    """
+
+    def __init__(self, source: str) -> None:
+        self.source = source
+        self.last = source.rfind(">")
+        self.missing: set[str] = set()      # of "-->", "script", "style", quotes: no more of them from here on
+        self.dead: set[int] = set()
+        self.failed = 0
+        self.lists: dict[re.Pattern, list[int]] = {}
+
+    def tags(self) -> Iterator[tuple[int, int, bool, str, str]]:
+        """(start, end, whether it closes, name, attributes); the name is empty for comments, declarations, scripts and styles."""
+        source, at = self.source, 0
+        while (m := _OPENING.search(source, at)) and m.start() < self.last:
+            start = m.start()
+            if m[1] or m[2]:
+                end = self._find("-->", start + 4) if m[1] else -1
+                end = end + 3 if end >= 0 else source.find(">", start) + 1
+                yield start, end, False, "", ""
+            elif m[3] and (end := self._closed(m[3].lower(), m.end())) >= 0:
+                yield start, end, False, "", ""
+            else:
+                first = start + 1 + bool(m[4])
+                name = self._next(_NAME_END, first)
+                end = self._end(name)
+                if end < 0:
+                    at = start + 1
+                    continue
+                end += 1
+                yield start, end, bool(m[4]), source[first:name].lower(), source[name:end - 1]
+            at = end
+
+    def _find(self, sought: str, at: int) -> int:
+        found = -1 if sought in self.missing else self.source.find(sought, at)
+        if found < 0:
+            self.missing.add(sought)
+        return found
+
+    def _closed(self, tag: str, at: int) -> int:
+        m = None if tag in self.missing else _CLOSING[tag].search(self.source, at)
+        if m is None:
+            self.missing.add(tag)
+        return m.end() if m else -1
+
+    def _next(self, sign: re.Pattern, at: int) -> int:
+        if self.failed < 4:
+            m = sign.search(self.source, at)
+            return m.start() if m else -1
+        if sign not in self.lists:
+            self.lists[sign] = [m.start() for m in sign.finditer(self.source)]
+        i = bisect_left(self.lists[sign], at)
+        return self.lists[sign][i] if i < len(self.lists[sign]) else -1
+
+    def _end(self, at: int) -> int:
+        """Where the tag ends whose attributes begin at ``at``: the first > outside of quoted values; -1 if there is none."""
+        passed = []
+        while True:
+            at = self._next(_SIGN, at)
+            if at < 0 or at in self.dead:
+                self.dead.update(passed)
+                self.failed += 1
+                return -1
+            if self.source[at] == ">":
+                return at
+            passed.append(at)
+            quote = _QUOTE.match(self.source, at)
+            closed = self._find(quote[1], quote.end()) if quote else -1
+            at = max(closed, at) + 1
+
+
 class _Page:
     """Marked elements of a page in document order: cells, links, and elements with a sought id or class.
 
@@ -57,17 +136,16 @@ class _Page:
         self.inner: list[str] = []
         self.found: list[dict] = []
         self.open: list[dict] = []
+        self.open_tags: Counter[str] = Counter()
         at = 0
-        for m in _TOKEN.finditer(source):
-            if m.start() > at:
-                self._text(source[at:m.start()])
-            at = m.end()
-            if m[3]:
-                tag = m[3].lower()
-                if m[2]:
-                    self._end(tag)
-                else:
-                    self._start(tag, m[4])
+        for start, end, closes, tag, attributes in _Scanner(source).tags():
+            if start > at:
+                self._text(source[at:start])
+            at = end
+            if closes:
+                self._end(tag)
+            elif tag:
+                self._start(tag, attributes)
         self._text(source[at:])
         self._close_from(0)
 
@@ -105,18 +183,21 @@ class _Page:
                 self._line_end()
         else:
             self.open.append(node)
+            self.open_tags[tag] += 1
 
     def _end(self, tag: str) -> None:
-        for i in range(len(self.open) - 1, -1, -1):
-            if self.open[i]["tag"] == tag:
-                self._close_from(i)
-                break
+        if self.open_tags[tag]:
+            i = len(self.open) - 1
+            while self.open[i]["tag"] != tag:
+                i -= 1
+            self._close_from(i)
         if tag in _BLOCK:
             self._line_end()
 
     def _close_from(self, i: int) -> None:
         for node in self.open[i:]:
             node["last"], node["text_to"] = len(self.found), len(self.raw)
+            self.open_tags[node["tag"]] -= 1
         del self.open[i:]
 
     def _close_row_part(self, tag: str) -> None:

@@ -1,5 +1,6 @@
 """Pages, archives, documents, schema conformance, retention."""
 
+import time
 import datetime as dt
 import hashlib
 import io
@@ -7,6 +8,7 @@ import random
 import re
 import zipfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from tenderloom import schemas as S
@@ -199,3 +201,26 @@ def test_key_points_over_any_number_of_documents(spark):
             for label, pattern in S.KEY_POINTS:
                 m = re.search(pattern, text, re.I)
                 assert found[t][label] == (m.group(1).strip()[:150] if m else None), (per_piece, t, label)
+
+
+@pytest.mark.parametrize("unit,end", [("<!--", ""), ("<script ", ""), ('<a x="', ""), ("<td x", ""), ('<a x="', '=">"'), ("<a", ' =">"'), ("<a ", '=">"'),
+                                      ("<a x='<b y=\"", '=">"'), ("<b>", "</i>" * 1000), ("<!--", ">")])
+def test_page_reader_takes_linear_time_on_unclosed_markup(unit, end):
+    """Four times the page takes about four times as long, not sixteen times; the text in front is read all the same."""
+    from tenderloom.sources.pages import DETAIL_MARKS, _Page
+
+    def seconds(size):
+        start = time.perf_counter()
+        page = _Page('<td id="x">front</td>' + unit * (size // len(unit)) + end, DETAIL_MARKS)
+        assert page.texts(page.found[0])[0] == "front"
+        return time.perf_counter() - start
+
+    small, large = min(seconds(250_000) for _ in range(2)), seconds(1_000_000)
+    assert large < 8 * small + 0.3 and large < 3
+
+
+def test_scanner_splits_tags():
+    from tenderloom.sources.pages import _Scanner
+    page = "a<!-- <b> --><p class='x > y' id=z>t</P ><script>if (a<b) '<i>'</script ><br/><!D><a x='>\"<a =\"><b"
+    assert [t[2:] for t in _Scanner(page).tags()] == [
+        (False, "", ""), (False, "p", " class='x > y' id=z"), (True, "p", " "), (False, "", ""), (False, "br", "/"), (False, "", ""), (False, "a", " x='")]
