@@ -78,6 +78,14 @@ def missing_links(queue: DataFrame) -> DataFrame:
         F.lit(False).alias("ok"), F.lit(S.ERROR_NO_LINK).alias("error"), F.lit(None).cast("string").alias("next_status"))
 
 
+def missing_pages(queue: DataFrame, stored_pages: DataFrame) -> DataFrame:
+    """Failed results for queued rows with a link to which no page (url) is stored."""
+    linked = queue.filter(F.length("lien_detail") > 0)
+    return linked.join(stored_pages.select(F.col("url").alias("lien_detail")).distinct(), "lien_detail", "left_anti").select(
+        F.lit("enrich").alias("stage"), F.col("id").alias("tender_id"), F.lit(0).cast("long").alias("seq"),
+        F.lit(False).alias("ok"), F.lit(S.ERROR_UNRESOLVED).alias("error"), F.lit(None).cast("string").alias("next_status"))
+
+
 def backfill_url_id(tenders: DataFrame, parameter: str = "refConsultation") -> DataFrame:
     """Fill missing portal numbers from the link. The lowest id gets a number; numbers in use stay put."""
     found = F.when(F.col("url_id").isNull(), F.nullif(url_id(F.col("lien_detail"), parameter), F.lit("")))

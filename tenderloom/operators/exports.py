@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tenderloom import schemas as S
 from tenderloom.functions.amounts import format_amount, priority_flag
@@ -12,7 +13,7 @@ from tenderloom.functions.keys import tender_key
 from tenderloom.functions.phones import normalize_phone
 from tenderloom.functions.text import or_default
 from tenderloom.operators.outcomes import mark
-from tenderloom.sources.tables import append
+from tenderloom.sources.tables import append, exists, keyed, put
 
 
 def exported_references(target: DataFrame, column: str = "Référence") -> DataFrame:
@@ -69,3 +70,39 @@ def export_tenders(tenders: DataFrame, rows: DataFrame, target: str, as_of: Colu
 def export_pvs(pvs: DataFrame, rows: DataFrame, target: str, fmt: str = "csv", as_of: Column | None = None) -> DataFrame:
     append(pv_export(rows), target, fmt)
     return mark(pvs, rows, as_of, synced_to_sheets=1)
+
+
+def exported_before(spark: SparkSession, target: str, batch: str, headers: list[str], fmt: str = "csv") -> DataFrame:
+    """References that other batches have put into a batch-wise target; none if there is no target yet."""
+    schema = T.StructType([T.StructField(h, T.StringType()) for h in headers] + [T.StructField("batch", T.StringType())])
+    if not exists(spark, target):
+        return spark.createDataFrame([], "reference string")
+    return exported_references(keyed(spark, target, schema, fmt).filter(F.col("batch") != batch), headers[0])
+
+
+def write_batch(rows: DataFrame, sheet: DataFrame, target: str, batch: str, fmt: str = "csv") -> DataFrame:
+    """Puts ``sheet`` into the target's folder of this batch and returns the ids to be marked, as read back.
+
+    Both the folder and the list of ids beside the target are overwritten, and the list follows the sheet. So a batch that broke off at any point is
+    repeated as it is: what it had written is written anew, other batches aren't touched, and nothing is marked that isn't in the target.
+    """
+    put(sheet, f"{target}/batch={batch}", fmt)
+    listed = f"{target.rstrip('/')}-ids/batch={batch}"
+    rows.select("id").write.mode("overwrite").parquet(listed)
+    return rows.sparkSession.read.schema("id long").parquet(listed)
+
+
+def export_tenders_once(tenders: DataFrame, rows: DataFrame, target: str, batch: str, as_of: Column, fmt: str = "csv",
+                        threshold: float = S.BUDGET_THRESHOLD) -> DataFrame:
+    """Rows the target doesn't hold from other batches go into this batch's folder; all of ``rows`` are marked done. Safe to repeat.
+
+    Of several rows with one reference all are written, as the target is looked at before the batch only.
+    """
+    new = not_exported(rows, exported_before(rows.sparkSession, target, batch, S.TENDER_HEADERS, fmt))
+    done = write_batch(rows, tender_export(new, as_of, threshold), target, batch, fmt)
+    return mark(tenders, done, as_of.cast("timestamp"), status="DONE")
+
+
+def export_pvs_once(pvs: DataFrame, rows: DataFrame, target: str, batch: str, as_of: Column | None = None, fmt: str = "csv") -> DataFrame:
+    """Minutes into this batch's folder, then marked. Safe to repeat."""
+    return mark(pvs, write_batch(rows, pv_export(rows), target, batch, fmt), as_of, synced_to_sheets=1)

@@ -48,6 +48,19 @@ def apply_outcomes(tenders: DataFrame, outcomes: DataFrame, as_of: Column | None
     return joined.withColumns(changes).select(*tenders.columns)
 
 
+def download_outcomes(queue: DataFrame, files: DataFrame) -> DataFrame:
+    """Results of queued downloads (id, lien_dce) from the files that were stored for their links (url, path, is_valid).
+
+    A row whose link has a valid archive goes on with the path of the least one by name; one whose link has none fails. Links are folded to one row each
+    before the join, so a link that many tenders share, or many files answer, is no hot spot.
+    """
+    path = files.filter("is_valid").groupBy(F.col("url").alias("lien_dce")).agg(F.min("path").alias("path"))
+    found = queue.join(path, "lien_dce", "left")
+    ok = F.col("path").isNotNull()
+    return found.select(F.lit("download").alias("stage"), F.col("id").alias("tender_id"), F.lit(0).cast("long").alias("seq"), ok.alias("ok"),
+                        F.when(~ok, S.ERROR_UNRESOLVED).alias("error"), F.when(ok, "TO_ANALYZE").alias("next_status"), "path")
+
+
 def set_fields(table: DataFrame, values: DataFrame, as_of: Column | None = None) -> DataFrame:
     """Overwrite columns by id with the given rows' values (one row per id); others stay."""
     names = [c for c in values.columns if c != "id"]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -31,6 +33,12 @@ def null_counts(df: DataFrame, columns: list[str]) -> DataFrame:
     return counts.unpivot([], columns, "field", "n_null")
 
 
+def required_audit(tables: dict[str, DataFrame]) -> DataFrame:
+    """(table, field, n_null) of every required column of the tables given: one pass over each."""
+    counts = [null_counts(df, REQUIRED[name]).select(F.lit(name).alias("table"), "field", "n_null") for name, df in tables.items()]
+    return reduce(DataFrame.unionByName, counts)
+
+
 def conform(df: DataFrame, schema: T.StructType, defaults: dict | None = None) -> DataFrame:
     """Add missing columns with their default, cast and order as declared."""
     defaults = defaults or {}

@@ -25,4 +25,7 @@ def split(files: DataFrame, as_of: Column, days: dict[str, int] = S.RETENTION_DA
 
 
 def expired_counts(files: DataFrame, as_of: Column, days: dict[str, int] = S.RETENTION_DAYS) -> DataFrame:
-    return split(files, as_of, days)[1].groupBy("kind").agg(F.count(F.lit(1)).alias("n_expired"))
+    """Expired files of each kind that has a limit, also where there is none: one pass, then the single row is unfolded."""
+    gone = is_expired(F.col("kind"), F.col("modified_at"), as_of, days)
+    counts = files.agg(*[F.count_if(gone & (F.col("kind") == kind)).alias(kind) for kind in days])
+    return counts.unpivot([], list(days), "kind", "n_expired")

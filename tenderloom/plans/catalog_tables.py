@@ -173,7 +173,7 @@ def _end():
     return F.lit("2024-01-31 12:00:00").cast("timestamp_ntz")
 
 
-@query("f16_expired_counts", f"SELECT kind, count(*) AS n_expired FROM files WHERE {_GONE} GROUP BY kind")
+@query("f16_expired_counts", f"SELECT k.kind, count(files.file_id) AS n_expired FROM (VALUES ('archive'), ('temp'), ('log'), ('summary')) k(kind) LEFT JOIN files ON files.kind = k.kind AND {_GONE.replace('kind WHEN', 'files.kind WHEN')} GROUP BY k.kind")
 def f16(spark, d):
     return retention.expired_counts(B.kept_files(spark, d), _end())
 
@@ -774,11 +774,20 @@ def d02(spark, d):
     return quality.without_tender(B.pvs(spark, d), B.stored_tenders(spark, d)).agg(F.count(F.lit(1)).alias("n_broken"))
 
 
-@query("d03_null_counts", """SELECT 'reference' AS field, count(*) FILTER (reference IS NULL) AS n_null FROM tenders
-    UNION ALL SELECT 'status', count(*) FILTER (status IS NULL) FROM tenders UNION ALL SELECT 'url_id', count(*) FILTER (url_id IS NULL) FROM tenders
-    UNION ALL SELECT 'estimation', count(*) FILTER (estimation IS NULL) FROM tenders""")
+def _gaps(*columns):
+    """Some required values left out, so that the audit has something to find."""
+    return {c: F.when(F.col("id") % p != 0, F.col(c)) for c, p in columns}
+
+
+@query("d03_null_counts", """SELECT 'tenders' AS "table", 'reference' AS field, count(*) FILTER (reference IS NULL OR id % 31 = 0) AS n_null FROM tenders
+    UNION ALL SELECT 'tenders', 'status', count(*) FILTER (status IS NULL OR id % 37 = 0) FROM tenders
+    UNION ALL SELECT 'pvs', 'tender_id', count(*) FILTER (tender_id IS NULL OR id % 41 = 0) FROM pvs
+    UNION ALL SELECT 'history', 'field', 0""")
 def d03(spark, d):
-    return quality.null_counts(B.tenders(spark, d), ["reference", "status", "url_id", "estimation"])
+    tenders = B.tenders(spark, d)
+    log = history.change_log(tenders, B.next_snapshot(spark, d), ["status", "estimation"], _now())
+    return quality.required_audit({"tenders": tenders.withColumns(_gaps(("reference", 31), ("status", 37))),
+                                   "pvs": B.pvs(spark, d).withColumns(_gaps(("tender_id", 41))), "history": log})
 
 
 @query("d04_conform_schema", """SELECT id, reference, status, CAST(NULL AS VARCHAR) AS url_id, CAST(NULL AS VARCHAR) AS tender_hash, 0 AS retry_count,

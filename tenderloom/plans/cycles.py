@@ -45,23 +45,29 @@ def enrich(tables: Tables, detail_pages: DataFrame, base: str, as_of: Column, li
            max_retry: int = S.MAX_RETRY) -> Tables:
     """Detail pages (url, html) of the queued tenders into the tenders table.
 
-    Pages are joined to the queue before they are read, so only queued ones are parsed.
+    Pages are joined to the queue before they are read, so only queued ones are parsed. A queued tender without a link or without a stored page
+    gets a failure.
     """
     waiting = queue.queue(tables.tenders, "TO_ENRICH", limit, max_retry)
     links = waiting.select(F.col("id").alias("page_id"), F.col("lien_detail").alias("url"))
     wanted = one_per_url(detail_pages.join(links.select("url").distinct(), "url", "left_semi")).join(links, "url")
     details = kept(pages.detail_records(wanted, base), "details").withColumnRenamed("page_id", "id")
-    failed = enrichment.missing_links(waiting)
+    failed = enrichment.missing_links(waiting).unionByName(enrichment.missing_pages(waiting, detail_pages))
     merged = enrichment.merge_details(outcomes.apply_outcomes(tables.tenders, failed, as_of), details, as_of)
     return Tables(kept(merged, "tenders"), tables.pvs)
 
 
+def _in_order(page: str, row: str) -> Column:
+    """One number for page and row in it: 38 digits have room for any page id, hashed or negative, and any row number."""
+    return (F.col(page).cast("decimal(19,0)") * F.lit(1 << 31).cast("decimal(10,0)") + F.col(row).cast("decimal(10,0)")).cast("decimal(38,0)")
+
+
 def collect_minutes(tables: Tables, minutes_pages: DataFrame, detail_pages: DataFrame, base: str,
                     as_of: Column) -> Tables:
     """Minutes pages (page_id, procedure_code, html) into the minutes table; orphans become tenders."""
     codes = minutes_pages.select("page_id", "procedure_code").distinct()
     rows = pages.minutes_rows(minutes_pages, base).join(codes, "page_id")
-    found = minutes.tag_procedure(rows).withColumn("seq", F.col("page_id") * 1_000_000 + F.col("row_no"))
+    found = minutes.tag_procedure(rows).withColumn("seq", _in_order("page_id", "row_no"))
     new = kept(minutes.drop_known(kept(found, "minutes"), tables.tenders, tables.pvs), "new-minutes")
     linked = one_per_url(detail_pages.join(new.select(F.col("lien").alias("url")).distinct(), "url", "left_semi")).select(F.col("url").alias("lien"), rebuild_pdf(first_minutes_href(F.col("html")), base).alias("pv_pdf_url"))
     candidates = kept(new.join(linked, "lien", "left").withColumn("pv_pdf_url", F.coalesce("pv_pdf_url", F.lit(""))), "candidates")
@@ -71,6 +77,17 @@ def collect_minutes(tables: Tables, minutes_pages: DataFrame, detail_pages: Data
                   kept(minutes.save_minutes(tables.pvs, incoming, as_of), "pvs"))
 
 
+def download(tables: Tables, downloads: DataFrame, as_of: Column, limit: int | None = None, max_retry: int = S.MAX_RETRY) -> Tables:
+    """Stored archives (url, archive, content) claimed by the tenders queued for download: those with a valid one go on with its path, the others fail.
+
+    Archives are joined to the queue before they are opened, so only queued ones are read.
+    """
+    waiting = kept(queue.queue(tables.tenders, "TO_DOWNLOAD", limit, max_retry), "waiting")
+    wanted = downloads.join(waiting.select(F.col("lien_dce").alias("url")).distinct(), "url", "left_semi")
+    results = outcomes.download_outcomes(waiting, kept(archives.stored_files(wanted), "files"))
+    return Tables(kept(outcomes.apply_outcomes(tables.tenders, results, as_of), "tenders"), tables.pvs)
+
+
 def analyze(tables: Tables, stored_archives: DataFrame, documents: DataFrame, as_of: Column,
             limit: int | None = None, max_retry: int = S.MAX_RETRY) -> tuple[Tables, DataFrame]:
     """Archives (archive, content) and document texts (tiers in columns) of the queued tenders.
@@ -94,19 +111,43 @@ def analyze(tables: Tables, stored_archives: DataFrame, documents: DataFrame, as
 
 def export(tables: Tables, tender_target: str, pv_target: str, as_of: Column, fmt: str = "csv",
            limit: int | None = S.QUEUE_LIMITS["TO_SYNC"], threshold: float = S.BUDGET_THRESHOLD,
-           references: DataFrame | None = None, coupled: bool = False) -> Tables:
-    """Append both sheets and mark what was written. ``coupled`` skips minutes when no tender waits."""
+           references: DataFrame | None = None, coupled: bool = False, batch: str | None = None) -> Tables:
+    """Append both sheets and mark what was written. ``coupled`` skips minutes when no tender waits.
+
+    With ``batch`` the sheets are kept batch by batch: what other batches have exported isn't written again, and a batch that broke off can be repeated.
+    """
     rows = kept(queue.export_source(tables.tenders, limit), "export")
     nothing = rows.isEmpty()
-    tenders = tables.tenders if nothing else exports.export_tenders(
-        tables.tenders, rows, tender_target, as_of, fmt, threshold, references)
+    tenders, pvs = tables.tenders, tables.pvs
+    if not nothing:
+        tenders = (exports.export_tenders(tenders, rows, tender_target, as_of, fmt, threshold, references) if batch is None
+                   else exports.export_tenders_once(tenders, rows, tender_target, batch, as_of, fmt, threshold))
     if coupled and nothing:
         return tables
-    files = kept(queue.unexported(tables.pvs, limit), "export-pvs")
-    pvs = tables.pvs if files.isEmpty() else exports.export_pvs(tables.pvs, files, pv_target, fmt, as_of)
+    files = kept(queue.unexported(pvs, limit), "export-pvs")
+    if not files.isEmpty():
+        pvs = (exports.export_pvs(pvs, files, pv_target, fmt, as_of) if batch is None
+               else exports.export_pvs_once(pvs, files, pv_target, batch, as_of, fmt))
     return Tables(tenders, pvs)
 
 
+def process(tables: Tables, sources: dict[str, DataFrame], base: str, tender_target: str, pv_target: str, batch: str, as_of: Column,
+            limit: int | None = None, threshold: float = S.BUDGET_THRESHOLD) -> tuple[Tables, DataFrame | None]:
+    """A processing run in its order: minutes, downloads, analysis, export. Steps whose sources aren't given are left out.
+
+    ``sources``: minutes_pages and detail_pages, downloads (url, archive, content), documents. Analysis reads the archives that were downloaded. Returns
+    the tables and the summaries.
+    """
+    if {"minutes_pages", "detail_pages"} <= set(sources):
+        tables = collect_minutes(tables, sources["minutes_pages"], sources["detail_pages"], base, as_of)
+    summaries = None
+    if "downloads" in sources:
+        tables = download(tables, sources["downloads"], as_of, limit)
+        if "documents" in sources:
+            tables, summaries = analyze(tables, sources["downloads"].select("archive", "content"), sources["documents"], as_of, limit)
+    return export(tables, tender_target, pv_target, as_of, limit=limit, threshold=threshold, batch=batch), summaries
+
+
 def changes(before: Tables, after: Tables, as_of: Column) -> DataFrame:
     return history.change_log(before.tenders, after.tenders, WATCHED, as_of)
 

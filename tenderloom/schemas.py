@@ -82,6 +82,7 @@ QUEUE_LIMITS = {"TO_ENRICH": 50, "TO_DOWNLOAD": 30, "TO_ANALYZE": 20, "TO_SYNC":
 PENDING_PV_LIMIT = 50
 ERROR_NO_LINK = "Pas de lien détail"
 ERROR_NO_ARCHIVE = "ZIP introuvable"
+ERROR_UNRESOLVED = "Lien non résolu"
 ERROR_NO_PDF = "Aucun PDF dans le ZIP"
 ERROR_HASH_TAKEN = "UNIQUE constraint failed: tenders.tender_hash"
 

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tenderloom import schemas as S
+from tenderloom.operators.common import spread_nulls
 
 MAX_DEPTH = 5
 MAX_VALUE_BYTES = 1 << 30   # a larger entry comes in numbered parts
@@ -117,6 +118,12 @@ def expand(archives: DataFrame, with_content: bool = True, value_bytes: int = MA
     return archives.select("archive", "content").mapInArrow(read, _DDL)
 
 
+def stored_files(downloads: DataFrame) -> DataFrame:
+    """(url, path, is_valid) of stored archives (url, archive, content): what the download stage chooses from."""
+    checked = expand(downloads.select("archive", "content"), with_content=False).groupBy("archive").agg(F.bool_and("is_valid").alias("is_valid"))
+    return downloads.select("url", "archive").join(checked, "archive").select("url", F.col("archive").alias("path"), "is_valid")
+
+
 def select_documents(entries: DataFrame) -> DataFrame:
     """PDF entries; lower-case endings come before upper-case ones, then by path."""
     docs = entries.filter(F.col("entry_path").rlike(r"\.(pdf|PDF)\z"))
@@ -130,7 +137,8 @@ def archive_outcomes(queue: DataFrame, entries: DataFrame) -> DataFrame:
     """
     docs = select_documents(entries).select(F.col("archive").alias("zip_path")).distinct()
     seen = entries.select(F.col("archive").alias("zip_path")).distinct().withColumn("seen", F.lit(True))
-    failed = queue.join(docs, "zip_path", "left_anti").join(seen, "zip_path", "left")
+    path = spread_nulls(F.col("zip_path"), F.col("id"))
+    failed = queue.withColumn("zip_path", path).join(docs, "zip_path", "left_anti").join(seen, "zip_path", "left")
     return failed.select(
         F.lit("analyze").alias("stage"), F.col("id").alias("tender_id"), F.lit(0).cast("long").alias("seq"),
         F.lit(False).alias("ok"),

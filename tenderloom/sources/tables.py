@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -33,9 +34,29 @@ def keyed(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parq
     return reader.load(path)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether anything lies at ``path``, in whichever store."""
+    try:
+        spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return False
+    return True
+
+
 def append(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     """Append; a CSV target gets its header from the column names, as a new table would."""
-    writer = df.write.mode("append").format(fmt)
+    _write(df, path, fmt, "append")
+
+
+def put(df: DataFrame, path: str, fmt: str = "parquet") -> None:
+    """Write in place of whatever lies at ``path``."""
+    _write(df, path, fmt, "overwrite")
+
+
+def _write(df: DataFrame, path: str, fmt: str, mode: str) -> None:
+    writer = df.write.mode(mode).format(fmt)
     if fmt == "csv":
         writer = writer.options(header="true", escape='"', nullValue=_CSV_NULL)
     writer.save(path)

@@ -61,19 +61,29 @@ def test_enrich_analyze_export(spark, sf, collected, tmp_path):
     missing = t.filter("lien_detail = ''")
     assert missing.filter(F.col("last_error") == S.ERROR_NO_LINK).count() == missing.count() > 0
 
+    # a page that isn't stored is a failure as well
+    unstored = linked.join(details.select("url"), F.col("lien_detail") == F.col("url"), "left_anti").select("id")
+    assert t.join(unstored, "id").filter(F.col("last_error") != S.ERROR_UNRESOLVED).count() == 0
+
+    # downloads: each stored archive answers the link of its tender; damaged ones and links without a file fail
     got = t.filter("status = 'TO_DOWNLOAD'").select(F.col("id").alias("tender_id"), F.expr("bigint(url_id)").alias("n"))
-    downloads = got.select("tender_id", F.lit(1).cast("long").alias("seq"), F.lit(True).alias("ok"), F.lit(None).cast("string").alias("error"),
-                           F.lit("TO_ANALYZE").alias("next_status"), F.concat(F.lit("/dce/"), F.col("n"), F.lit(".zip")).alias("path"))
-    ready = cycles.Tables(cycles.kept(outcomes.apply_outcomes(t, downloads, now(17)), "ready"), enriched.pvs)
+    one_link = t.withColumn("lien_dce", F.when(F.col("status") == "TO_DOWNLOAD", F.concat(F.lit("/dce?"), "url_id")).otherwise(F.col("lien_dce")))
+    downloads = B.archives(spark, sf).select(F.concat(F.lit("/dce?"), F.regexp_extract("archive", r"(\d+)", 1)).alias("url"), "archive", "content")
+    queued = queue.queue(one_link, "TO_DOWNLOAD", None).select("id", F.regexp_extract("lien_dce", r"(\d+)", 1).cast("long").alias("n"))
+    ready = cycles.download(cycles.Tables(cycles.kept(one_link, "queued"), enriched.pvs), downloads, now(17))
+    stored_ids = downloads.select(F.regexp_extract("url", r"(\d+)", 1).cast("long").alias("n"))
+    valid = queued.join(stored_ids, "n").filter("n % 4 < 3").count()
+    assert ready.tenders.filter("status = 'TO_ANALYZE' AND zip_path = concat('/dce/', url_id, '.zip')").count() == valid > 0
+    assert ready.tenders.filter(F.col("last_error") == S.ERROR_UNRESOLVED).join(queued, "id").count() == queued.count() - valid > 0
     docs = B.documents(spark, sf).drop("ord").join(got.withColumnRenamed("tender_id", "id"), F.col("tender_id") == F.col("n")).select(
         F.col("id").alias("tender_id"), "doc_path", F.lit(0).alias("ord"), "native", "tables", "ocr", "reply")
     analyzed, summaries = cycles.analyze(ready, B.archives(spark, sf), docs, now(18))
     a = analyzed.tenders
-    with_pdf = B.archives(spark, sf).filter("tender_id % 4 < 2").select("archive")
+    with_pdf = B.archives(spark, sf).filter("tender_id % 4 < 2").select("archive")     # damaged ones were not downloaded
     good = ready.tenders.filter("status = 'TO_ANALYZE'").join(with_pdf, F.col("zip_path") == F.col("archive"), "left_semi")
     assert a.filter("status = 'TO_SYNC'").count() == good.count() > 0
     errors = {r.last_error: r.n for r in a.filter("status = 'TO_ANALYZE'").groupBy("last_error").agg(F.count("*").alias("n")).collect()}
-    assert set(errors) == {S.ERROR_NO_ARCHIVE, S.ERROR_NO_PDF}
+    assert set(errors) == {S.ERROR_NO_PDF}
     assert summaries.filter(F.col("summary").startswith("=== RÉSUMÉ — R")).count() == summaries.count() > 0
 
     sheet = str(tmp_path / "sheet")
@@ -84,6 +94,28 @@ def test_enrich_analyze_export(spark, sf, collected, tmp_path):
     assert keyed(spark, sheet, header, "csv").count() == n
 
 
+def test_an_export_that_breaks_off_is_repeated(spark, sf, tmp_path, monkeypatch):
+    """Stopped between write and mark and repeated, each row is in the sheet once; the next batch appends nothing."""
+    from tenderloom.operators import exports
+    from tenderloom.operators.quality import conform
+    tables = cycles.Tables(cycles.kept(conform(B.tenders(spark, sf), S.TENDERS).dropDuplicates(["reference"]), "t"), conform(B.pvs(spark, sf), S.PVS))
+    sheet, minutes_sheet = str(tmp_path / "sheet"), str(tmp_path / "pvs")
+    run = lambda t, batch, day: cycles.export(t, sheet, minutes_sheet, now(day), limit=None, batch=batch)
+    header = spark.createDataFrame([], ", ".join(f"`{h}` string" for h in S.TENDER_HEADERS)).schema
+    with monkeypatch.context() as m:
+        m.setattr(exports, "mark", lambda *a, **k: (_ for _ in ()).throw(RuntimeError("stopped")))
+        with pytest.raises(RuntimeError):
+            run(tables, "a", 16)
+    done = run(tables, "a", 16)
+    n = queue.export_source(tables.tenders, None).count()
+    assert keyed(spark, sheet, header, "csv").count() == n == keyed(spark, sheet, header, "csv").distinct().count() > 0
+    assert queue.export_source(done.tenders, None).filter("status = 'TO_SYNC'").count() == 0 and done.pvs.filter("synced_to_sheets = 0").count() == 0
+    # the unmarked tables in a later batch: the rows are there already, so they are marked only
+    later = run(tables, "b", 17)
+    assert keyed(spark, sheet, header, "csv").count() == n
+    assert later.tenders.filter("status = 'DONE'").count() == done.tenders.filter("status = 'DONE'").count()
+
+
 def test_minutes_run(spark, sf, collected):
     tables, _ = collected
     mp = B.minutes_pages(spark, sf).withColumn("procedure_code", F.lit("40"))

@@ -223,4 +223,5 @@ def test_scanner_splits_tags():
     from tenderloom.sources.pages import _Scanner
     page = "a<!-- <b> --><p class='x > y' id=z>t</P ><script>if (a<b) '<i>'</script ><br/><!D><a x='>\"<a =\"><b"
     assert [t[2:] for t in _Scanner(page).tags()] == [
-        (False, "", ""), (False, "p", " class='x > y' id=z"), (True, "p", " "), (False, "", ""), (False, "br", "/"), (False, "", ""), (False, "a", " x='")]
+        (False, "", ""), (False, "p", " class='x > y' id=z"), (True, "p", " "), (False, "", ""), (False, "br", "/"), (False, "", ""), (False, "a", " x='"),
+        (False, "a", ' ="')]
