@@ -28,6 +28,8 @@ PERIOD, COVER = 13, (0, 1, 3, 9)
 GRAM = 16
 # Buckets that one row of pieces holds side by side; they are sorted one after the other.
 SIDE = 8
+#: Bytes of text that a part, which is worked off as one, holds on average.
+PART_BYTES = 2 << 20
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 RESULT = ["doc_id", "n_bytes", "n_removed", "spans", "kept", "kept_text", "carried"]
 _NONE = np.iinfo(np.int64).max
@@ -344,7 +346,8 @@ def remove_repeats(df: DataFrame, length: int = 50, id_col: str = "doc_id", text
     """
     spark = df.sparkSession
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    parts = 4 * tasks
+    size = df.agg(F.sum(F.octet_length(F.col(text_col).cast("string")).cast("long"))).first()[0] or 0
+    parts = max(4 * tasks, -(-size // PART_BYTES))
     docs = df.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"),
                      F.struct(*(carry or [F.lit(0).alias("none")])).alias("carried"))
     docs = docs.withColumn("key", F.xxhash64("doc_id", "text")).withColumn("part", F.pmod("key", F.lit(parts)).cast("int"))
