@@ -29,7 +29,7 @@ GRAM = 16
 # Buckets that one row of pieces holds side by side; they are sorted one after the other.
 SIDE = 8
 #: Bytes of text that a part, which is worked off as one, holds on average.
-PART_BYTES = 2 << 20
+PART_BYTES = 1 << 20
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 RESULT = ["doc_id", "n_bytes", "n_removed", "spans", "kept", "kept_text", "carried"]
 _NONE = np.iinfo(np.int64).max
