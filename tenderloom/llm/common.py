@@ -6,6 +6,7 @@ off in slices of at most ``SLICE_BYTES`` of text (one longer text is a slice of
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -42,8 +43,16 @@ def buffer_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0]:offsets[-1]], offsets - offsets[0]
 
 
-def slices(batches: Iterable[pa.RecordBatch], column: str = "text", limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """The same rows in the same order, in slices of at most ``limit`` bytes of one column."""
+def give_back() -> None:
+    """Freed memory goes back to the system: Arrow and the C library keep it otherwise, and Spark keeps a worker for the stages that follow."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)     # of the C library that has it
+    if trim:
+        trim(0)
+
+
+def slices(batches: Iterable[pa.RecordBatch], column: str = "text", limit: int = SLICE_BYTES, lean: bool = False) -> Iterator[pa.RecordBatch]:
+    """The same rows in the same order, in slices of at most ``limit`` bytes of one column. ``lean``: memory is given back after each slice."""
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -54,6 +63,8 @@ def slices(batches: Iterable[pa.RecordBatch], column: str = "text", limit: int =
             last = min(max(last, first + 1), batch.num_rows)
             yield batch.slice(first, last - first)
             first = last
+            if lean:
+                give_back()
 
 
 def string_array(data: np.ndarray, offsets: np.ndarray, kind: pa.DataType | None = None) -> pa.Array:

@@ -132,7 +132,7 @@ def mark(df: DataFrame, items: DataFrame, width: int = 10, text_col: str = "text
 
 
 def _search(batches, patterns: Patterns, text_col: str):
-    for batch in slices(batches, text_col):
+    for batch in slices(batches, text_col, lean=True):
         codes, words, bounds = words_of(batch.column(text_col))
         known = pc.fill_null(pc.add(pc.index_in(words, value_set=patterns.vocabulary), 1), 0).to_numpy(zero_copy_only=False).astype(np.int32)
         codes = known[codes] if len(codes) else np.zeros(0, np.int32)

@@ -85,7 +85,7 @@ def identify(df: DataFrame, dictionaries: dict[str, bytes], text_col: str = "tex
 
     def run(batches):
         compressors = Compressors(dictionaries)
-        for batch in slices(batches, text_col):
+        for batch in slices(batches, text_col, lean=True):
             texts = batch.column(text_col)
             lettered = pc.fill_null(pc.match_substring_regex(texts, r"\pL"), False).to_pylist()
             lowered = pc.utf8_lower(texts).to_pylist()

@@ -106,16 +106,10 @@ def band_keys(signature: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return keys.view(np.int64)
 
 
-def _sliced(batches, limit: int = SLICE_BYTES):
-    """Slices of texts; at the end memory goes back to the system, as Spark keeps workers for the stages that follow."""
-    yield from slices(batches, limit=limit)
-    pa.default_memory_pool().release_unused()
-
-
 def sketch(docs: DataFrame, words: int, bands: int, rows: int) -> DataFrame:
     """doc_id, n_shingles, set_id (digest of the set; null if empty), bands, signature (a byte of each of the first coordinates)."""
     def run(batches):
-        for batch in _sliced(batches):
+        for batch in slices(batches, lean=True):
             sets, offsets = shingle_sets(batch.column("text"), words)
             n = np.diff(offsets)
             full = np.flatnonzero(n)
@@ -137,7 +131,7 @@ def sketch(docs: DataFrame, words: int, bands: int, rows: int) -> DataFrame:
 def full_sets(docs: DataFrame, words: int) -> DataFrame:
     """doc_id, shingles: the whole set as 64-bit hashes."""
     def run(batches):
-        for batch in _sliced(batches):
+        for batch in slices(batches, lean=True):
             sets, offsets = shingle_sets(batch.column("text"), words)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.ListArray.from_arrays(offsets.astype(np.int32), pa.array(sets.view(np.int64)))], ["doc_id", "shingles"])
@@ -179,7 +173,7 @@ def confirmed(pairs: DataFrame, signatures: DataFrame, docs: DataFrame, words: i
 def fine_sets(docs: DataFrame, words: int) -> DataFrame:
     """doc_id, shingles, fine (one bit of each of ``FINE`` signature coordinates) of texts with words."""
     def run(batches):
-        for batch in _sliced(batches, SLICE_BYTES // 4):
+        for batch in slices(batches, limit=SLICE_BYTES // 4, lean=True):
             sets, offsets = shingle_sets(batch.column("text"), words)
             full = np.flatnonzero(np.diff(offsets))
             if len(full):

@@ -26,7 +26,7 @@ def encode(df: DataFrame, tokenizer: str = WORD_BPE, end_id: int = 2, id_col: st
 
     def run(batches):
         codec, part, before = encoder(tokenizer), TaskContext.get().partitionId(), 0
-        for batch in slices(batches):
+        for batch in slices(batches, lean=True):
             ids, offsets = codec.encode(batch.column("text"), end_id)
             n = batch.num_rows
             yield pa.RecordBatch.from_arrays(

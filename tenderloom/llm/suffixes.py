@@ -21,7 +21,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tenderloom.llm.common import buffer_of
+from tenderloom.llm.common import buffer_of, give_back
 
 # A difference cover: each of 0 to 12 is a difference of two of its numbers modulo 13.
 PERIOD, COVER = 13, (0, 1, 3, 9)
@@ -73,6 +73,7 @@ def stretches(data: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.nd
 def _of_part(texts: pa.Table, length: int, buckets: int) -> tuple | None:
     """The stretches of one part of the texts, in an order that depends on its rows alone: document, key, start, size, bucket (-1: settled, as a smaller
     document of the part has the same stretch), gram, text."""
+    give_back()     # of the part before
     texts = texts.filter(pc.is_valid(texts["doc_id"])).combine_chunks()
     order = np.lexsort((texts["key"].to_numpy(), texts["doc_id"].to_numpy()))
     batch = texts.take(pa.array(order)).combine_chunks()
@@ -297,6 +298,7 @@ def _by_bucket(pieces: DataFrame, length: int, parts: int) -> DataFrame:
                 if sum(len(f[0]) for f in found) > 1 << 19:
                     yield flush()
             held.clear()
+            give_back()
 
         for batch in batches:
             for at, *row in zip(*(batch.column(c).to_pylist() for c in ("lane", "head", "keys", "text"))):
