@@ -11,7 +11,7 @@ from tenderloom import schemas as S
 from tenderloom.operators import kpi, outcomes, retention
 from tenderloom.plans import cycles, report
 from tenderloom.session import build_session
-from tenderloom.sources.archives import read_archives
+from tenderloom.sources.archive_files import archive_files
 from tenderloom.sources.tables import keyed
 
 
@@ -61,7 +61,7 @@ def main(argv: list[str] | None = None) -> None:
             sources = {name: page(path) for name, path in (("minutes_pages", args.minutes_pages), ("detail_pages", args.detail_pages),
                                                            ("documents", args.documents)) if path}
             if args.archives:
-                stored = read_archives(spark, args.archives)
+                stored = archive_files(spark, args.archives)
                 links = page(args.links) if args.links else tenders.select(F.col("lien_dce").alias("url"), F.col("zip_path").alias("archive")).distinct()
                 sources["downloads"] = stored.join(links, "archive")
             sheets = args.sheets or args.out

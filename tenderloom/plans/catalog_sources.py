@@ -10,7 +10,8 @@ from tenderloom.plans import prelude as P
 from tenderloom.plans.catalog_text import CASCADE_SQL
 from tenderloom.plans.registry import query
 from tenderloom.schemas import KEY_POINTS
-from tenderloom.sources import archives, bindings as B, pages
+from tenderloom.session import scratch_path
+from tenderloom.sources import archive_files, archives, bindings as B, pages
 from tenderloom.sources.tables import given
 
 # ---------------------------------------------------------------- pages
@@ -91,22 +92,42 @@ def x08(spark, d):
 
 # ---------------------------------------------------------------- archives
 
-_ENTRIES = """entries AS (SELECT doc_id, 'avis.pdf' AS entry_path, 0 AS depth, encode(text) AS content FROM documents WHERE doc_id % 4 = 0
+_ENTRIES = """entries AS (SELECT doc_id, 'avis.pdf' AS entry_path, 0 AS depth, encode(COALESCE(text, '')) AS content FROM documents WHERE doc_id % 4 = 0
     UNION ALL SELECT doc_id, 'lisez-moi.txt', 0, encode('x') FROM documents WHERE doc_id % 4 = 0
     UNION ALL SELECT doc_id, 'a.txt', 0, encode('y') FROM documents WHERE doc_id % 4 = 1
-    UNION ALL SELECT doc_id, 'lot/sub/B.PDF', 1, encode(text) FROM documents WHERE doc_id % 4 = 1
-    UNION ALL SELECT doc_id, 'lot/b.pdf', 1, NULL FROM documents WHERE doc_id % 4 = 1
-    UNION ALL SELECT doc_id, 'notes.txt', 0, encode(text) FROM documents WHERE doc_id % 4 = 2)"""
+    UNION ALL SELECT doc_id, 'lot/sub/B.PDF', 1, encode(COALESCE(text, '')) FROM documents WHERE doc_id % 4 = 1
+    UNION ALL SELECT doc_id, 'lot/b.pdf', 1, encode(COALESCE(text, '') || chr(10) || COALESCE(text, '')) FROM documents WHERE doc_id % 4 = 1
+    UNION ALL SELECT doc_id, 'notes.txt', 0, encode(COALESCE(text, '')) FROM documents WHERE doc_id % 4 = 2)"""
 
 
 @query("s04_archive_entries", f"""WITH {_ENTRIES} SELECT '/dce/' || doc_id || '.zip' AS archive, entry_path, CAST(depth AS INTEGER) AS depth,
-    CASE WHEN entry_path <> 'lot/b.pdf' THEN CAST(octet_length(content) AS BIGINT) END AS size,
-    CASE WHEN entry_path <> 'lot/b.pdf' THEN md5(content) END AS content_md5 FROM entries""")
+    CAST(octet_length(content) AS BIGINT) AS size, md5(content) AS content_md5 FROM entries""")
 def s04(spark, d):
     e = archives.expand(B.archives(spark, d)).filter("entry_path IS NOT NULL AND part = 0")
-    known = F.col("entry_path") != "lot/b.pdf"   # reversed bytes, which the SQL side cannot make
-    return e.select("archive", "entry_path", "depth", F.when(known, F.col("size")).alias("size"),
-                    F.when(known, F.coalesce("content_md5", F.md5("content"))).alias("content_md5"))
+    return e.select("archive", "entry_path", "depth", "size", F.coalesce("content_md5", F.md5("content")).alias("content_md5"))
+
+
+def _stored(spark, d):
+    """The archives as files in the shared folder: (name, archive, length)."""
+    files = archive_files.store(B.archives(spark, d), scratch_path(spark, "archives"))
+    return files.select(F.col("archive").alias("name"), F.col("path").alias("archive"), "length")
+
+
+@query("s04_entries_of_files", f"""WITH {_ENTRIES} SELECT '/dce/' || doc_id || '.zip' AS name, entry_path, CAST(depth AS INTEGER) AS depth,
+    CAST(octet_length(content) AS BIGINT) AS size, md5(content) AS content_md5, true AS is_valid FROM entries
+    UNION ALL SELECT '/dce/' || doc_id || '.zip', NULL, 0, NULL, NULL, false FROM documents WHERE doc_id % 4 = 3""")
+def s04_files(spark, d):
+    files = _stored(spark, d)
+    e = archive_files.scan(files).join(files.select("name", "archive"), "archive")
+    return e.select("name", "entry_path", "depth", "size", "content_md5", "is_valid")
+
+
+@query("s06_bytes_of_documents", f"""WITH {_ENTRIES} SELECT '/dce/' || doc_id || '.zip' AS name, entry_path, 0::INTEGER AS part,
+    md5(content) AS content_md5 FROM entries WHERE entry_path LIKE '%.pdf' OR entry_path LIKE '%.PDF'""")
+def s06_bytes(spark, d):
+    files = _stored(spark, d)
+    read = archive_files.read_contents(archives.select_documents(archive_files.scan(files)))
+    return read.join(files.select("name", "archive"), "archive").select("name", "entry_path", "part", F.md5("content").alias("content_md5"))
 
 
 @query("s05_archive_valid", "SELECT '/dce/' || doc_id || '.zip' AS archive, doc_id % 4 < 3 AS is_valid FROM documents")

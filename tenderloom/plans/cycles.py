@@ -78,7 +78,7 @@ def collect_minutes(tables: Tables, minutes_pages: DataFrame, detail_pages: Data
 
 
 def download(tables: Tables, downloads: DataFrame, as_of: Column, limit: int | None = None, max_retry: int = S.MAX_RETRY) -> Tables:
-    """Stored archives (url, archive, content) claimed by the tenders queued for download: those with a valid one go on with its path, the others fail.
+    """Stored archives (url, archive, content or length) claimed by the tenders queued for download: those with a valid one go on with its path, the others fail.
 
     Archives are joined to the queue before they are opened, so only queued ones are read.
     """
@@ -90,13 +90,13 @@ def download(tables: Tables, downloads: DataFrame, as_of: Column, limit: int | N
 
 def analyze(tables: Tables, stored_archives: DataFrame, documents: DataFrame, as_of: Column,
             limit: int | None = None, max_retry: int = S.MAX_RETRY) -> tuple[Tables, DataFrame]:
-    """Archives (archive, content) and document texts (tiers in columns) of the queued tenders.
+    """Archives (archive, content or length) and document texts (tiers in columns) of the queued tenders.
 
     Returns the tables and the summaries (tender_id, reference, amount, summary).
     """
     waiting = kept(queue.queue(tables.tenders, "TO_ANALYZE", limit, max_retry), "waiting")
     wanted = stored_archives.join(waiting.select(F.col("zip_path").alias("archive")).distinct(), "archive", "left_semi")
-    entries = kept(archives.expand(wanted, with_content=False), "entries")
+    entries = kept(archives.listed(wanted), "entries")
     failed = archives.archive_outcomes(waiting, entries)
     good = waiting.join(failed.select(F.col("tender_id").alias("id")), "id", "left_anti")
     texts = kept(summary.cascade(documents.join(good.select(F.col("id").alias("tender_id")), "tender_id", "left_semi")), "texts")
@@ -135,7 +135,7 @@ def process(tables: Tables, sources: dict[str, DataFrame], base: str, tender_tar
             limit: int | None = None, threshold: float = S.BUDGET_THRESHOLD) -> tuple[Tables, DataFrame | None]:
     """A processing run in its order: minutes, downloads, analysis, export. Steps whose sources aren't given are left out.
 
-    ``sources``: minutes_pages and detail_pages, downloads (url, archive, content), documents. Analysis reads the archives that were downloaded. Returns
+    ``sources``: minutes_pages and detail_pages, downloads (url, archive, content or length), documents. Analysis reads the archives that were downloaded. Returns
     the tables and the summaries.
     """
     if {"minutes_pages", "detail_pages"} <= set(sources):
@@ -144,7 +144,7 @@ def process(tables: Tables, sources: dict[str, DataFrame], base: str, tender_tar
     if "downloads" in sources:
         tables = download(tables, sources["downloads"], as_of, limit)
         if "documents" in sources:
-            tables, summaries = analyze(tables, sources["downloads"].select("archive", "content"), sources["documents"], as_of, limit)
+            tables, summaries = analyze(tables, sources["downloads"].drop("url"), sources["documents"], as_of, limit)
     return export(tables, tender_target, pv_target, as_of, limit=limit, threshold=threshold, batch=batch), summaries
 
 

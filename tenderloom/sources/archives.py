@@ -65,7 +65,7 @@ def _entries(data: bytes, prefix: str, depth: int, with_content: bool, value_byt
                 except Exception as e:
                     yield None, depth, info.file_size, None, f"{path}: {e}", 0, None
                     return
-                yield path, depth, len(body), body, None, 0, None
+                yield path, depth, len(body), body if with_content else None, None, 0, None
         if depth < MAX_DEPTH:
             for path, info in inner:
                 try:
@@ -101,11 +101,18 @@ def expand(archives: DataFrame, with_content: bool = True, value_bytes: int = MA
         for batch in batches:
             for i in range(batch.num_rows):
                 name, data = batch.column(0)[i].as_py(), batch.column(1)[i].as_py()
+                if not with_content:   # few bytes a row: held until the last checksum is known
+                    rows = list(_entries(data or b"", "", 0, False, value_bytes, part_bytes))
+                    valid = not any(error is not None and depth == 0 for _, depth, _, _, error, _, _ in rows)
+                    held = [{"archive": name, "entry_path": path, "depth": depth, "size": size, "content": None, "is_valid": valid,
+                             "error": error, "part": part, "content_md5": md5} for path, depth, size, _, error, part, md5 in rows]
+                    yield pa.RecordBatch.from_pylist(held or [{"archive": name, "depth": 0, "is_valid": valid, "part": 0}], _SCHEMA)
+                    continue
                 valid = _is_valid(data)
                 held, weight, bare = [], 0, True
                 for path, depth, size, body, error, part, md5 in _entries(data or b"", "", 0, with_content, value_bytes, part_bytes):
                     held.append({"archive": name, "entry_path": path, "depth": depth, "size": size,
-                                 "content": body if with_content else None, "is_valid": valid, "error": error, "part": part, "content_md5": md5})
+                                 "content": body, "is_valid": valid, "error": error, "part": part, "content_md5": md5})
                     weight += len(body or b"")
                     bare = False
                     if weight > 1 << 24:
@@ -118,9 +125,18 @@ def expand(archives: DataFrame, with_content: bool = True, value_bytes: int = MA
     return archives.select("archive", "content").mapInArrow(read, _DDL)
 
 
+def listed(archives: DataFrame) -> DataFrame:
+    """Entries without their bytes, of archives by value (archive, content) or of files (archive, length)."""
+    if "content" in archives.columns:
+        return expand(archives, with_content=False)
+    from tenderloom.sources.archive_files import scan
+    return scan(archives.select("archive", "length").distinct())
+
+
 def stored_files(downloads: DataFrame) -> DataFrame:
-    """(url, path, is_valid) of stored archives (url, archive, content): what the download stage chooses from."""
-    checked = expand(downloads.select("archive", "content"), with_content=False).groupBy("archive").agg(F.bool_and("is_valid").alias("is_valid"))
+    """(url, path, is_valid) of stored archives, by value (url, archive, content) or as files (url, archive, length): what the
+    download stage chooses from."""
+    checked = listed(downloads).groupBy("archive").agg(F.bool_and("is_valid").alias("is_valid"))
     return downloads.select("url", "archive").join(checked, "archive").select("url", F.col("archive").alias("path"), "is_valid")
 
 

@@ -239,11 +239,11 @@ def archives(spark: SparkSession, sf_dir: str) -> DataFrame:
         for b in batches:
             rows = []
             for r in b.to_pylist():
-                k, text = r["doc_id"], r["text"].encode()
+                k, text = r["doc_id"], (r["text"] or "").encode()
                 if k % 4 == 0:
                     data = packed([("avis.pdf", text), ("lisez-moi.txt", b"x")])
                 elif k % 4 == 1:
-                    data = packed([("a.txt", b"y"), ("lot.zip", packed([("sub/B.PDF", text), ("b.pdf", text[::-1])]))])
+                    data = packed([("a.txt", b"y"), ("lot.zip", packed([("sub/B.PDF", text), ("b.pdf", text + b"\n" + text)]))])
                 elif k % 4 == 2:
                     data = packed([("notes.txt", text)])
                 else:

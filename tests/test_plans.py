@@ -6,7 +6,7 @@ import pytest
 
 from tenderloom.plans.catalog import ORACLE, QUERIES
 
-WRITES = ("r0", "j04", "w03", "k03", "k06")   # work off jobs while they are built
+WRITES = ("r0", "j04", "w03", "k03", "k06", "s04_entries", "s06_bytes")   # work off jobs while they are built
 TOP_K = ["f01_enrich_queue", "f01_analyze_queue", "f02_download_queue", "f07_unexported_minutes", "f08_minutes_without_file",
          "o01_newest_first", "o02_top_budgets", "o05_export_batch"]
 
