@@ -424,15 +424,15 @@ def _details(spark, d):
     """Detail records of the tenders that wait for them, by rule."""
     t = B.tenders(spark, d).filter("status = 'TO_ENRICH'")
     return t.select("id", F.expr("CASE WHEN id % 2 = 0 THEN '' ELSE concat('Détail ', id) END").alias("objet"),
-                    F.expr("CASE WHEN id % 5 = 0 THEN '' ELSE 'Commune ' END").alias("acheteur"),
+                    F.expr("CASE WHEN id % 5 = 0 OR id % 10 = 9 THEN '' ELSE 'Commune ' END").alias("acheteur"),
                     F.expr("double(id * 10)").alias("estimation"), F.lit("").alias("domaines"), "contact_nom", "contact_email",
                     "contact_tel", "contact_fax", F.expr("concat('/f/', id)").alias("lien_dce"), "attributaire", "montant_reel",
                     "date_attribution", "nb_soumissionnaires", F.expr("md5(concat('page', id))").alias("hash_content"))
 
 
 _DETAIL = """det AS (SELECT id, CASE WHEN id % 2 = 0 THEN '' ELSE 'Détail ' || id END AS n_objet,
-    CASE WHEN id % 5 = 0 THEN '' ELSE 'Commune ' END AS n_acheteur, CAST(id * 10 AS DOUBLE) AS n_estimation, '/f/' || id AS n_dce,
-    md5('page' || id) AS n_hash, sha256(reference || '|' || trim(date_publication) || '|' || CASE WHEN id % 5 = 0 THEN '' ELSE 'commune' END) AS th
+    CASE WHEN id % 5 = 0 OR id % 10 = 9 THEN '' ELSE 'Commune ' END AS n_acheteur, CAST(id * 10 AS DOUBLE) AS n_estimation, '/f/' || id AS n_dce,
+    md5('page' || id) AS n_hash, sha256(reference || '|' || trim(date_publication) || '|' || CASE WHEN id % 5 = 0 OR id % 10 = 9 THEN '' ELSE 'commune' END) AS th
     FROM tenders WHERE status = 'TO_ENRICH'),
  firsts AS (SELECT th, min(id) AS first_id FROM det GROUP BY th),
  held AS (SELECT tender_hash AS th, min(id) AS low, max(id) AS high FROM tenders WHERE tender_hash IS NOT NULL GROUP BY 1),
