@@ -108,26 +108,24 @@ def s04(spark, d):
 
 
 def _stored(spark, d):
-    """The archives as files in the shared folder: (name, archive, length)."""
-    files = archive_files.store(B.archives(spark, d), scratch_path(spark, "archives"))
-    return files.select(F.col("archive").alias("name"), F.col("path").alias("archive"), "length")
+    """The archives as inner archives of larger ones, which are files in the shared folder: (archive, length)."""
+    inner = B.archives(spark, d).select(F.concat(F.col("tender_id"), F.lit(".zip")).alias("entry_path"), "content")
+    return archive_files.store(inner, scratch_path(spark, "archives"))
 
 
-@query("s04_entries_of_files", f"""WITH {_ENTRIES} SELECT '/dce/' || doc_id || '.zip' AS name, entry_path, CAST(depth AS INTEGER) AS depth,
-    CAST(octet_length(content) AS BIGINT) AS size, md5(content) AS content_md5, true AS is_valid FROM entries
-    UNION ALL SELECT '/dce/' || doc_id || '.zip', NULL, 0, NULL, NULL, false FROM documents WHERE doc_id % 4 = 3""")
+@query("s04_entries_of_files", f"""WITH {_ENTRIES} SELECT doc_id || '/' || entry_path AS entry_path, CAST(depth + 1 AS INTEGER) AS depth,
+    CAST(octet_length(content) AS BIGINT) AS size, md5(content) AS content_md5, true AS is_valid, false AS failed FROM entries
+    UNION ALL SELECT NULL, 1, NULL, NULL, true, true FROM documents WHERE doc_id % 4 = 3""")
 def s04_files(spark, d):
-    files = _stored(spark, d)
-    e = archive_files.scan(files).join(files.select("name", "archive"), "archive")
-    return e.select("name", "entry_path", "depth", "size", "content_md5", "is_valid")
+    e = archive_files.scan(_stored(spark, d))
+    return e.select("entry_path", "depth", "size", "content_md5", "is_valid", F.col("error").isNotNull().alias("failed"))
 
 
-@query("s06_bytes_of_documents", f"""WITH {_ENTRIES} SELECT '/dce/' || doc_id || '.zip' AS name, entry_path, 0::INTEGER AS part,
-    md5(content) AS content_md5 FROM entries WHERE entry_path LIKE '%.pdf' OR entry_path LIKE '%.PDF'""")
+@query("s06_bytes_of_documents", f"""WITH {_ENTRIES} SELECT doc_id || '/' || entry_path AS entry_path, 0::INTEGER AS part, md5(content) AS content_md5
+    FROM entries WHERE entry_path LIKE '%.pdf' OR entry_path LIKE '%.PDF'""")
 def s06_bytes(spark, d):
-    files = _stored(spark, d)
-    read = archive_files.read_contents(archives.select_documents(archive_files.scan(files)))
-    return read.join(files.select("name", "archive"), "archive").select("name", "entry_path", "part", F.md5("content").alias("content_md5"))
+    read = archive_files.read_contents(archives.select_documents(archive_files.scan(_stored(spark, d))))
+    return read.select("entry_path", "part", F.md5("content").alias("content_md5"))
 
 
 @query("s05_archive_valid", "SELECT '/dce/' || doc_id || '.zip' AS archive, doc_id % 4 < 3 AS is_valid FROM documents")

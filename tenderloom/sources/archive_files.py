@@ -259,12 +259,13 @@ def read_contents(entries: DataFrame, value_bytes: int = MAX_VALUE_BYTES, part_b
     total = chosen.agg(F.sum("size")).first()[0] or 0
     spread = chosen.repartition(_tasks(spark, total, range_bytes), "archive", F.col("trail")[0]).sortWithinPartitions("archive", "trail")
 
-    def bytes_of(archive: zipfile.ZipFile, trail: list[int]) -> Iterator[bytes]:
-        info = archive.infolist()[trail[0]]
-        if trail[1:]:
-            with _inner(archive, info, held_bytes) as opened:
-                yield from bytes_of(opened, trail[1:])
-            return
+    def reached(archive: zipfile.ZipFile, trail: list[int]) -> zipfile.ZipFile:
+        for no in trail:
+            archive = _inner(archive, archive.infolist()[no], held_bytes)
+        return archive
+
+    def bytes_of(archive: zipfile.ZipFile, no: int) -> Iterator[bytes]:
+        info = archive.infolist()[no]
         with archive.open(info) as stream:
             if info.file_size <= value_bytes:
                 yield stream.read()
@@ -273,7 +274,7 @@ def read_contents(entries: DataFrame, value_bytes: int = MAX_VALUE_BYTES, part_b
                     yield part
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        name = file = archive = None
+        name = file = archive = holder = at = None   # entries of one inner archive follow each other: it is opened once
         try:
             for batch in batches:
                 held, weight = [], 0
@@ -283,7 +284,11 @@ def read_contents(entries: DataFrame, value_bytes: int = MAX_VALUE_BYTES, part_b
                             file.close()
                         name, file = r["archive"], open_file(r["archive"])
                         archive = zipfile.ZipFile(file)
-                    for k, body in enumerate(bytes_of(archive, r["trail"])):
+                        at = None
+                    if r["trail"][:-1] != at:
+                        at = r["trail"][:-1]
+                        holder = reached(archive, at)
+                    for k, body in enumerate(bytes_of(holder, r["trail"][-1])):
                         held.append({"archive": name, "entry_path": r["entry_path"], "part": k, "content": body})
                         weight += len(body)
                         if weight > 1 << 24:
@@ -296,10 +301,9 @@ def read_contents(entries: DataFrame, value_bytes: int = MAX_VALUE_BYTES, part_b
     return spread.mapInArrow(read, "archive string, entry_path string, part int, content binary")
 
 
-def store(archives: DataFrame, folder: str) -> DataFrame:
-    """Write ``archives(archive, content)`` as files below a shared folder, from the tasks; (archive, length, path) of what was written.
-
-    A file appears under its name only when it is whole, so a repeated task leaves the same files.
+def store(entries: DataFrame, folder: str) -> DataFrame:
+    """Write ``entries(entry_path, content)`` into archives below a shared folder, one a batch, from the tasks; (archive, length) of
+    what was written. What a lost task left behind is in no row.
     """
     from pyarrow import fs
 
@@ -309,13 +313,13 @@ def store(archives: DataFrame, folder: str) -> DataFrame:
         system, root = (fs.LocalFileSystem(), "/" + folder.removeprefix("file:").lstrip("/")) if local else fs.FileSystem.from_uri(folder)
         system.create_dir(root)
         for batch in batches:
-            done = []
-            for r in batch.to_pylist():
-                name = hashlib.sha256(r["archive"].encode()).hexdigest()[:32]
-                part = f"{root}/_{name}-{uuid.uuid4().hex}"
-                with system.open_output_stream(part) as out:
-                    out.write(r["content"])
-                system.move(part, f"{root}/{name}.zip")
-                done.append({"archive": r["archive"], "length": len(r["content"]), "path": f"{folder.rstrip('/')}/{name}.zip"})
-            yield pa.RecordBatch.from_pylist(done, pa.schema([("archive", pa.string()), ("length", pa.int64()), ("path", pa.string())]))
-    return cut_lineage(archives.select("archive", "content").mapInArrow(write, "archive string, length long, path string"), "stored")
+            if not batch.num_rows:
+                continue
+            name = f"{uuid.uuid4().hex}.zip"
+            with system.open_output_stream(f"{root}/{name}") as out:
+                with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as archive:
+                    for path, content in zip(*batch.columns):
+                        archive.writestr(path.as_py(), content.as_py() or b"")
+            length = system.get_file_info(f"{root}/{name}").size
+            yield pa.RecordBatch.from_pydict({"archive": [f"{folder.rstrip('/')}/{name}"], "length": [length]})
+    return cut_lineage(entries.select("entry_path", "content").mapInArrow(write, "archive string, length long"), "stored")

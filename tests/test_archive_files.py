@@ -112,3 +112,10 @@ def test_downloads_as_files(spark, folder):
     valid = {r.url.rsplit("/", 1)[1]: r.is_valid for r in archives.stored_files(files).collect()}
     assert valid == {**{f"{n}.zip": True for n in ("plain", "mixed", "no_inner", "inner_damage", "empty", "folders", "deep")},
                      **{f"{n}.zip": False for n in ("middle", "front", "lost_inner", "text")}}   # files without a byte are not listed
+
+
+def test_entries_written_as_archives_come_back(spark, tmp_path):
+    rows = [(f"{i}.pdf", bytes([i]) * i) for i in range(200)] + [("null.pdf", None)]
+    stored = archive_files.store(spark.createDataFrame(rows, "entry_path string, content binary").repartition(3), str(tmp_path))
+    got = {r.entry_path: bytes(r.content) for r in archive_files.read_contents(archive_files.scan(stored)).collect()}
+    assert got == {path: body or b"" for path, body in rows} and stored.count() >= 3
