@@ -18,13 +18,13 @@ from pyspark.sql import functions as F
 
 from tenderloom.session import cut_lineage
 from tenderloom.sources.archives import MAX_DEPTH, MAX_VALUE_BYTES, PART_BYTES
+from tenderloom.sources.batches import SLICE_BYTES, SLICE_ROWS, give_back, slices
 
 RANGE_BYTES = 1 << 26    # packed bytes of the entries that one task step reads
 HELD_BYTES = 1 << 26     # an inner archive up to this size is held; a larger one is read on its stream
 TAIL_BYTES = 1 << 20     # kept of the end of such a stream
 DIRECTORY_BYTES = 128    # what an entry adds to a range by being listed
 MAX_TASKS = 50_000
-_ROWS = 2048
 
 _RANGES = pa.schema([("archive", pa.string()), ("first", pa.int64()), ("last", pa.int64()), ("error", pa.string())])
 _LISTED = pa.schema([("archive", pa.string()), ("entry_path", pa.string()), ("depth", pa.int32()), ("size", pa.int64()),
@@ -109,9 +109,10 @@ def _batches(rows: Iterator[dict], schema: pa.Schema) -> Iterator[pa.RecordBatch
     held = []
     for row in rows:
         held.append(row)
-        if len(held) == _ROWS:
+        if len(held) == SLICE_ROWS:
             yield pa.RecordBatch.from_pylist(held, schema)
             held = []
+            give_back()
     yield pa.RecordBatch.from_pylist(held, schema)
 
 
@@ -219,6 +220,7 @@ def scan(files: DataFrame, range_bytes: int = RANGE_BYTES, held_bytes: int = HEL
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows():
             for batch in batches:
+                give_back()
                 for r in batch.to_pylist():
                     bare = {"archive": r["archive"], "entry_path": None, "depth": 0, "size": None, "content_md5": None,
                             "error": r["error"], "trail": None, "step": -1 if r["first"] == 0 else None}
@@ -276,9 +278,9 @@ def read_contents(entries: DataFrame, value_bytes: int = MAX_VALUE_BYTES, part_b
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         name = file = archive = holder = at = None   # entries of one inner archive follow each other: it is opened once
         try:
-            for batch in batches:
+            for piece in slices(batches, 1):
                 held, weight = [], 0
-                for r in batch.to_pylist():
+                for r in piece.to_pylist():
                     if r["archive"] != name:
                         if file is not None:
                             file.close()
@@ -291,9 +293,10 @@ def read_contents(entries: DataFrame, value_bytes: int = MAX_VALUE_BYTES, part_b
                     for k, body in enumerate(bytes_of(holder, r["trail"][-1])):
                         held.append({"archive": name, "entry_path": r["entry_path"], "part": k, "content": body})
                         weight += len(body)
-                        if weight > 1 << 24:
+                        if weight > SLICE_BYTES:
                             yield pa.RecordBatch.from_pylist(held, _READ)
                             held, weight = [], 0
+                            give_back()
                 yield pa.RecordBatch.from_pylist(held, _READ)
         finally:
             if file is not None:
@@ -322,4 +325,5 @@ def store(entries: DataFrame, folder: str) -> DataFrame:
                         archive.writestr(path.as_py(), content.as_py() or b"")
             length = system.get_file_info(f"{root}/{name}").size
             yield pa.RecordBatch.from_pydict({"archive": [f"{folder.rstrip('/')}/{name}"], "length": [length]})
+            give_back()
     return cut_lineage(entries.select("entry_path", "content").mapInArrow(write, "archive string, length long"), "stored")

@@ -7,7 +7,9 @@ import io
 import random
 import re
 import zipfile
+from collections import Counter
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -225,3 +227,20 @@ def test_scanner_splits_tags():
     assert [t[2:] for t in _Scanner(page).tags()] == [
         (False, "", ""), (False, "p", " class='x > y' id=z"), (True, "p", " "), (False, "", ""), (False, "br", "/"), (False, "", ""), (False, "a", " x='"),
         (False, "a", ' ="')]
+
+
+def test_archives_are_built_and_read_in_batches_of_bounded_size():
+    """One Arrow batch of many texts gives many small ones, whatever the number of rows Spark hands over at once."""
+    from tenderloom.sources import batches, bindings
+
+    texts = [random.Random(i).randbytes(50_000).hex() for i in range(120)] + [None]
+    given = pa.RecordBatch.from_pydict({"doc_id": pa.array(range(121), pa.int64()), "text": pa.array(texts, pa.string())})
+    built = list(bindings._build_archives(iter([given])))
+    assert sum(b.num_rows for b in built) == 121 and len(built) >= 3 and max(b.nbytes for b in built) < 2.5 * batches.SLICE_BYTES
+    whole = pa.Table.from_batches(built).combine_chunks().select(["archive", "content"]).to_batches()
+    read = list(archives._read(iter(whole), True, archives.MAX_VALUE_BYTES, archives.PART_BYTES))
+    assert len(read) >= 3 and max(b.nbytes for b in read) < 2 * batches.SLICE_BYTES
+    paths = [p for b in read for p in b.column(1).to_pylist()]
+    assert Counter(paths) == {"avis.pdf": 31, "lisez-moi.txt": 31, "a.txt": 30, "lot/sub/B.PDF": 30, "lot/b.pdf": 30, "notes.txt": 30, None: 30}
+    listed = list(archives._read(iter(whole), False, archives.MAX_VALUE_BYTES, archives.PART_BYTES))
+    assert len(listed) == 1 and listed[0].column(3).to_pylist() == [s for b in read for s in b.column(3).to_pylist()]
