@@ -244,3 +244,14 @@ def test_archives_are_built_and_read_in_batches_of_bounded_size():
     assert Counter(paths) == {"avis.pdf": 31, "lisez-moi.txt": 31, "a.txt": 30, "lot/sub/B.PDF": 30, "lot/b.pdf": 30, "notes.txt": 30, None: 30}
     listed = list(archives._read(iter(whole), False, archives.MAX_VALUE_BYTES, archives.PART_BYTES))
     assert len(listed) == 1 and listed[0].column(3).to_pylist() == [s for b in read for s in b.column(3).to_pylist()]
+
+
+def test_outcomes_read_archives_once(spark):
+    """Entries are unpacked a single time, also for a null or repeated archive name."""
+    bad = spark.createDataFrame([("/a", zipped([("x.pdf", b"1"), ("y.txt", b"2")])), ("/b", zipped([("y.txt", b"2")])), ("/b", b""), (None, b"")],
+                                "archive string, content binary")
+    queue = spark.createDataFrame([(1, "/a"), (2, "/b"), (3, "/c"), (4, None), (5, "/b")], "id long, zip_path string")
+    failed = archives.archive_outcomes(queue, archives.expand(bad, with_content=False))
+    assert failed._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
+    none, gone = "Aucun PDF dans le ZIP", "ZIP introuvable"
+    assert sorted((r.tender_id, r.error) for r in failed.collect()) == [(2, none), (3, gone), (4, gone), (5, none)]
