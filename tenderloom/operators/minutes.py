@@ -65,10 +65,17 @@ def link(candidates: DataFrame, tenders: DataFrame) -> DataFrame:
     Both look-up sides hold one row per key. Rows that need no look-up get a key that matches nothing
     and is spread by sequence number, so neither blank numbers nor matched rows pile up in one task.
     """
-    c = with_uid(candidates).withColumn("_u", spread_nulls(F.col("uid"), F.col("seq")))
-    c = c.join(by_number(tenders).withColumnRenamed("uid", "_u"), "_u", "left")
-    c = c.withColumn("_r", spread_nulls(F.when(F.col("id_by_uid").isNull(), F.col("reference")), F.col("seq")))
-    return c.join(newest_by_reference(tenders).withColumnRenamed("reference", "_r"), "_r", "left").drop("_u", "_r")
+    return _by_reference(_by_number(with_uid(candidates), tenders), tenders)
+
+
+def _by_number(rows: DataFrame, tenders: DataFrame) -> DataFrame:
+    c = rows.withColumn("_u", spread_nulls(F.col("uid"), F.col("seq")))
+    return c.join(by_number(tenders).withColumnRenamed("uid", "_u"), "_u", "left").drop("_u")
+
+
+def _by_reference(rows: DataFrame, tenders: DataFrame) -> DataFrame:
+    c = rows.withColumn("_r", spread_nulls(F.when(F.col("id_by_uid").isNull(), F.col("reference")), F.col("seq")))
+    return c.join(newest_by_reference(tenders).withColumnRenamed("reference", "_r"), "_r", "left").drop("_r")
 
 
 def choose_orphans(unmatched: DataFrame, told: Callable[[str, DataFrame], None] | None = None) -> DataFrame:
@@ -133,24 +140,30 @@ def _chains(left: DataFrame) -> DataFrame:
 def link_with_orphans(candidates: DataFrame, tenders: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(candidates with ``tender_id``, orphan tenders). Candidates without an address are ignored.
 
-    The looked-up batch is written once: finding orphans and linking both read it, and the stored
-    tenders are joined a single time.
+    What a candidate is linked with depends on its number and reference, and on its place only against the founder of its number.
+    So equal (number, reference) pairs are folded before anything is looked up; the pairs with what they found are written
+    once, and the candidates themselves are joined a single time, with their pair.
     """
-    linked = cut_lineage(link(with_address(candidates), tenders), "linked")
-    free = linked.filter(F.col("id_by_uid").isNull() & F.col("id_by_ref").isNull())
+    rows = with_uid(with_address(candidates))
+    pairs = rows.groupBy("uid", "reference").agg(F.min_by(F.struct("seq", "lien", "objet"), "seq").alias("r"))
+    numbered = _by_number(pairs.select("uid", "reference", "r.*"), tenders)
+    texts = {c: F.when(F.col("id_by_uid").isNull(), F.col(c)) for c in ("lien", "objet")}     # only founders need them
+    looked = cut_lineage(_by_reference(numbered.withColumns(texts), tenders), "linked")
+    is_free = F.col("id_by_uid").isNull() & F.col("id_by_ref").isNull()
     key = tender_key(F.coalesce("uid", F.lit("")), F.col("reference"))
-    orphans = choose_orphans(free.select("seq", "uid", "reference", "lien", "objet")).withColumn(
+    orphans = choose_orphans(looked.filter(is_free).select("seq", "uid", "reference", "lien", "objet")).withColumn(
         "id", surrogate_id(key))
     by_uid = orphans.filter(F.col("uid").isNotNull()).select(
         F.col("uid").alias("_u"), F.col("seq").alias("_useq"), F.col("id").alias("_uid_orphan"))
     by_ref = orphans.select(F.col("reference").alias("_r"), F.col("id").alias("_ref_orphan"))
-    rows = linked.withColumn("_u", spread_nulls(F.when(F.col("id_by_uid").isNull(), F.col("uid")), F.col("seq")))
-    rows = rows.join(by_uid, "_u", "left")
+    found = looked.select(F.col("uid").alias("_uid"), F.col("reference").alias("_reference"), "id_by_uid", "id_by_ref",
+                          spread_nulls(F.when(F.col("id_by_uid").isNull(), F.col("uid")), F.col("seq")).alias("_u"),
+                          spread_nulls(F.when(is_free, F.col("reference")), F.col("seq")).alias("_r"))
+    found = found.join(by_uid, "_u", "left").join(by_ref, "_r", "left").drop("_u", "_r")
+    joined = rows.join(found, rows["uid"].eqNullSafe(found["_uid"]) & rows["reference"].eqNullSafe(found["_reference"]), "left")
     early = F.when(F.col("_useq") <= F.col("seq"), F.col("_uid_orphan"))
-    rows = rows.withColumn("tender_id", F.coalesce("id_by_uid", early, "id_by_ref"))
-    rows = rows.withColumn("_r", spread_nulls(F.when(F.col("tender_id").isNull(), F.col("reference")), F.col("seq")))
-    rows = rows.join(by_ref, "_r", "left").withColumn("tender_id", F.coalesce("tender_id", "_ref_orphan"))
-    return rows.select(*candidates.columns, "tender_id"), orphans
+    linked = joined.withColumn("tender_id", F.coalesce("id_by_uid", early, "id_by_ref", "_ref_orphan"))
+    return linked.select(*candidates.columns, "tender_id"), orphans
 
 
 def add_orphans(tenders: DataFrame, orphans: DataFrame, as_of: Column) -> DataFrame:

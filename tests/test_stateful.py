@@ -7,6 +7,7 @@ from folds import minutes_fold, orphan_fold, upsert_fold
 from pyspark.sql import functions as F
 
 from tenderloom.operators import minutes, upsert
+from tenderloom.session import cut_lineage
 from tenderloom.sources import bindings as B
 from tenderloom.streaming import ingest, state
 
@@ -206,3 +207,17 @@ def test_an_idle_run_keeps_the_version(spark, sf, tmp_path):
     assert run() == 2 == run()
     whole = upsert.upsert(initial, batch, now)
     assert sorted(map(str, state.latest(spark, root, "tenders", initial, 2).collect())) == sorted(map(str, whole.collect()))
+
+
+def test_orphans_are_looked_up_by_pair(spark, tmp_path, monkeypatch):
+    """A number and reference are looked up once, however many candidates share them; the candidates all come back."""
+    written = {}
+    monkeypatch.setattr(minutes, "cut_lineage", lambda df, label="cut": written.setdefault(label, df) if label == "linked" else cut_lineage(df, label))
+    c = spark.range(400).selectExpr("id AS seq", "concat('?refConsultation=', id % 4) AS lien", "concat('R', id % 4) AS reference",
+                                    "'o' AS objet", "'pdf' AS pv_pdf_url")
+    t = spark.createDataFrame([(7, "1", "X", 0), (8, None, "R2", 0)], "id long, url_id string, reference string, created_at int")
+    linked, orphans = minutes.link_with_orphans(c, t)
+    assert written["linked"].count() == 4
+    founders = {r.seq: r.id for r in orphans.collect()}
+    want = [founders[0], 7, 8, founders[3]]
+    assert sorted(founders) == [0, 3] and {r.seq: r.tender_id for r in linked.collect()} == {i: want[i % 4] for i in range(400)}
