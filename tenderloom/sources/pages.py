@@ -10,6 +10,7 @@ import re
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
+from functools import cache
 from html import unescape
 
 import pyarrow as pa
@@ -38,6 +39,9 @@ _CLOSING = {tag: re.compile(rf"</{tag}\s*>", re.I) for tag in ("script", "style"
 _NAME_END, _SIGN = re.compile(r"[\s/>]"), re.compile("[=>]")
 # A quote delimits a value only behind an equals sign; elsewhere it is a sign like any other.
 _QUOTE = re.compile(r"""=\s*(["'])""")
+# A whole tag by the same rules, where its quotes are closed; what this doesn't match may be a tag all the same.
+_TAG = re.compile(r"""</?([a-z][^\s/>]*+)([^=>]*+(?:=(?:\s*"[^"]*"|\s*'[^']*'|(?!\s*["']))[^=>]*+)*+)>""", re.I)
+_TAG_CHARS = 4096        # tags up to this length are tried so
 _ATTRIBUTE = re.compile(r"""\b(id|class|href)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))""", re.I)
 
 
@@ -48,6 +52,12 @@ DETAIL_MARKS: Marks = ([S.ID_ESTIMATE, S.ID_CONTACT_BLOCK, S.ID_CONTACT_NAME, S.
                         *S.DETAIL_FIELDS.values(), *S.CONTACT_FIELDS.values(), *S.AWARD_IDS], _CSS)
 
 
+@cache
+def _any_of(fragments: tuple[str, ...]):
+    """Whether a text holds one of the fragments, in one search."""
+    return re.compile("|".join(map(re.escape, fragments)) or r"(?!)").search
+
+
 class _Scanner:
     """Tags of a page in document order, in time linear in its length also where comments, scripts, quotes or tags are never closed.
 
@@ -65,9 +75,15 @@ class _Scanner:
 
     def tags(self) -> Iterator[tuple[int, int, bool, str, str]]:
         """(start, end, whether it closes, name, attributes); the name is empty for comments, declarations, scripts and styles."""
-        source, at = self.source, 0
+        source, at, untried = self.source, 0, 4
         while (m := _OPENING.search(source, at)) and m.start() < self.last:
             start = m.start()
+            if untried and m[4] is not None:
+                if tag := _TAG.match(source, start, start + _TAG_CHARS):
+                    at = tag.end()
+                    yield start, at, m[4] == "/", tag[1].lower(), tag[2]
+                    continue
+                untried -= 1     # a few failures are enough: each may have run through all of the characters
             if m[1] or m[2]:
                 end = self._find("-->", start + 4) if m[1] else -1
                 end = end + 3 if end >= 0 else source.find(">", start) + 1
@@ -131,7 +147,7 @@ class _Page:
     """
 
     def __init__(self, source: str, marks: Marks) -> None:
-        self.ids, self.css = marks
+        self.ids, self.css = (_any_of(tuple(m)) for m in marks)
         self.raw: list[str] = []
         self.inner: list[str] = []
         self.found: list[dict] = []
@@ -140,7 +156,12 @@ class _Page:
         at = 0
         for start, end, closes, tag, attributes in _Scanner(source).tags():
             if start > at:
-                self._text(source[at:start])
+                piece = source[at:start]
+                if "&" in piece:
+                    piece = unescape(piece)
+                if piece:
+                    self.raw.append(piece)
+                    self.inner.append(piece)
             at = end
             if closes:
                 self._end(tag)
@@ -163,16 +184,17 @@ class _Page:
         if tag in ("td", "th", "tr"):
             self._close_row_part(tag)
         if tag in _BLOCK:
-            self._line_end()
+            self.raw.append("")
+            self.inner.append("\n")
         node = {"tag": tag, "id": "", "css": "", "href": None}
         if attributes:
             seen: dict[str, str] = {}
-            for m in _ATTRIBUTE.finditer(attributes):
-                seen.setdefault(m[1].lower(), unescape(m[2] or m[3] or m[4] or ""))
+            for name, double, single, bare in _ATTRIBUTE.findall(attributes):
+                value = double or single or bare
+                seen.setdefault(name.lower(), unescape(value) if "&" in value else value)
             node["id"], node["href"] = seen.get("id", ""), seen.get("href")
             node["css"] = f" {' '.join(seen['class'].split())} " if seen.get("class", "").strip() else ""
-        if (tag in ("a", "td", "tr") or (node["id"] and any(i in node["id"] for i in self.ids))
-                or (node["css"] and any(c in node["css"] for c in self.css))):
+        if tag in ("a", "td", "tr") or (node["id"] and self.ids(node["id"])) or (node["css"] and self.css(node["css"])):
             node["within"] = " " + " ".join(u["id"] for u in self.open if u["id"]) + " "
             node["tables"] = [u for u in self.open if u["tag"] in ("table", "thead", "tfoot")] if tag == "tr" else ()
             node["first"], node["text_from"] = len(self.found), len(self.raw)
@@ -212,8 +234,10 @@ class _Page:
 
     def texts(self, n: dict) -> tuple[str, str]:
         """Text as it stands, and with line ends at blocks."""
-        span = slice(n["text_from"], n["text_to"])
-        return "".join(self.raw[span]), "".join(self.inner[span])
+        first, last = n["text_from"], n["text_to"]
+        if last - first == 1:
+            return self.raw[first], self.inner[first]
+        return "".join(self.raw[first:last]), "".join(self.inner[first:last])
 
 
 def _result_rows(page: _Page) -> list[list[dict]]:
@@ -234,8 +258,14 @@ class _Lists:
 
     def add(self, page: _Page, n: dict) -> None:
         content, inner = page.texts(n)
-        for name, value in zip(self.nodes, (n["tag"], n["id"], n["css"], n["href"], n["within"], content, inner)):
-            self.nodes[name].append(value)
+        tag, ident, css, href, within, contents, inners = self.nodes.values()
+        tag.append(n["tag"])
+        ident.append(n["id"])
+        css.append(n["css"])
+        href.append(n["href"])
+        within.append(n["within"])
+        contents.append(content)
+        inners.append(inner)
         self.size += len(content) + len(inner) + 64
 
     def count(self) -> int:
@@ -380,20 +410,20 @@ def minutes_rows(pages: DataFrame, base: str) -> DataFrame:
 
 def detail_records(pages: DataFrame, base: str) -> DataFrame:
     """Detail records, one per page."""
-    rows = page_nodes(pages)
     nodes = F.col("nodes")
     texts = lambda fragment, within=None: F.transform(F.filter(nodes, lambda n: n.id.contains(fragment) & (
         F.lit(True) if within is None else n.within.contains(within))), lambda n: n.inner)
-    block = _first(nodes, _by_id(S.ID_CONTACT_BLOCK))
+    said = lambda t: (lambda n: (n.tag == "a") & F.lower(collapse(n.content)).contains(t.lower()))
+    anchors = [_first(nodes, _href(h)) for h in S.DCE_HREFS] + [_first(nodes, said(t)) for t in S.DCE_TEXTS]
+    # what several fields or several branches of one need is sought once, in a step of its own
+    rows = page_nodes(pages).withColumns({
+        "_block": _first(nodes, _by_id(S.ID_CONTACT_BLOCK)), "_estimate": best_text(texts(S.ID_ESTIMATE)),
+        "_bubble": _first(nodes, _bubble(S.ID_OBJECT)), "_panel": _first(nodes, _by_id(S.ID_OBJECT)), "_anchor": F.coalesce(*anchors),
+        "_award": strip(F.coalesce(*[_first(nodes, _by_id(i)) for i in S.AWARD_IDS])["inner"])})
+    block, estimate, bubble, panel, anchor, award = (F.col(f"_{c}") for c in ("block", "estimate", "bubble", "panel", "anchor", "award"))
     inside = F.concat(F.lit(" "), block["id"], F.lit(" "))
     in_block = lambda c: F.when(block.isNotNull(), c).otherwise(F.lit(""))
-    estimate = best_text(texts(S.ID_ESTIMATE))
-    bubble, panel = _first(nodes, _bubble(S.ID_OBJECT)), _first(nodes, _by_id(S.ID_OBJECT))
     without = lambda node, label: strip(F.replace(node["inner"], F.lit(label), F.lit("")))
-    said = lambda t: (lambda n: (n.tag == "a") & F.lower(collapse(n.content)).contains(t.lower()))
-    anchors = [_first(nodes, _href(h)) for h in S.DCE_HREFS] + [_first(nodes, said(t)) for t in S.DCE_TEXTS]
-    anchor = F.coalesce(*anchors)
-    award = strip(F.coalesce(*[_first(nodes, _by_id(i)) for i in S.AWARD_IDS])["inner"])
     empty = F.lit("")
     fields = {
         "objet": F.coalesce(F.when(bubble.isNotNull(), strip(bubble["inner"])), without(panel, "Objet :"), empty),

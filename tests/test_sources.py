@@ -255,3 +255,21 @@ def test_outcomes_read_archives_once(spark):
     assert failed._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
     none, gone = "Aucun PDF dans le ZIP", "ZIP introuvable"
     assert sorted((r.tender_id, r.error) for r in failed.collect()) == [(2, none), (3, gone), (4, gone), (5, none)]
+
+
+def test_whole_tags_are_read_in_one_match(monkeypatch):
+    """Ordinary tags are never walked sign by sign; odd ones are read as the walk alone reads them."""
+    from tenderloom.sources.pages import DETAIL_MARKS, ROW_MARKS, _Page, _Scanner
+
+    bits = ["<", "</", ">", "a", "td", "tr", "table", "div", "script", "</script>", "<!--", "-->", "<!", "=", " ", "\n", "\"", "'", "id=", "class=", "href=",
+            "/", "&amp;", "_panelBlocObjet", "info-bulle", "<br>", "<p>", "<td id='k_panelBlocObjet'>", "</div>", "<a href=\"/x>y\">"]
+    rng = random.Random(7)
+    sources = ["".join(rng.choices(bits, k=rng.randint(1, 30))) for _ in range(3000)] + ["<a x=" + "y" * 5000 + "><b>1</b>", ROW]
+    read = lambda: [[(n["tag"], n["id"], n["css"], n["href"], n["within"], page.texts(n)) for n in page.found]
+                    for source in sources for marks in (DETAIL_MARKS, ROW_MARKS) for page in [_Page(source, marks)]]
+    found = read()
+    monkeypatch.setattr(pages, "_TAG_CHARS", 0)
+    assert read() == found
+    monkeypatch.undo()
+    monkeypatch.delattr(_Scanner, "_end")
+    assert [n["tag"] for n in _Page(ROW * 3, ROW_MARKS).found].count("a") == 3
