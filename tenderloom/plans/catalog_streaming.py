@@ -25,7 +25,7 @@ def in_waves(spark, rows: DataFrame, order: Column, cuts: tuple, name: str, step
             wave = wave.filter(order >= low)
         if high is not None:
             wave = wave.filter(order < high)
-        wave.write.mode("append").parquet(f"{root}/landing")
+        wave.write.mode("append").option("compression", "zstd").parquet(f"{root}/landing")
         done = ingest.run_available(ingest.landing(spark, f"{root}/landing", rows.schema), step(root), root, name)
     return root, done
 

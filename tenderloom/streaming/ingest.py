@@ -12,6 +12,7 @@ from tenderloom.session import broadcast_if_small
 from tenderloom.streaming import state
 
 LOGGED = ["status", "estimation"]
+SEEDS = ["id", "url_id", "reference", "hash_content"]     # of the stored rows, what a batch is held against
 
 
 def landing(spark, path: str, schema) -> DataFrame:
@@ -37,11 +38,12 @@ def listing_step(root: str, initial: DataFrame, as_of: Column) -> Callable[[Data
     are few, the stored table is scanned but neither shuffled nor rewritten.
     """
     def step(batch: DataFrame, n: int) -> None:
-        stored = state.read(batch.sparkSession, root, "tenders", n - 1, initial)
-        effects = state.put(upsert.upsert_effects(stored, batch), root, "effects", n)
-        rows = state.write(upsert.changed_rows(stored, effects, as_of), root, "tenders", n, initial)
-        known = broadcast_if_small(rows.select("id"))
-        state.put(history.change_log(stored.join(known, "id", "left_semi"), rows, LOGGED, as_of), root, "log", n)
+        stored = lambda columns=None: state.read(batch.sparkSession, root, "tenders", n - 1, initial, columns)
+        effects = state.put(upsert.upsert_effects(stored(SEEDS), batch), root, "effects", n)
+        rows = state.write(upsert.changed_rows(stored(), effects, as_of), root, "tenders", n, initial)
+        # a new row is none of the stored ones and in no event
+        known = broadcast_if_small(effects.filter(~F.col("is_new")).select("id"))
+        state.put(history.change_log(stored(["id", *LOGGED]).join(known, "id", "left_semi"), rows, LOGGED, as_of), root, "log", n)
     return step
 
 

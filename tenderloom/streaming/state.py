@@ -23,8 +23,14 @@ def overlay(base: DataFrame, changes: DataFrame) -> DataFrame:
     return base.join(changes.select("id"), "id", "left_anti").unionByName(changes)
 
 
-def read(spark: SparkSession, root: str, table: str, version: int, initial: DataFrame) -> DataFrame:
-    """State after batch ``version``; before the first batch it is ``initial``."""
+def read(spark: SparkSession, root: str, table: str, version: int, initial: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    """State after batch ``version``; before the first batch it is ``initial``.
+
+    With ``columns`` (``id`` among them) only these are read: the newest change of an id is found among whole rows, which no
+    later choice of columns makes narrower.
+    """
+    if columns is not None:
+        initial = initial.select(*columns)
     base_version = (version + 1) // COMPACT_EVERY * COMPACT_EVERY - 1
     base = initial if base_version < 0 else spark.read.schema(initial.schema).parquet(_path(root, table, "base", base_version))
     paths = [_path(root, table, "changes", v) for v in range(base_version + 1, version + 1)]
@@ -42,14 +48,15 @@ def write(changes: DataFrame, root: str, table: str, version: int, initial: Data
     if (version + 1) % COMPACT_EVERY == 0:
         spark = changes.sparkSession
         before = read(spark, root, table, version - 1, initial)
-        overlay(before, rows).write.mode("overwrite").parquet(_path(root, table, "base", version))
+        overlay(before, rows).write.mode("overwrite").option("compression", "zstd").parquet(
+            _path(root, table, "base", version))
     return rows
 
 
 def put(df: DataFrame, root: str, table: str, version: int) -> DataFrame:
     """Write one batch's rows under its version and read them back."""
     path = f"{root}/{table}/v={version}"
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -221,3 +221,15 @@ def test_orphans_are_looked_up_by_pair(spark, tmp_path, monkeypatch):
     founders = {r.seq: r.id for r in orphans.collect()}
     want = [founders[0], 7, 8, founders[3]]
     assert sorted(founders) == [0, 3] and {r.seq: r.tender_id for r in linked.collect()} == {i: want[i % 4] for i in range(400)}
+
+
+def test_a_few_columns_of_the_state_are_read_alone(spark, tmp_path):
+    """The newest change of an id, with the other columns neither read nor moved."""
+    initial = spark.createDataFrame([(1, "a", "x"), (2, "b", "y")], "id long, s string, wide string")
+    for n in range(2):
+        state.write(spark.createDataFrame([(2, f"b{n}", "z"), (3 + n, "new", "z")], initial.schema), str(tmp_path), "t", n, initial)
+    narrow = state.read(spark, str(tmp_path), "t", 1, initial, ["id", "s"])
+    assert {tuple(r) for r in narrow.collect()} == {(1, "a"), (2, "b1"), (3, "new"), (4, "new")}
+    plan = narrow._jdf.queryExecution().executedPlan().toString()
+    read = [line.split("ReadSchema: ")[1] for line in plan.splitlines() if "ReadSchema: " in line]
+    assert read and not any("wide" in schema for schema in read)
