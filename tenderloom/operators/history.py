@@ -21,10 +21,16 @@ def _as_text(df: DataFrame, side: str, field: str) -> Column:
 
 
 def change_log(old: DataFrame, new: DataFrame, fields: list[str], changed_at: Column,
-               strict: tuple[str, ...] = ("status",)) -> DataFrame:
+               strict: tuple[str, ...] = ("status",), within: str | None = None) -> DataFrame:
     """One row per changed field. Fields in ``strict`` compare with plain inequality (a null on either
-    side is no change), the others null-safely. One join, then the watched fields are unfolded in place."""
-    joined = old.select("id", *fields).alias("o").join(new.select("id", "reference", *fields).alias("n"), "id")
+    side is no change), the others null-safely. One join, then the watched fields are unfolded in place.
+    Where both sides are dealt by a column that a row keeps (``within``), they are joined on it and ids are compared there."""
+    if within is None:
+        joined = old.select("id", *fields).alias("o").join(new.select("id", "reference", *fields).alias("n"), "id")
+    else:
+        same = (F.col("_o") == F.col("_n")) & F.col("o.id").between(F.col("n.id"), F.col("n.id"))
+        joined = old.select(F.col(within).alias("_o"), F.struct("id", *fields).alias("o")).join(
+            new.select(F.col(within).alias("_n"), F.struct("id", "reference", *fields).alias("n")), same).withColumn("id", F.col("o.id"))
     events = []
     for f in fields:
         before, after = F.col(f"o.{f}"), F.col(f"n.{f}")

@@ -11,10 +11,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tenderloom.functions.keys import surrogate_id, tender_key
-from tenderloom.session import broadcast_if_small
+from tenderloom.functions.keys import packed, surrogate_id, tender_key, unpacked
+from tenderloom.operators.common import spread_nulls
+from tenderloom.session import BROADCAST_ROWS, broadcast_if_small
 
 PAGES_PER_BLOCK = 256
+BINS = 4096                # of keys, by hash; what a crowded bin holds is cut into blocks
+CROWDED_ROWS = 100_000     # a bin of fewer rows is never crowded
 _INSERT = ["reference", "date_publication", "date_limite", "lien_detail", "objet", "acheteur", "url_id"]
 
 
@@ -49,15 +52,33 @@ def change_flags(batch: DataFrame, stored: DataFrame | None = None) -> DataFrame
                            .otherwise(start)).drop("before", "pos", "block", "tail_before", "seed")
 
 
-def _summaries(rows: DataFrame) -> DataFrame:
-    """One row per key and page block: its first row, its last hash, and what was applied after the first."""
-    rows = rows.withColumn("block", F.floor(F.col("page") / PAGES_PER_BLOCK))
-    chain = Window.partitionBy("key", "block").orderBy("page", "row")
+def _crowded(rows: DataFrame) -> list[int]:
+    """Bins that hold many more rows than most do, so maybe a key with a large part of them. At most ``BINS`` counts are moved a task."""
+    counts = {r.bin: r.n for r in rows.groupBy(_bin(F.col("key")).alias("bin")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    return sorted(b for b, n in counts.items() if n > max(CROWDED_ROWS, 8 * sum(counts.values()) / BINS))
+
+
+def _bin(key: Column) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(BINS))
+
+
+def dealt_by(rows: DataFrame, key: Column, parts: int, hashes: list[str]) -> DataFrame:
+    """The rows, moved to the partitions of their ``key``, which becomes a column behind the move; hashes are short on the way."""
+    return rows.withColumns({h: packed(F.col(h)) for h in hashes}).repartition(parts, key).withColumns(
+        {**{h: unpacked(F.col(h)) for h in hashes}, "key": key})
+
+
+def _summaries(rows: DataFrame, cut: bool = True) -> DataFrame:
+    """One row per key and page block (per key, if not ``cut``): its first row, its last hash, and what was applied after the first."""
+    by = ["key", "block"] if cut else ["key"]
+    if cut:
+        rows = rows.withColumn("block", F.floor(F.col("page") / PAGES_PER_BLOCK))
+    chain = Window.partitionBy(*by).orderBy("page", "row")
     rows = rows.withColumns({"pos": F.row_number().over(chain), "before": F.lag("page_hash").over(chain)})
     rows = rows.withColumn("applied", (F.col("pos") > 1) & changed(F.col("before"), F.col("page_hash")))
     at = lambda when: F.when(when, F.col("pos"))
     applied = F.col("applied")
-    return rows.groupBy("key", "block").agg(
+    return rows.groupBy(*by).agg(
         F.min_by(F.struct(*_INSERT, F.col("page_hash")), "pos").alias("first"),
         F.max_by(F.struct("page_hash"), "pos").alias("tail"),
         F.count_if(applied).alias("n_applied"),
@@ -82,15 +103,48 @@ def _seeds(stored: DataFrame) -> DataFrame:
         F.sum(F.when(~F.col("own"), F.col("id").cast("decimal(28,0)"))).alias("moved"))
 
 
+def _held_seeds(blocks: DataFrame, stored: DataFrame, layers: list[DataFrame], parts: int) -> DataFrame:
+    """The same look-up where the state's layers are dealt by key, like the blocks: only the references that were left are moved.
+
+    A key's rows in a later layer are its seed as it was changed, or the row that was new then, so the last layer that has the key counts.
+    """
+    blocks = blocks.withColumn("seed", F.lit(None).cast("struct<id:bigint,hash_content:string>"))
+    for layer in reversed(layers):
+        own = layer.groupBy("key").agg(F.min_by(F.struct("id", "hash_content"), "id").alias("own"))
+        blocks = blocks.join(own, "key", "left").withColumn("seed", F.coalesce("seed", "own")).drop("own")
+    left = stored.filter(F.col("url_id") != "").groupBy(tender_key(F.lit(""), F.col("reference")).alias("key")).agg(
+        F.sum(F.col("id").cast("decimal(28,0)")).alias("moved"))
+    return blocks.join(left.repartition(parts, "key"), "key", "left")
+
+
 def _new_id(key: Column, moved: Column) -> Column:
     return F.when(moved.isNull(), surrogate_id(key)).otherwise(surrogate_id(F.concat(key, F.lit("|"), moved.cast("string"))))
 
 
-def upsert_effects(stored: DataFrame, batch: DataFrame) -> DataFrame:
-    """What a listing batch does to each of its keys (exactly as if its rows came one by one)."""
+def upsert_effects(stored: DataFrame, batch: DataFrame, layers: list[DataFrame] | None = None, parts: int = 0) -> DataFrame:
+    """What a listing batch does to each of its keys (exactly as if its rows came one by one).
+
+    ``layers`` are those of ``stored``, the oldest first, all dealt by key into ``parts``: the rows are then moved once, by key, and the
+    layers stay where they are. Keys that may hold a large part of the rows still go by blocks.
+    """
     rows = batch.withColumn("key", tender_key(F.col("url_id"), F.col("reference")))
-    blocks = _summaries(rows)
-    blocks = blocks.join(_seeds(stored), "key", "left")
+    if layers is None:
+        return _effects(_summaries(rows).join(_seeds(stored), "key", "left"))
+    key = tender_key(F.col("url_id"), F.col("reference"))
+    crowded = _crowded(rows)
+    in_crowd = _bin(key).isin(crowded)
+    whole = _summaries(dealt_by(batch.filter(~in_crowd) if crowded else batch, key, parts, ["page_hash"]), cut=False)
+    whole = whole.withColumn("block", F.lit(0))
+    effects = _effects(_held_seeds(whole, stored, layers, parts))
+    if crowded:
+        cut = _summaries(rows.filter(in_crowd)).repartition(parts, "key")
+        effects = effects.unionByName(_effects(_held_seeds(cut, stored, layers, parts)))
+    # what a stored row's first row said is in the other columns; only a new row is made of it
+    return effects.withColumn("first", F.when(F.col("is_new"), F.col("first")))
+
+
+def _effects(blocks: DataFrame) -> DataFrame:
+    """Block summaries, with what is stored of their keys, joined up per key."""
     chain = Window.partitionBy("key").orderBy("block")
     blocks = blocks.withColumns({"n": F.row_number().over(chain), "tail_before": F.lag("tail").over(chain)})
     unseen = F.col("seed").isNull()
@@ -134,6 +188,8 @@ def _merged(cols: list[str], as_of: Column, hit: Column, new: Column) -> dict[st
         "created_at": F.when(new, as_of).otherwise(F.col("s.created_at")),
         "updated_at": F.when(hit | new, as_of).otherwise(F.col("s.updated_at")),
     }
+    if "key" in cols:
+        out["key"] = spread_nulls(F.coalesce("s.key", "e.key"), out["id"])
     for name in ("reference", "date_publication", "lien_detail"):
         out[name] = F.when(new, F.col(f"e.first.{name}")).otherwise(F.col(f"s.{name}"))
     return {c: out.get(c, F.col(f"s.{c}")) for c in cols}
@@ -151,12 +207,27 @@ def apply_effects(stored: DataFrame, effects: DataFrame, as_of: Column) -> DataF
     return joined.select(*[v.alias(k) for k, v in _merged(stored.columns, as_of, hit, new).items()])
 
 
-def changed_rows(stored: DataFrame, effects: DataFrame, as_of: Column) -> DataFrame:
+def looked_up(effects: DataFrame, layers: list[DataFrame]) -> DataFrame:
+    """``e``, an effect, and ``s``, the stored row it hits as the last layer that has it holds it (null for a new row). All are dealt by key,
+    so nothing is moved; the id is compared beside the key, not as a second key."""
+    found = effects.select("key", F.struct("*").alias("e"), F.lit(None).cast(layers[0].schema).alias("s"))
+    for i, layer in enumerate(reversed(layers)):
+        there = layer.select(F.col("key").alias("_key"), F.struct(*layers[0].columns).alias("_s"))
+        hit = (F.col("key") == F.col("_key")) & F.col("_s.id").between(F.col("e.id"), F.col("e.id")) & ~F.col("e.is_new") & F.col("s").isNull()
+        found = found.join(there, hit, "left").select("key", "e", F.coalesce("s", "_s").alias("s"))
+    return found
+
+
+def changed_rows(stored: DataFrame, effects: DataFrame, as_of: Column, layers: list[DataFrame] | None = None) -> DataFrame:
     """Only the rows a batch touched, as they are afterwards, and the new ones.
 
     For a batch that is small beside the table: the stored rows are not shuffled when the counted effects
-    fit a broadcast.
+    fit a broadcast. With ``layers`` (see :func:`upsert_effects`) they never are.
     """
+    if layers is not None and effects.limit(BROADCAST_ROWS + 1).count() > BROADCAST_ROWS:
+        new = F.col("e.is_new")
+        rows = looked_up(effects, layers).filter(new | F.col("s").isNotNull())
+        return rows.select(*[v.alias(k) for k, v in _merged(stored.columns, as_of, ~new, new).items()])
     known = broadcast_if_small(effects.filter(~F.col("is_new")))
     true, false = F.lit(True), F.lit(False)
     hit = stored.alias("s").join(known.alias("e"), F.col("s.id") == F.col("e.id"))

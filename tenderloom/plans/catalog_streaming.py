@@ -30,16 +30,21 @@ def in_waves(spark, rows: DataFrame, order: Column, cuts: tuple, name: str, step
     return root, done
 
 
+ROWS_PER_BUCKET = 1_000_000     # of the stored rows and all that will land, together
+
+
 def _listing(spark, d):
-    initial = cut_lineage(B.stored_tenders(spark, d), "stored")   # the stored table, as a table
-    return initial, in_waves(spark, B.listing_batch(spark, d), F.col("page"), (800, 1600), "listing",
-                             lambda root: ingest.listing_step(root, initial, C._now()))
+    stored, rows = B.stored_tenders(spark, d), B.listing_batch(spark, d)
+    buckets = max(spark.sparkContext.defaultParallelism, -(-(stored.count() + rows.count()) // ROWS_PER_BUCKET))
+    initial, buckets = ingest.held_by_key(stored, scratch_path(spark, "stored"), buckets)   # the stored table, as a table
+    return initial, buckets, in_waves(spark, rows, F.col("page"), (800, 1600), "listing",
+                                      lambda root: ingest.listing_step(root, initial, C._now(), buckets))
 
 
 @query("r01_listing_stream", None)
 def r01(spark, d):
-    initial, (root, n) = _listing(spark, d)
-    out = state.latest(spark, root, "tenders", initial, n)
+    initial, buckets, (root, n) = _listing(spark, d)
+    out = state.latest(spark, root, "tenders", initial, n, buckets)
     is_new = F.col("created_at") == C._now()
     return out.select(F.when(~is_new, F.col("id")).alias("id"), "url_id", "reference", "date_publication", "date_limite",
                       "lien_detail", "objet", "acheteur", "hash_content", "status", "retry_count",
@@ -72,5 +77,5 @@ ORACLE["r03_stage_stream"] = ORACLE["u04_failures"]
 @query("r04_change_log_stream", C.LISTING_SQL + """SELECT s.id AS tender_id, s.reference, 'status' AS field, s.status AS old_value, 'TO_ENRICH' AS new_value
     FROM stored_tenders s JOIN eff e ON e.sid = s.id WHERE e.n_updated > 0 AND s.status <> 'TO_ENRICH'""")
 def r04(spark, d):
-    _, (root, _) = _listing(spark, d)
+    _, _, (root, _) = _listing(spark, d)
     return ingest.change_log(spark, root).select("tender_id", "reference", "field", "old_value", "new_value")

@@ -7,11 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tenderloom.functions.keys import tender_key
 from tenderloom.operators import history, minutes, outcomes, upsert
-from tenderloom.session import broadcast_if_small
+from tenderloom.operators.common import spread_nulls
+from tenderloom.session import broadcast_if_small, cut_lineage
 from tenderloom.streaming import state
 
 LOGGED = ["status", "estimation"]
+HASHES = ["tender_hash", "hash_content", "hash_dce", "detail_hash"]
 SEEDS = ["id", "url_id", "reference", "hash_content"]     # of the stored rows, what a batch is held against
 
 
@@ -31,19 +34,38 @@ def run_available(source: DataFrame, step: Callable[[DataFrame, int], None], roo
     return 0 if last is None else last + 1
 
 
-def listing_step(root: str, initial: DataFrame, as_of: Column) -> Callable[[DataFrame, int], None]:
+def held_by_key(stored: DataFrame, path: str, n: int) -> tuple[DataFrame, state.Buckets | None]:
+    """The stored tenders written in ``n`` buckets by their key; without a key and buckets where an id stands for several keys."""
+    key = tender_key(F.col("url_id"), F.col("reference"))
+    tags = stored.groupBy("id").agg(F.count(F.lit(1)).alias("n"), F.min(F.xxhash64(key)).alias("a"), F.max(F.xxhash64(key)).alias("b"))
+    found = tags.agg(F.max("n").alias("n"), F.count_if(F.col("a") != F.col("b")).alias("several")).first()
+    if found.several:
+        return cut_lineage(stored, "stored"), None
+    buckets = state.Buckets(n, repeats=(found.n or 0) > 1)
+    hashes = [c for c in stored.columns if c in HASHES]
+    return state.write_buckets(upsert.dealt_by(stored, spread_nulls(key, F.col("id")), n, hashes), path, buckets), buckets
+
+
+def listing_step(root: str, initial: DataFrame, as_of: Column, buckets: state.Buckets | None = None) -> Callable[[DataFrame, int], None]:
     """Upsert a listing batch; write the changed tenders, the effects (hence the counters) and the change log.
 
     The effects are written once and read back, so the batch is worked off a single time. When they
-    are few, the stored table is scanned but neither shuffled nor rewritten.
+    are few, the stored table is scanned but neither shuffled nor rewritten. With ``buckets`` (see :func:`held_by_key`) a batch's rows are
+    moved to the state's buckets once and the state is never moved.
     """
     def step(batch: DataFrame, n: int) -> None:
-        stored = lambda columns=None: state.read(batch.sparkSession, root, "tenders", n - 1, initial, columns)
-        effects = state.put(upsert.upsert_effects(stored(SEEDS), batch), root, "effects", n)
-        rows = state.write(upsert.changed_rows(stored(), effects, as_of), root, "tenders", n, initial)
+        stored = lambda columns=None: state.read(batch.sparkSession, root, "tenders", n - 1, initial, columns, buckets)
+        layers = lambda columns=None: state.layers(batch.sparkSession, root, "tenders", n - 1, initial, buckets, columns) if buckets else None
+        effects = state.put(upsert.upsert_effects(stored(SEEDS), batch, layers(SEEDS), buckets.n if buckets else 0), root, "effects", n, buckets)
+        rows = state.write(upsert.changed_rows(stored(), effects, as_of, layers()), root, "tenders", n, initial, buckets)
         # a new row is none of the stored ones and in no event
-        known = broadcast_if_small(effects.filter(~F.col("is_new")).select("id"))
-        state.put(history.change_log(stored(["id", *LOGGED]).join(known, "id", "left_semi"), rows, LOGGED, as_of), root, "log", n)
+        hit = effects.filter(~F.col("is_new"))
+        if buckets:
+            old = upsert.looked_up(hit.select("key", "id", "is_new"), layers(["id", *LOGGED])).filter("s.id IS NOT NULL")
+            old = old.select("key", *[f"s.{c}" for c in ("id", *LOGGED)])
+        else:
+            old = stored(["id", *LOGGED]).join(broadcast_if_small(hit.select("id")), "id", "left_semi")
+        state.put(history.change_log(old, rows, LOGGED, as_of, within="key" if buckets else None), root, "log", n)
     return step
 
 

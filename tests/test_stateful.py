@@ -233,3 +233,71 @@ def test_a_few_columns_of_the_state_are_read_alone(spark, tmp_path):
     plan = narrow._jdf.queryExecution().executedPlan().toString()
     read = [line.split("ReadSchema: ")[1] for line in plan.splitlines() if "ReadSchema: " in line]
     assert read and not any("wide" in schema for schema in read)
+
+
+def plan_without_broadcasts(spark, make):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        return make()._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_a_state_held_by_key_is_never_moved(spark, tmp_path, monkeypatch):
+    """Change sets over a base in buckets: the rows that a state moved by id has, one batch run twice, and a base written anew."""
+    monkeypatch.setattr(state, "COMPACT_EVERY", 3)
+    ddl, buckets = "id long, x string, key string", state.Buckets(4)
+    rows = lambda some: spark.createDataFrame([(i, x, f"k{i // 2}") for i, x in some], ddl)
+    initial = state.write_buckets(rows([(i, "old") for i in range(6)]), str(tmp_path / "first"), buckets)
+    want = {i: "old" for i in range(6)}
+    for n in range(3):
+        some = [(n, f"n{n}"), (100 + n, f"new{n}")]
+        want.update(some)
+        for _ in range(2 if n == 1 else 1):
+            state.write(rows(some * 2 if n == 0 else some), str(tmp_path), "t", n, initial, buckets)     # an id twice in one set
+        held = state.latest(spark, str(tmp_path), "t", initial, n + 1, buckets)
+        assert sorted((r.id, r.x) for r in held.collect()) == sorted(want.items())
+    read = lambda: state.read(spark, str(tmp_path), "t", 1, initial, ["id", "x"], state.Buckets(4, repeats=False))
+    plan = plan_without_broadcasts(spark, read)
+    assert plan.count("LeftAnti") == 3 and "Exchange" not in plan
+
+
+def test_rows_of_a_batch_are_moved_once_to_a_state_held_by_key(spark, tmp_path, monkeypatch):
+    """The effects and the changed rows of stored tables that are moved, with one move of the batch, one of the references that were left
+    (as sums), and none of the stored rows. A key with most of the rows is cut into blocks of pages all the same."""
+    stored, batch = random_case(random.Random(3))
+    batch += [{"page": p, "row": 0, "url_id": "1", "reference": "R1", "date_limite": f"d{p}", "objet": f"o{p % 3}", "acheteur": "", "page_hash": "abc"[p % 7 % 3]}
+              for p in range(0, 900, 9)]
+    s, b = map(cut_lineage, frames(spark, stored, batch))
+    held, buckets = ingest.held_by_key(s, str(tmp_path / "s"), 4)
+    shown = lambda e: sorted(str(r) for r in e.withColumn("first", F.when(F.col("is_new"), F.col("first"))).select(
+        "id", "key", "is_new", "first", "new_hash", "n_updated", "limit_set", "objet_set", "acheteur_set").collect())
+    plain = cut_lineage(upsert.upsert_effects(s, b))
+    plan = plan_without_broadcasts(spark, lambda: upsert.upsert_effects(held, b, [held], 4))
+    assert plan.count("Exchange ") <= 3 and "hashpartitioning(key#" not in "".join(x for x in plan.splitlines() if "Exchange" in x and "block" in x)
+    effects = state.write_buckets(upsert.upsert_effects(held, b, [held], 4), str(tmp_path / "e"), buckets)
+    assert shown(effects) == shown(plain)
+    monkeypatch.setattr(upsert, "BROADCAST_ROWS", 0)
+    rows = lambda: upsert.changed_rows(held, effects, NOW(), [held])
+    assert sorted(map(str, rows().drop("key").collect())) == sorted(map(str, upsert.changed_rows(s, plain, NOW()).collect()))
+    assert "Exchange" not in plan_without_broadcasts(spark, rows)
+    monkeypatch.setattr(upsert, "CROWDED_ROWS", 50)
+    monkeypatch.setattr(upsert, "BINS", 64)
+    assert shown(upsert.upsert_effects(held, b, [held], 4)) == shown(plain)
+    assert len(upsert._crowded(b.withColumn("key", upsert.tender_key(F.col("url_id"), F.col("reference"))))) == 1
+
+
+def test_an_id_of_two_keys_is_not_held_by_key(spark, tmp_path):
+    rows = [{"id": 1, "url_id": u, "reference": "R", "date_limite": "d", "objet": "o", "acheteur": "a", "hash_content": "h", "status": "DONE"} for u in "12"]
+    initial, buckets = ingest.held_by_key(frames(spark, rows, [])[0], str(tmp_path / "s"), 4)
+    assert buckets is None and "key" not in initial.columns and initial.count() == 2
+
+
+def test_hashes_are_packed_without_loss(spark):
+    from tenderloom.functions.keys import packed, unpacked
+    texts = ["", "é", "0" * 32, "ab" * 16, "AB" * 16, "ab" * 32, "a" * 33, "ab" * 16 + "\n", "\u0001" + "x" * 15, None]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select("t", packed(F.col("t")).alias("p"))
+    got = rows.select("t", unpacked(F.col("p")).alias("u"), F.length("p").alias("n"), "p").collect()
+    assert all(r.t == r.u for r in got) and len({bytes(r.p) for r in got if r.p is not None}) == len(texts) - 1
+    assert [r.n for r in got if r.t in ("ab" * 16, "ab" * 32)] == [17, 33]
