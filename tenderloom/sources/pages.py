@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import re
 from bisect import bisect_left
-from collections import Counter
+from collections import defaultdict
 from collections.abc import Iterator
 from functools import cache
 from html import unescape
@@ -35,6 +35,7 @@ _DDL_NODES = f"page_id long, page_hash string, nodes array<{_DDL_NODE}>"
 
 
 _OPENING = re.compile(r"<(?:(!--)|(!)|(script|style)\b|(/?)[a-z])", re.I)
+_SCRIPTS = ("script", "style")
 _CLOSING = {tag: re.compile(rf"</{tag}\s*>", re.I) for tag in ("script", "style")}
 _NAME_END, _SIGN = re.compile(r"[\s/>]"), re.compile("[=>]")
 # A quote delimits a value only behind an equals sign; elsewhere it is a sign like any other.
@@ -76,7 +77,18 @@ class _Scanner:
     def tags(self) -> Iterator[tuple[int, int, bool, str, str]]:
         """(start, end, whether it closes, name, attributes); the name is empty for comments, declarations, scripts and styles."""
         source, at, untried = self.source, 0, 4
-        while (m := _OPENING.search(source, at)) and m.start() < self.last:
+        while True:
+            if untried and _TAG_CHARS:
+                # text up to the next sign, then an ordinary tag right there
+                start = source.find("<", at)
+                if 0 <= start < self.last and (tag := _TAG.match(source, start, start + _TAG_CHARS)) and (
+                        name := tag[1].lower()) not in _CLOSING and not name.startswith(_SCRIPTS):
+                    at = tag.end()
+                    yield start, at, source[start + 1] == "/", name, tag[2]
+                    continue
+            m = _OPENING.search(source, at)
+            if not m or m.start() >= self.last:
+                return
             start = m.start()
             if untried and m[4] is not None:
                 if tag := _TAG.match(source, start, start + _TAG_CHARS):
@@ -152,7 +164,7 @@ class _Page:
         self.inner: list[str] = []
         self.found: list[dict] = []
         self.open: list[dict] = []
-        self.open_tags: Counter[str] = Counter()
+        self.open_tags: defaultdict[str, int] = defaultdict(int)
         at = 0
         for start, end, closes, tag, attributes in _Scanner(source).tags():
             if start > at:
@@ -208,7 +220,11 @@ class _Page:
             self.open_tags[tag] += 1
 
     def _end(self, tag: str) -> None:
-        if self.open_tags[tag]:
+        if self.open and self.open[-1]["tag"] == tag:     # as a rule the innermost one ends
+            node = self.open.pop()
+            node["last"], node["text_to"] = len(self.found), len(self.raw)
+            self.open_tags[tag] -= 1
+        elif self.open_tags[tag]:
             i = len(self.open) - 1
             while self.open[i]["tag"] != tag:
                 i -= 1
@@ -253,26 +269,20 @@ class _Lists:
     """Nested Arrow lists, column by column: plain value lists and the offsets of each level."""
 
     def __init__(self) -> None:
-        self.nodes: dict[str, list] = {f.name: [] for f in _PA_NODE}
+        self.nodes: list[tuple] = []
         self.size = 0
 
     def add(self, page: _Page, n: dict) -> None:
         content, inner = page.texts(n)
-        tag, ident, css, href, within, contents, inners = self.nodes.values()
-        tag.append(n["tag"])
-        ident.append(n["id"])
-        css.append(n["css"])
-        href.append(n["href"])
-        within.append(n["within"])
-        contents.append(content)
-        inners.append(inner)
+        self.nodes.append((n["tag"], n["id"], n["css"], n["href"], n["within"], content, inner))
         self.size += len(content) + len(inner) + 64
 
     def count(self) -> int:
-        return len(self.nodes["tag"])
+        return len(self.nodes)
 
     def array(self) -> pa.StructArray:
-        return pa.StructArray.from_arrays([pa.array(v, pa.string()) for v in self.nodes.values()], fields=list(_PA_NODE))
+        columns = zip(*self.nodes) if self.nodes else [()] * len(_PA_NODE)
+        return pa.StructArray.from_arrays([pa.array(v, pa.string()) for v in columns], fields=list(_PA_NODE))
 
 
 _FLUSH = 1 << 23   # characters per Arrow batch, so a batch stays small whatever the pages are like
@@ -410,16 +420,20 @@ def minutes_rows(pages: DataFrame, base: str) -> DataFrame:
 
 def detail_records(pages: DataFrame, base: str) -> DataFrame:
     """Detail records, one per page."""
-    nodes = F.col("nodes")
-    texts = lambda fragment, within=None: F.transform(F.filter(nodes, lambda n: n.id.contains(fragment) & (
-        F.lit(True) if within is None else n.within.contains(within))), lambda n: n.inner)
-    said = lambda t: (lambda n: (n.tag == "a") & F.lower(collapse(n.content)).contains(t.lower()))
-    anchors = [_first(nodes, _href(h)) for h in S.DCE_HREFS] + [_first(nodes, said(t)) for t in S.DCE_TEXTS]
+    nodes, links = F.col("nodes"), F.col("_links")
+    # a fragment that is in none of the ids isn't sought element by element
+    there = lambda fragment: F.col("_ids").contains(fragment)
+    texts = lambda fragment, within=None: F.when(there(fragment), F.transform(F.filter(nodes, lambda n: n.id.contains(fragment) & (
+        F.lit(True) if within is None else n.within.contains(within))), lambda n: n.inner)).otherwise(F.array().cast("array<string>"))
+    by_id = lambda fragment: F.when(there(fragment), _first(nodes, _by_id(fragment)))
+    said = lambda t: (lambda n: F.lower(collapse(n.content)).contains(t.lower()))
+    anchors = [_first(links, _href(h)) for h in S.DCE_HREFS] + [_first(links, said(t)) for t in S.DCE_TEXTS]
     # what several fields or several branches of one need is sought once, in a step of its own
     rows = page_nodes(pages).withColumns({
-        "_block": _first(nodes, _by_id(S.ID_CONTACT_BLOCK)), "_estimate": best_text(texts(S.ID_ESTIMATE)),
-        "_bubble": _first(nodes, _bubble(S.ID_OBJECT)), "_panel": _first(nodes, _by_id(S.ID_OBJECT)), "_anchor": F.coalesce(*anchors),
-        "_award": strip(F.coalesce(*[_first(nodes, _by_id(i)) for i in S.AWARD_IDS])["inner"])})
+        "_ids": F.array_join(F.transform(nodes, lambda n: n.id), "\n"), "_links": F.filter(nodes, lambda n: n.tag == "a")}).withColumns({
+        "_block": by_id(S.ID_CONTACT_BLOCK), "_estimate": best_text(texts(S.ID_ESTIMATE)),
+        "_bubble": _first(nodes, _bubble(S.ID_OBJECT)), "_panel": by_id(S.ID_OBJECT), "_anchor": F.coalesce(*anchors),
+        "_award": strip(F.coalesce(*[by_id(i) for i in S.AWARD_IDS])["inner"])})
     block, estimate, bubble, panel, anchor, award = (F.col(f"_{c}") for c in ("block", "estimate", "bubble", "panel", "anchor", "award"))
     inside = F.concat(F.lit(" "), block["id"], F.lit(" "))
     in_block = lambda c: F.when(block.isNotNull(), c).otherwise(F.lit(""))
@@ -427,7 +441,7 @@ def detail_records(pages: DataFrame, base: str) -> DataFrame:
     empty = F.lit("")
     fields = {
         "objet": F.coalesce(F.when(bubble.isNotNull(), strip(bubble["inner"])), without(panel, "Objet :"), empty),
-        "acheteur": F.coalesce(without(_first(nodes, _by_id(S.ID_BUYER)), "Acheteur public :"), empty),
+        "acheteur": F.coalesce(without(by_id(S.ID_BUYER), "Acheteur public :"), empty),
         "lieu": F.coalesce(strip(_first(nodes, _bubble(S.ID_PLACE))["inner"]), empty),
         "domaines": empty,
         "estimation": F.when(estimate != "N/A", parse_amount(estimate)),

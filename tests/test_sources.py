@@ -273,3 +273,21 @@ def test_whole_tags_are_read_in_one_match(monkeypatch):
     monkeypatch.undo()
     monkeypatch.delattr(_Scanner, "_end")
     assert [n["tag"] for n in _Page(ROW * 3, ROW_MARKS).found].count("a") == 3
+
+
+def test_an_ordinary_tag_takes_one_match(monkeypatch):
+    """The next sign is looked at as a whole tag first; kinds of tags are told apart only where that fails."""
+    from tenderloom.sources.pages import _Scanner
+
+    sought, opening = [], pages._OPENING
+
+    class Counted:
+        @staticmethod
+        def search(source, at):
+            sought.append(at)
+            return opening.search(source, at)
+
+    monkeypatch.setattr(pages, "_OPENING", Counted)
+    page = "<p id='a'>1</p>" * 50
+    assert len(list(_Scanner(page).tags())) == 100 and len(sought) <= 1
+    assert [t[3] for t in _Scanner("<scripted><script a>b<i></script><style><u></style><b>").tags()] == ["scripted", "", "", "b"]
